@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quernstone.llm import chat, exact, packing, pieces, rules, simhash
+from quernstone.llm import chat, exact, html, packing, pieces, quality, rules, shards, simhash, suffix
+from quernstone.llm.common import scratch
 from quernstone.llm.tokens import tokenizer_path
 from quernstone.session import load
 
@@ -17,10 +18,23 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_conversations(rows))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(load(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix.remove_repeats(docs, with_text=False)
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(load(spark, sf_dir, "pages"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(load(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -33,11 +47,29 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(load(spark, sf_dir, "documents"))
 
 
+def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "shards")
+    manifest, places = shards.write_shards(load(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), folder)
+    return shards.shard_contents(manifest, places, folder)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.rule_verdicts(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op3_exact_dedup, op6_best_fit_packing, op7_sentencepiece, op8_simhash, op10_quality_rules)}
+ALL = (
+    op1_chat_format,
+    op2_quality_classifier,
+    op3_exact_dedup,
+    op4_suffix_dedup,
+    op5_html_extraction,
+    op6_best_fit_packing,
+    op7_sentencepiece,
+    op8_simhash,
+    op9_token_shards,
+    op10_quality_rules,
+)
+QUERIES = {f.__name__: f for f in ALL}
 
 ORACLE_SQL: dict[str, str] = {
     "op3_exact_dedup": """
