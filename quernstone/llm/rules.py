@@ -62,10 +62,17 @@ N_CLASSES, N_WORDS = len(CLASSES), len(WORDS) + 1
 class RuleLimits:
     min_words: int = 10
     max_repeat_percent: int = 20
-    min_class_chars: int = 100
-    min_common_words: int = 40
-    max_class_distance: float = 0.28
-    max_word_distance: float = 0.80
+    min_class_chars: int = 400
+    max_class_distance: float = 0.30
+    #: From so many words on, so large a distance: short texts stray further from any reference.
+    word_limits: tuple[tuple[int, float], ...] = ((200, 0.25), (60, 0.37))
+
+    @property
+    def min_common_words(self) -> int:
+        return min(n for n, _ in self.word_limits)
+
+    def max_word_distance(self, n_words: int) -> float:
+        return next((most for n, most in self.word_limits if n_words >= n), 1.0)
 
 
 def repeated_words(words: list[str], width: int = 5) -> int:
@@ -189,7 +196,7 @@ def _verdicts(stream: Iterator[pa.RecordBatch], references: tuple[np.ndarray, np
                 by_class = round(float(distance(classes, ref_classes).min()), 6)
             if len(ref_words) and len(words) >= limits.min_common_words:
                 by_word = round(float(distance(common, ref_words).min()), 6)
-            kept = not failed and (by_class or 0) <= limits.max_class_distance and (by_word or 0) <= limits.max_word_distance
+            kept = not failed and (by_class or 0) <= limits.max_class_distance and (by_word or 0) <= limits.max_word_distance(len(words))
             rows.append((doc_id, *counts, failed, kept, by_class, by_word))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), VERDICT, strict=True)], schema=VERDICT)

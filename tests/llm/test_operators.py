@@ -1,0 +1,530 @@
+"""The operators against brute force, the libraries themselves and exact round trips."""
+
+import hashlib
+import os
+import random
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+import xxhash
+from pyspark.sql import Row
+
+from quernstone.llm import chat, exact, html, packing, pieces, quality, rules, shards, simhash, suffix
+from quernstone.llm import queries as q
+from quernstone.llm.common import shared_dir
+from quernstone.llm.tokens import WordTokens, tokenizer_path
+
+ODD = ["", None, " ", "a", "é\n\x00b", "ﬁ ½ ź ​", "x" * 300, "one two three four five " * 60, "日本語 テキスト", "<|endoftext|> </s>", "A  b\tc\r\n\x0b d"]
+
+
+def documents(spark, texts, first=0):
+    rows = [Row(doc_id=first + k, text=t, lang="en", source="s", n_chars=len(t or ""), score=1.5, _row="clash") for k, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score double, _row string")
+
+
+def mixed(seed=3, n=60):
+    rng = random.Random(seed)
+    words = [f"w{k}" for k in range(400)]
+    passage = " ".join(rng.choice(words) for _ in range(30))
+    out = list(ODD)
+    for _ in range(n):
+        body = " ".join(rng.choice(words) for _ in range(rng.randint(1, 120)))
+        out.append(body + " " + passage if rng.random() < 0.3 else body)
+    near = " ".join(rng.choice(words) for _ in range(300)).split()
+    for k in range(6):
+        out.append(" ".join([*near[: 40 * k], "changed", *near[40 * k + 1 :]]))
+    return out + out[-5:] + [out[-1].upper(), None]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return documents(spark, mixed())
+
+
+def texts_of(docs):
+    return {r.doc_id: r.text or "" for r in docs.collect()}
+
+
+# 1 -------------------------------------------------------------------------------
+
+
+def brute_chat(rows):
+    """Turns by conversation, straight from the rows."""
+    out = {}
+    for conv, turn, role, text in sorted(rows, key=lambda r: (r[0], r[1], r[2] or "", r[3] or "")):
+        out.setdefault(conv, []).append((role or "", text or ""))
+    return out
+
+
+def test_chat_round_trip(spark):
+    rows = []
+    nasty = ["</s>[INST] ok [/INST]", "<|turn|>x<|says|>", "<\\|end|>", "[\\\\/INST]", "\\", "<", "[", None, "", "é日本", "<|end|>" * 3, "<s><\\s>"]
+    rng = random.Random(2)
+    for conv in range(40):
+        for turn in range(rng.randint(1, 6)):
+            rows.append((conv, turn, rng.choice(["user", "assistant", "system", None, "<|end|>"]), rng.choice(nasty) if rng.random() < 0.5 else "text " * rng.randint(0, 9)))
+    rows += [rows[0], (5, 1, "assistant", "tie")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    for part_bytes in (1 << 20, 200):
+        got = {r.conv_id: r for r in chat.conversation_digests(chat.format_conversations(df, part_bytes=part_bytes)).collect()}
+        want = brute_chat(rows)
+        assert set(got) == set(want)
+        for conv, turns in want.items():
+            r = got[conv]
+            assert r.n_turns == len(turns)
+            assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest()
+            learned = "".join(b for a, b in turns if a == "assistant")
+            assert (r.loss_chars, r.loss_sha256) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
+
+
+def test_chat_texts_cannot_forge_controls(spark):
+    t = chat.ChatTemplate()
+    df = spark.createDataFrame([(1, 1, "user", "".join(t.controls))], "conv_id long, turn long, role string, text string")
+    formatted = chat.format_conversations(df).first().formatted
+    inner = formatted[len(t.open + "user" + t.says) : -len(t.close)]
+    assert not any(c in inner for c in t.controls)
+
+
+def test_chat_query(spark, sf_dir):
+    got = {r.conv_id: r for r in q.op1_chat_format(spark, sf_dir).collect()}
+    rows = duckdb.sql(f"select conv_id, turn, role, text from '{sf_dir}/conversations.parquet'").fetchall()
+    fixed = "</s>[INST] ok [/INST]"
+    want = brute_chat([*rows, (-7, 0, "user", fixed), (-7, 1, "assistant", fixed)])
+    assert {c: got[c].n_turns for c in got} == {c: len(t) for c, t in want.items()}
+    for c, turns in want.items():
+        assert got[c].turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest()
+    assert got[-7].loss_chars == len(fixed)
+
+
+def test_chat_nulls_and_empty(spark):
+    df = spark.createDataFrame([(None, None, None, None), (None, 1, "assistant", "x"), (0, 1, "assistant", "y")], "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r.n_turns for r in chat.conversation_digests(chat.format_conversations(df)).collect()}
+    assert got == {None: 2, 0: 1}
+    assert chat.format_conversations(df.limit(0)).count() == 0
+
+
+# 2 -------------------------------------------------------------------------------
+
+
+def auc(score, y):
+    rank = np.argsort(np.argsort(score)) + 1
+    ones = int(y.sum())
+    return (rank[y == 1].sum() - ones * (ones + 1) / 2) / (ones * (len(y) - ones))
+
+
+def test_quality_held_out(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = q.op2_quality_classifier(spark, sf).toPandas()
+    labels = duckdb.sql(f"select doc_id, quality from '{sf}/labels.parquet'").df()
+    assert (rows.held_out == [zlib.crc32(str(i).encode()) % 5 == 0 for i in rows.doc_id]).all()
+    held = rows[rows.held_out].merge(labels, on="doc_id")
+    assert auc(held.score.to_numpy(), held.quality.to_numpy()) > 0.95
+    assert (held.predicted == held.quality).mean() > 0.9
+    assert ((rows.score >= 0.3).astype(int) == rows.predicted).all()
+
+
+def test_quality_features_do_not_depend_on_neighbours():
+    texts = ["abc " * 50, "", "zz", "longer text " * 4000, "é" * 9]
+    alone = [next(quality.features(pa.array([t]))) for t in texts]
+    together = np.concatenate(list(quality.features(pa.array(texts), block=1000)))
+    assert np.allclose(np.concatenate(alone), together)
+
+
+def test_quality_odd_inputs(spark, docs):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert {r.score for r in quality.quality_scores(docs, none).collect()} == {0.5}
+    labels = spark.createDataFrame([(k, int(k % 3 > 0), None) for k in range(60)] + [(None, 1, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
+    scored = quality.quality_scores(docs, labels)
+    assert scored.count() == docs.count()
+    assert all(0 <= r.score <= 1 for r in scored.collect())
+    assert quality.drop_rejected(docs, labels).columns == docs.columns
+    assert quality.quality_scores(docs.limit(0), labels).count() == 0
+
+
+# 3 -------------------------------------------------------------------------------
+
+
+def brute_exact(rows):
+    groups = {}
+    for i, t in rows:
+        key = (t or "").encode().translate(exact.LOWER)
+        groups.setdefault(key, []).append(i)
+    return groups
+
+
+@pytest.mark.parametrize("budget", [1 << 20, 700])
+def test_exact_groups(spark, docs, budget):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    groups = brute_exact(rows)
+    got = {r.doc_id: r for r in exact.exact_groups(docs.repartition(3, "doc_id"), budget_bytes=budget).collect()}
+    assert len(got) == len(rows)
+    for key, ids in groups.items():
+        for i in ids:
+            r = got[i]
+            assert (r.keep_id, r.group_size, r.kept) == (max(ids), len(ids), i == max(ids))
+            assert r.text_sha256 == hashlib.sha256(key).hexdigest()
+
+
+def test_exact_repeated_rows_and_null_ids(spark):
+    df = spark.createDataFrame([(1, "A"), (1, "a"), (None, "a"), (None, "b"), (2, None), (2, "")], "doc_id long, text string")
+    got = exact.exact_groups(df).collect()
+    assert sum(r.kept for r in got) == 3
+    assert sorted((r.keep_id or -1) for r in got) == [-1, 1, 1, 1, 2, 2]
+    assert exact.drop_exact_copies(df).count() == 3
+    assert exact.exact_groups(df.limit(0)).count() == 0
+
+
+def test_grace_table_spills_and_never_merges_by_hash_alone():
+    table = exact.GraceTable(lambda s, p: (s or 0) + p, budget=2000)
+    contents = [f"content {k % 300}".encode() * 5 for k in range(3000)]
+    for c in contents:
+        table.add(c, 1, h=hash(c) & 3)  # nearly all hashes collide
+    assert dict(table.groups()) == {c: 10 for c in set(contents)}
+
+
+def test_exact_pipeline_keeps_columns(spark, docs):
+    kept = exact.drop_exact_copies(docs.withColumnRenamed("_row", "other"))
+    assert kept.count() == len(brute_exact([(r.doc_id, r.text) for r in docs.collect()]))
+
+
+# 4 -------------------------------------------------------------------------------
+
+
+def brute_repeats(rows):
+    first = {}
+    for i, t in rows:
+        for p in range(len(t) - 49):
+            w = t[p : p + 50]
+            first[w] = min(first.get(w, 1 << 62), i)
+    out = []
+    for i, t in rows:
+        gone = np.zeros(len(t), bool)
+        for p in range(len(t) - 49):
+            if first[t[p : p + 50]] < i:
+                gone[p : p + 50] = True
+        kept = np.frombuffer(t, np.uint8)[~gone].tobytes()
+        out.append((i, len(t), int(gone.sum()), int((gone & ~np.append(False, gone[:-1])[: len(t)]).sum()), hashlib.sha256(kept).hexdigest()))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("chunk_bytes", [4 << 20, 3000])
+def test_suffix_dedup(spark, docs, chunk_bytes):
+    rows = [(r.doc_id, (r.text or "").encode()) for r in docs.collect()]
+    got = suffix.remove_repeats(docs.repartition(3, "doc_id"), chunk_bytes=chunk_bytes)
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect()) == brute_repeats(rows)
+    assert any(r.n_removed for r in got.collect())
+
+
+def test_suffix_sort_survives_deceiving_hashes(monkeypatch):
+    rng = random.Random(4)
+    strings = [bytes(rng.choice(b"ab") for _ in range(rng.randint(50, 80))) for _ in range(40)]
+    strings += [s[:20] + strings[0][20:] for s in strings[:9]]
+    length = np.array([len(s) for s in strings])
+    args = (np.zeros(len(strings), np.uint64), np.arange(len(strings)), length, np.zeros(len(strings), np.int64), np.frombuffer(b"".join(strings), np.uint8))
+    args[3][:] = np.minimum(length - 50, 25)
+    right = suffix.repeated_windows(*args)
+    monkeypatch.setattr(suffix.Suffixes, "hash", lambda self, i, begin, length: np.zeros(len(i), np.uint64))
+    assert (suffix.repeated_windows(*args) == right).all()
+
+
+def test_suffix_order_is_lexicographic():
+    rng = random.Random(8)
+    strings = [bytes(rng.choice(b"ab") for _ in range(rng.randint(50, 70))) for _ in range(300)]
+    strings += strings[:40]
+    length = np.array([len(s) for s in strings])
+    s = suffix.Suffixes(np.array([rng.randint(0, 3) for _ in strings], np.uint64), np.frombuffer(b"".join(strings), np.uint8), length, np.full(len(strings), 7))
+    order, lcp = s.sorted()
+    keyed = [(int(s.key[i]), strings[i][7:]) for i in order]
+    assert keyed == sorted(keyed)
+    for k in range(1, len(order)):
+        assert lcp[k] == (len(os.path.commonprefix([keyed[k][1], keyed[k - 1][1]])) if keyed[k][0] == keyed[k - 1][0] else 0)
+
+
+def test_suffix_ties_nulls_and_columns(spark):
+    text = "the same sentence of more than fifty bytes stands here, twice and more."
+    df = spark.createDataFrame([(1, text, 1, 0), (1, text, 2, 0), (2, "é" + text, 3, 0), (None, text, 4, 0), (0, None, 5, 0)], "doc_id long, text string, n_chars long, n_bytes long")
+    out = suffix.drop_repeats(df)
+    assert out.columns == df.columns
+    assert sorted((r.doc_id or -1, r.text, r.n_chars) for r in out.collect()) == [(-1, "", 0), (-1, "", 0), (1, text, len(text)), (1, text, len(text)), (2, "é", 1)]
+    assert suffix.remove_repeats(df.limit(0)).count() == 0
+
+
+# 5 -------------------------------------------------------------------------------
+
+PAGE = """<html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body><header>H</header><nav><ul><li><a>N</a></ul></nav>
+<div class="cookie-notice">C</div><article><header><h1>Head&amp;line</h1><p>by X</p></header><p>One <b>two</b>three<p>four<br>five&nbsp;six<!-- c --><div class="ad">AD</div><form>F</form>
+<section id="comments"><p>reader</p></section></article><aside>S</aside><div class=sidebar>B</div><footer>F</footer></body></html>"""
+
+
+def test_html_article():
+    assert html.main_text(PAGE) == "Head&line One twothree four five six"
+    assert html.main_text("") == html.main_text("<!-- open") == html.main_text("<script>x") == ""
+    assert html.main_text("plain &lt; text\n\nmore") == "plain < text more"
+    assert html.main_text("<body><p>a<p>b</body>") == "a b"
+
+
+def test_html_templates(spark):
+    pages = [(k, f"http://h.example/{k}", f"<body><div><p>shared banner text</p></div><div><p>own {k}</p></div></body>") for k in range(12)]
+    pages += [(99, "http://other.example/", "<body><div><p>shared banner text</p></div></body>"), (100, None, None), (100, None, None)]
+    got = sorted((r.page_id, r.text, r.n_chars) for r in html.extract_pages(spark.createDataFrame(pages, "page_id long, url string, html string")).collect())
+    assert got == sorted([*((k, f"own {k}", len(f"own {k}")) for k in range(12)), (99, "shared banner text", 18), (100, "", 0), (100, "", 0)])
+
+
+def test_html_query(spark, sf_dir):
+    import html as lib
+
+    want = {}
+    for i, page in duckdb.sql(f"select page_id, html from '{sf_dir}/pages.parquet'").fetchall():
+        article = re.search("<article>(.*?)</article>", page, re.S)[1]
+        want[i] = " ".join(lib.unescape(re.sub("<[^>]+>", " ", re.sub("</?b>", "", article))).split())
+    got = {r.page_id: r.text for r in q.op5_html_extraction(spark, sf_dir).collect()}
+    assert got == want
+
+
+# 6 -------------------------------------------------------------------------------
+
+
+def test_packing(spark, docs):
+    tokenizer = WordTokens.load(tokenizer_path("word_bpe_49k.json")).tokenizer
+    got = packing.packed_documents(docs, tokenizer_path("word_bpe_49k.json"), capacity=64, each=40).collect()
+    by_doc, bins = {}, {}
+    for r in got:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        bins.setdefault(r.sequence_id, []).append(r)
+    for i, t in texts_of(docs).items():
+        ids = np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 0], "<u4")
+        parts = sorted(by_doc[i], key=lambda r: r.piece)
+        assert [r.piece for r in parts] == list(range(-(-len(ids) // 64)))
+        for r in parts:
+            assert r.start == 64 * r.piece and r.ids_crc32 == zlib.crc32(ids[r.start : r.start + 64].tobytes()) and r.length == len(ids[r.start : r.start + 64])
+    for rows in bins.values():
+        at = 0
+        for r in sorted(rows, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= 64
+    total = sum(r.length for r in got)
+    assert len(bins) <= 1.05 * total / 64 + 2
+
+
+def test_sum_of_squares_is_near_the_bound():
+    rng = np.random.default_rng(1)
+    lengths = -np.sort(-rng.integers(1, 1200, 4000))
+    at, offset = packing.sum_of_squares(lengths, 2048)
+    assert np.bincount(at, lengths).max() <= 2048
+    assert at.max() + 1 <= 1.01 * lengths.sum() / 2048 + 1
+
+
+def test_packing_empty(spark, docs):
+    assert packing.packed_documents(docs.limit(0), tokenizer_path("word_bpe_49k.json")).count() == 0
+
+
+@pytest.mark.parametrize("text", [*[t for t in ODD if t], "İΣς ſ it's 'S x\x1cy\x85z", "ΑΣ", "é́̂ ²３", "a<|startoftext|>b"])
+def test_word_tokens_are_the_library_s(text):
+    words = WordTokens.load(tokenizer_path("word_bpe_49k.json"))
+    assert list(next(words.encode([text]))) == words.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+# 7 -------------------------------------------------------------------------------
+
+
+def test_pieces_are_the_library_s(spark, docs):
+    import sentencepiece
+
+    path = tokenizer_path("piece_bpe_32k.model")
+    lib, own = sentencepiece.SentencePieceProcessor(model_file=path), pieces.PieceTokens.load(path)
+    rng = random.Random(1)
+    letters = list("aehinorst THE ▁▁  \n\t.,0123éßñçΣ中🎉\x00​<>/s'")
+    texts = list(texts_of(docs).values()) + ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(3000)] + [" " * n for n in range(40)]
+    for t in texts:
+        ids = lib.encode(t)
+        assert own.encode(t) == ids
+        assert own.decode(ids) == lib.decode(ids) == pieces._decoded(own.runs(t))
+    for _ in range(3000):
+        ids = [rng.choice([0, 1, 2, 259, rng.randint(3, 258), rng.randint(3, 31_999)]) for _ in range(rng.randint(0, 6))]
+        assert own.decode(ids) == lib.decode(ids)
+    got = {r.doc_id: r for r in pieces.encoding_digests(docs, path).collect()}
+    for i, t in texts_of(docs).items():
+        ids = lib.encode(t)
+        assert got[i].n_tokens == len(ids)
+        assert got[i].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert got[i].decoded_sha256 == hashlib.sha256(lib.decode(ids).encode()).hexdigest()
+    assert pieces.encode_documents(docs.limit(0), path).count() == 0
+
+
+# 8 -------------------------------------------------------------------------------
+
+
+def brute_fingerprint(text, width=4):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", text.encode().translate(exact.LOWER))
+    if not words:
+        return 0
+    grams = [b" ".join(words[k : k + width]) for k in range(max(1, len(words) - width + 1))]
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(fps):
+    root = {i: i for i in fps}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(fps)
+    for a in ids:
+        for b in ids:
+            if a < b and (fps[a] ^ fps[b]).bit_count() <= 4:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {i: find(i) for i in fps}
+
+
+def test_simhash(spark, docs):
+    fps = {i: brute_fingerprint(t) for i, t in texts_of(docs).items()}
+    want = brute_components(fps)
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.near_copies(docs).collect()}
+    assert got == {i: (f"{fps[i]:016x}", want[i]) for i in fps}
+    kept = simhash.drop_near_copies(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
+
+
+def test_golay_code_is_perfect_and_keys_meet():
+    rng = np.random.default_rng(2)
+    words = rng.integers(0, 1 << 23, 500)
+    rows, keys = simhash.nearby_indices(words)
+    assert set(np.bincount(rows)) == {1, 6}
+    for flips in range(3):
+        other = words.copy()
+        for k in range(len(other)):
+            for bit in rng.choice(23, flips, replace=False):
+                other[k] ^= 1 << int(bit)
+        r2, k2 = simhash.nearby_indices(other)
+        assert all(set(keys[rows == k]) & set(k2[r2 == k]) for k in range(len(words)))
+
+
+def test_every_pair_within_four_bits_shares_a_joint_key():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    other = base.copy()
+    for k in range(len(other)):
+        for bit in rng.choice(64, 4, replace=False):
+            other[k] ^= np.uint64(1) << np.uint64(bit)
+    (r1, k1), (r2, k2) = simhash.joint_keys(base), simhash.joint_keys(other)
+    assert all(set(k1[r1 == k]) & set(k2[r2 == k]) for k in range(len(base)))
+
+
+@pytest.mark.parametrize("small", [64, 2])
+def test_links_of_dense_and_sparse_buckets(small):
+    rng = np.random.default_rng(9)
+    center = rng.integers(0, 1 << 62, 5)
+    fps = np.unique(np.concatenate([c ^ (np.int64(1) << rng.integers(0, 60, 30)) for c in center] + [rng.integers(0, 1 << 62, 50)]))
+    key = np.zeros(len(fps), np.int64)
+    batch = pa.RecordBatch.from_arrays([pa.array(key), pa.array(fps)], schema=simhash.KEYED)
+    edges = [(a, b) for out in simhash._links(iter([batch]), 4, small=max(small, 2) if small == 2 else 200) for a, b in zip(out["a"].to_pylist(), out["b"].to_pylist(), strict=True)]
+    want = brute_components({int(f): int(f) for f in fps})
+    nodes, root = simhash.roots(np.array([a for a, _ in edges]), np.array([b for _, b in edges]))
+    got = dict(zip(nodes.tolist(), root.tolist(), strict=True))
+    assert {f: got.get(f, f) for f in want} == want
+
+
+def test_simhash_nulls_and_empty(spark):
+    df = spark.createDataFrame([(None, "a b c d e"), (4, "a b c d e"), (None, "z y x"), (7, None), (6, " "), (6, " ")], "doc_id long, text string")
+    got = sorted(((r.doc_id or -1), (r.component_id or -1)) for r in simhash.near_copies(df).collect())
+    assert got == [(-1, -1), (-1, 4), (4, 4), (6, 6), (6, 6), (7, 6)]
+    assert simhash.near_copies(df.limit(0)).count() == 0
+
+
+def test_components_of_long_chains(spark):
+    edges = [(k, k + 1) for k in range(40)] + [(100, 101), (102, 101)]
+    got = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{k: 0 for k in range(41)}, 100: 100, 101: 100, 102: 100}
+
+
+# 9 -------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 1000, 4097])
+def test_feistel_is_a_permutation(n):
+    slots = shards.permuted(np.arange(n), n, 11)
+    assert sorted(slots) == list(range(n))
+    if n > 100:
+        assert (slots != shards.permuted(np.arange(n), n, 12)).any()
+
+
+def test_shards_round_trip(spark, docs, tmp_path):
+    path = tokenizer_path("word_bpe_49k.json")
+    tokenizer = WordTokens.load(path).tokenizer
+    folder = str(tmp_path / "out")
+    manifest, places = shards.write_shards(docs, path, folder, stride=32, per_shard=16)
+    want = {}
+    for i, t in texts_of(docs).items():
+        ids = np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 0], "<u4")
+        for k in range(0, len(ids), 32):
+            want[i, k // 32] = zlib.crc32(ids[k : k + 32].tobytes())
+    got = shards.shard_contents(manifest, places, folder, stride=32).collect()
+    assert {(r.doc_id, r.piece): r.ids_crc32 for r in got} == want
+    assert sorted(r.slot for r in got) == list(range(len(want)))
+    assert all(os.path.getsize(r.path) == 64 * r.n for r in manifest.collect())
+    tail = shards.read_shards(manifest, folder, stride=32, from_slot=len(want) - 5).collect()
+    assert sorted(r.slot for r in tail) == list(range(len(want) - 5, len(want)))
+    order = sorted(want)
+    number = dict(zip(order, shards.permuted(np.arange(len(order)), len(order), 20_240_601).tolist(), strict=True))
+    assert {(r.doc_id, r.piece): r.slot for r in got} == number
+
+
+def test_shards_empty(spark, docs):
+    folder = shared_dir(spark) + "/empty-shards"
+    manifest, places = shards.write_shards(docs.limit(0), tokenizer_path("word_bpe_49k.json"), folder)
+    assert manifest.count() == 0 and places.count() == 0
+
+
+# 10 ------------------------------------------------------------------------------
+
+
+def brute_counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(words[k : k + 5]) for k in range(len(words) - 4)]
+    hit = {k + d for k, w in enumerate(windows) if windows.count(w) > 1 for d in range(5)}
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(hit)
+
+
+def test_rules(spark, docs):
+    texts = texts_of(docs) | {}
+    got = {r.doc_id: r for r in rules.rule_verdicts(docs).collect()}
+    for i, t in texts.items():
+        n = brute_counts(t)
+        r = got[i]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == n
+        assert r.base_failed == (n[0] < 10 or 100 * n[4] > 20 * n[0])
+        assert not (r.base_failed and r.kept)
+
+
+def test_rules_repeats():
+    rng = random.Random(6)
+    for _ in range(200):
+        words = [rng.choice("abc") for _ in range(rng.randint(0, 60))]
+        assert rules.repeated_words(words) == brute_counts(" ".join(words))[4]
+    many = [str(rng.randint(0, 20_000)) for _ in range(9000)]
+    many += many[:7]
+    assert rules.repeated_words(many) == 14
+
+
+def test_rules_separate_junk(spark):
+    sf = "/root/testdata/sf0.01"
+    got = q.op10_quality_rules(spark, sf).toPandas().merge(duckdb.sql(f"select * from '{sf}/labels.parquet'").df(), on="doc_id")
+    judged = got[(got.n_words >= 200) & ~got.base_failed]
+    assert judged[judged.quality == 1].kept.mean() > 0.99
+    assert judged[judged.quality == 0].kept.mean() < 0.1
+
+
+def test_rules_empty(spark, docs):
+    assert rules.rule_verdicts(docs.limit(0)).count() == 0
+    lonely = spark.createDataFrame([(1, None, None), (2, "a b " * 200, None)], "doc_id long, text string, lang string")
+    assert rules.rule_verdicts(lonely).count() == 2
