@@ -83,5 +83,5 @@ def classification(members: DataFrame) -> DataFrame:
     """root, classification of members (root, kind, in_universe, lat): which of the two sources knows the site."""
     project, app = F.col("kind") == "project", F.col("kind") == "application"
     flags = members.groupBy("root").agg(F.bool_or(app & F.col("in_universe")).alias("ours"), F.bool_or(project).alias("theirs"), F.bool_or(app).alias("any_app"), F.bool_or(app & F.col("lat").isNotNull()).alias("located"))
-    name = F.when(F.col("ours") & F.col("theirs"), "both").when(F.col("ours") & ~F.col("located"), "unlocatable").when("ours", "ours_only").when(F.col("theirs") & F.col("any_app"), "barbour_covered").when("theirs", "barbour_only").otherwise("dropped")
+    name = F.when(F.col("ours") & F.col("theirs"), "both").when(F.col("ours") & ~F.col("located"), "unlocatable").when(F.col("ours"), "ours_only").when(F.col("theirs") & F.col("any_app"), "barbour_covered").when(F.col("theirs"), "barbour_only").otherwise("dropped")
     return flags.select("root", name.alias("classification"))

@@ -11,7 +11,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
 
 #: Modules that hold registered queries.
-MODULES: tuple[str, ...] = ()
+MODULES: tuple[str, ...] = ("quernstone.plans.records", "quernstone.plans.documents")
 
 
 def query(name: str, sql: str | None = None):
