@@ -59,7 +59,8 @@ def within_budget(pages: pd.DataFrame, budget: int, first: int) -> pd.DataFrame:
 
 def select_within(pages: DataFrame, budget: int, first: int = 2) -> DataFrame:
     """`selected_pages` cut to a budget, document by document."""
-    return pages.groupBy("doc").applyInPandas(lambda pdf: within_budget(pdf, budget, first)[pages.columns], pages.schema)
+    columns = pages.columns
+    return pages.groupBy("doc").applyInPandas(lambda pdf: within_budget(pdf, budget, first)[columns], pages.schema)
 
 
 def lines_within(body: str, limit: int) -> list[str]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -13,32 +14,49 @@ from quernstone.functions.numbers import number_before
 from quernstone.functions.text import digit_density, words_of_length
 
 
+Get = Callable[[str], Column]
+
+
 @dataclass(frozen=True)
 class Rule:
-    """A correction: where `test` holds, `changes` are made and the note tells which rule it was."""
+    """A correction: where `test`, a function of a row's columns, holds, constant `changes` are made and the note tells which rule it was."""
 
     name: str
-    test: Column
+    test: Callable[[Get], Column]
     changes: dict[str, Column]
     note: str
 
 
-def _applies(rule: Rule, note: str) -> Column:
-    return F.coalesce(rule.test, F.lit(False)) & ~F.contains(F.coalesce(F.col(note), F.lit("")), F.lit(f"[{rule.name}]"))
+def _applies(rule: Rule, get: Get, note: str) -> Column:
+    return F.coalesce(rule.test(get), F.lit(False)) & ~F.contains(F.coalesce(get(note), F.lit("")), F.lit(f"[{rule.name}]"))
 
 
 def corrected(df: DataFrame, rules: list[Rule], note: str = "unit_note") -> DataFrame:
-    """The rules in order, each seeing what those before it did; applying them again changes nothing."""
+    """The rules in order, each seeing what those before it did; applying them again changes nothing.
+
+    A row's columns pass through the rules as one struct in a chain of lambdas, so that the
+    expression grows with the number of rules and not with its power of two.
+    """
+    names = df.columns
+    state = F.array(F.struct(*names))
+
+    def step(rule: Rule) -> Callable[[Column], Column]:
+        def apply(row: Column) -> Column:
+            hit = _applies(rule, lambda n: row[n], note)
+            mark = F.concat_ws(" ", row[note], F.lit(f"[{rule.name}] {rule.note}"))
+            new = rule.changes | {note: mark}
+            return F.when(hit, F.struct(*[(new[n].cast(df.schema[n].dataType) if n in new else row[n]).alias(n) for n in names])).otherwise(row)
+
+        return apply
+
     for rule in rules:
-        hit = _applies(rule, note)
-        mark = F.concat_ws(" ", F.col(note), F.lit(f"[{rule.name}] {rule.note}"))
-        df = df.withColumns({"_hit": hit}).withColumns({c: F.when(F.col("_hit"), v).otherwise(F.col(c)).cast(df.schema[c].dataType) for c, v in rule.changes.items()} | {note: F.when(F.col("_hit"), mark).otherwise(F.col(note))}).drop("_hit")
-    return df
+        state = F.transform(state, step(rule))
+    return df.select(F.explode(state).alias("_row")).select("_row.*")
 
 
 def uncorrected(df: DataFrame, rules: list[Rule], note: str = "unit_note") -> DataFrame:
     """Rows that a rule would still change."""
-    return df.where(reduce(lambda a, b: a | b, [_applies(r, note) for r in rules]))
+    return df.where(reduce(lambda a, b: a | b, [_applies(r, F.col, note) for r in rules]))
 
 
 def require_corrected(df: DataFrame, rules: list[Rule], note: str = "unit_note") -> None:
@@ -50,22 +68,26 @@ def require_corrected(df: DataFrame, rules: list[Rule], note: str = "unit_note")
 
 def capacity_rules() -> list[Rule]:
     """The corrections of stated capacities: columns verdict, quantity_type, value_mw, evidence, signal_type, unit_note."""
-    e = F.col("evidence")
-    has = lambda pattern: e.rlike("(?i)" + pattern)
-    quantity = F.col("quantity_type")
-    site = F.col("verdict") == "site_capacity"
+
+    def said(c: Get, pattern: str) -> Column:
+        return c("evidence").rlike("(?i)" + pattern)
+
+    def site(c: Get, *quantities: str) -> Column:
+        test = c("verdict") == "site_capacity"
+        return test & c("quantity_type").isin(*quantities) if quantities else test
+
     unclear = {"verdict": F.lit("unclear"), "quantity_type": F.lit(None), "value_mw": F.lit(None)}
-    electrical = quantity.isin("onsite_generation", "it_load", "total_site")
+    electrical = ("onsite_generation", "it_load", "total_site")
     #: Names, thresholds and words of the rules.
     return [
-        Rule("energy_not_power", site & (F.col("value_mw") > 3000), unclear, "figure is annual energy, not power"),
-        Rule("storage_not_generation", site & quantity.isin("onsite_generation", "grid_connection") & has(r"\bbatter|\bbess\b|energy storage|\bups\b|uninterruptible") & ~has("transformer|substation containing"), {"quantity_type": F.lit("energy_storage")}, "storage or UPS discharge rating, not generation"),
-        Rule("thermal_not_electrical", site & electrical & (has("thermal input|heat input|calorific|fuel input") | F.col("signal_type").rlike("(?i)thermal_input|heat_input")), {"quantity_type": F.lit("thermal_input")}, "thermal or fuel input, not electrical capacity"),
-        Rule("thermal_output_not_electrical", site & electrical & has("thermal output|heat output") & (F.col("value_mw") > number_before(e, "MWe")), {"quantity_type": F.lit("thermal_input")}, "thermal output; the same sentence gives the electrical figure in MWe"),
-        Rule("headerless_table_row", site & (F.length(e) > 0) & (digit_density(e) > 0.30) & (words_of_length(e) < 8) & ~has(r"\d[\d,.]*\s*(mw|kw|gw|mva|kva|mwe)\b"), unclear, "table row with no headers and no unit"),
-        Rule("temporary_supply", site & (quantity == "grid_connection") & has(r"\btemporar"), unclear, "temporary construction supply, not the completed connection"),
-        Rule("equipment_label_not_connection", site & (quantity == "grid_connection") & has(r"floor plan|sections drawing|figure\s+[0-9]|substation\s+[0-9.]+\s*m²|legacy"), unclear, "equipment label or another scheme's plant, not this connection"),
-        Rule("contradicted_by_own_document", site & (F.col("value_mw") == 2240) & has(r"contribute.{0,12}2240\s*MW"), unclear, "the document states another capacity for this proposal"),
+        Rule("energy_not_power", lambda c: site(c) & (c("value_mw") > 3000), unclear, "figure is annual energy, not power"),
+        Rule("storage_not_generation", lambda c: site(c, "onsite_generation", "grid_connection") & said(c, r"\bbatter|\bbess\b|energy storage|\bups\b|uninterruptible") & ~said(c, "transformer|substation containing"), {"quantity_type": F.lit("energy_storage")}, "storage or UPS discharge rating, not generation"),
+        Rule("thermal_not_electrical", lambda c: site(c, *electrical) & (said(c, "thermal input|heat input|calorific|fuel input") | c("signal_type").rlike("(?i)thermal_input|heat_input")), {"quantity_type": F.lit("thermal_input")}, "thermal or fuel input, not electrical capacity"),
+        Rule("thermal_output_not_electrical", lambda c: site(c, *electrical) & said(c, "thermal output|heat output") & (c("value_mw") > number_before(c("evidence"), "MWe")), {"quantity_type": F.lit("thermal_input")}, "thermal output; the same sentence gives the electrical figure in MWe"),
+        Rule("headerless_table_row", lambda c: site(c) & (F.length(c("evidence")) > 0) & (digit_density(c("evidence")) > 0.30) & (words_of_length(c("evidence")) < 8) & ~said(c, r"\d[\d,.]*\s*(mw|kw|gw|mva|kva|mwe)\b"), unclear, "table row with no headers and no unit"),
+        Rule("temporary_supply", lambda c: site(c, "grid_connection") & said(c, r"\btemporar"), unclear, "temporary construction supply, not the completed connection"),
+        Rule("equipment_label_not_connection", lambda c: site(c, "grid_connection") & said(c, r"floor plan|sections drawing|figure\s+[0-9]|substation\s+[0-9.]+\s*m²|legacy"), unclear, "equipment label or another scheme's plant, not this connection"),
+        Rule("contradicted_by_own_document", lambda c: site(c) & (c("value_mw") == 2240) & said(c, r"contribute.{0,12}2240\s*MW"), unclear, "the document states another capacity for this proposal"),
     ]
 
 
