@@ -12,7 +12,7 @@ from quernstone.operators import graph, linkage, merge, passages, quality, versi
 from quernstone.plans.registry import query
 from quernstone.session import load
 
-DAY = F.date_trunc("day", F.col("ts"))
+
 
 
 @query(
@@ -329,7 +329,7 @@ def origin_distinct(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def reconcile_sets(spark: SparkSession, sf: str) -> DataFrame:
-    e = load(spark, sf, "events").select("user_id", DAY.alias("d"), "event_type")
+    e = load(spark, sf, "events").select("user_id", F.date_trunc("day", F.col("ts")).alias("d"), "event_type")
     return quality.reconciled_counts(e.where("event_type = 'click'"), e.where("event_type = 'view'"), ["user_id", "d"])
 
 
