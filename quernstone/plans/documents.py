@@ -54,9 +54,9 @@ def units(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "part").select("p_partkey", N.to_mw(F.col("p_retailprice"), unit).alias("mw"), N.band(F.col("p_retailprice"), bands).alias("band"))
 
 
-@query("fn_round_sensibly", "SELECT p_partkey, CASE WHEN p_size < 10 THEN round_even(p_size / 3.0, 1) WHEN p_size < 100 THEN round_even(p_size / 5.0, 0) * 5 ELSE round_even(p_size / 10.0, 0) * 10 END::DOUBLE AS mw FROM part WHERE p_size >= 10")
+@query("fn_round_sensibly", "SELECT p_partkey, CASE WHEN p_size < 10 THEN p_size WHEN p_size < 100 THEN round_even(p_size / 5.0, 0) * 5 ELSE round_even(p_size / 10.0, 0) * 10 END::DOUBLE AS mw FROM part")
 def round_sensibly(spark: SparkSession, sf: str) -> DataFrame:
-    return load(spark, sf, "part").where("p_size >= 10").select("p_partkey", N.round_sensibly(F.col("p_size").cast("double")).alias("mw"))
+    return load(spark, sf, "part").select("p_partkey", N.round_sensibly(F.col("p_size").cast("double")).alias("mw"))
 
 
 @query("fn_quote_key", "SELECT doc_id, array_to_string(list_slice(string_split(trim(regexp_replace(regexp_replace(lower(text), '[^a-z0-9 ]+', ' ', 'g'), ' +', ' ', 'g')), ' '), 1, 12), ' ') AS k FROM documents")
@@ -67,14 +67,14 @@ def quote_key(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "fn_jaccard",
     """
-    WITH t AS (SELECT doc_id, source, list_distinct(string_split(lower(text), ' ')) AS s FROM documents WHERE n_chars < 400), p AS (
+    WITH t AS (SELECT doc_id, source, list_distinct(string_split(lower(text), ' ')) AS s FROM documents), p AS (
     SELECT a.doc_id AS a, b.doc_id AS b, len(list_intersect(a.s, b.s)) AS i, len(a.s) + len(b.s) AS u FROM t a JOIN t b ON a.source = b.source AND b.doc_id = (SELECT min(doc_id) FROM t c WHERE c.source = a.source) AND a.doc_id <> b.doc_id)
     SELECT a, b, round(i / (u - i), 6) AS jaccard FROM p
     """,
 )
 def jaccard(spark: SparkSession, sf: str) -> DataFrame:
-    """Short texts against the first one of their source."""
-    d = _docs(spark, sf).where("n_chars < 400").select("doc_id", "source", F.array_distinct(F.split(F.lower("text"), " ")).alias("s"))
+    """Texts against the first one of their source."""
+    d = _docs(spark, sf).select("doc_id", "source", F.array_distinct(F.split(F.lower("text"), " ")).alias("s"))
     first = d.groupBy("source").agg(F.min_by(F.struct("doc_id", "s"), "doc_id").alias("f"))
     j = d.join(first, "source").where("doc_id <> f.doc_id")
     return j.select(F.col("doc_id").alias("a"), F.col("f.doc_id").alias("b"), F.round(T.jaccard(F.col("s"), F.col("f.s")), 6).alias("jaccard"))
@@ -143,9 +143,9 @@ def lexicon_signals(spark: SparkSession, sf: str) -> DataFrame:
     return s.select("doc_id", F.col("s.subject").alias("subject"), F.explode("s.terms").alias("term"))
 
 
-@query("txt_page_score", "SELECT doc_id, len(list_distinct(regexp_extract_all(lower(text), '\\b(apache|license|work|version)\\b', 1))) AS score FROM documents WHERE lang = 'en'")
+@query("txt_page_score", "SELECT doc_id, len(list_distinct(regexp_extract_all(lower(text), '\\b(apache|license|work|version)\\b', 1))) AS score FROM documents")
 def page_score(spark: SparkSession, sf: str) -> DataFrame:
-    return _docs(spark, sf).where("lang = 'en'").select("doc_id", L.page_score(F.col("text"), ["apache", "license", "work", "version"], {"none": ["zzzzqqqq"]}).cast("long").alias("score"))
+    return _docs(spark, sf).select("doc_id", L.page_score(F.col("text"), ["apache", "license", "work", "version"], {"none": ["zzzzqqqq"]}).cast("long").alias("score"))
 
 
 @query("txt_tier_hits", "SELECT user_id, count(*) FILTER (WHERE event_type IN ('purchase', 'click')) AS hits FROM events GROUP BY user_id")

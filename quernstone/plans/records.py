@@ -515,14 +515,15 @@ def suffix_ref(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "jn_spatial_radius",
     """
-    WITH p AS (SELECT s_suppkey AS id, 50 + (s_suppkey * 37 % 100) / 1000.0 AS lat, (s_suppkey * 53 % 100) / 1000.0 AS lon FROM supplier WHERE s_suppkey <= 400)
+    WITH p AS (SELECT s_suppkey AS id, 50 + (s_suppkey * 37 % 100) / 1000.0 AS lat, s_suppkey // 100 * 0.2 + (s_suppkey * 53 % 100) / 1000.0 AS lon FROM supplier)
     SELECT a.id AS left_id, b.id AS right_id FROM p a, p b WHERE 2 * 6371.0 * asin(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2))) <= 1.0
     """,
 )
 def spatial_radius(spark: SparkSession, sf: str) -> DataFrame:
-    """Places derived from keys; 400 of them, as many as the table has at scale factor 0.04."""
-    s = load(spark, sf, "supplier").where("s_suppkey <= 400")
-    p = s.select(F.col("s_suppkey").alias("id"), (50 + (F.col("s_suppkey") * 37 % 100) / 1000.0).alias("lat"), ((F.col("s_suppkey") * 53 % 100) / 1000.0).alias("lon"))
+    """Places derived from keys, a hundred to an area."""
+    k = F.col("s_suppkey")
+    lon = F.floor(k / 100) * 0.2 + (k * 53 % 100) / 1000.0
+    p = load(spark, sf, "supplier").select(k.alias("id"), (50 + (k * 37 % 100) / 1000.0).alias("lat"), lon.cast("double").alias("lon"))
     return linkage.radius_pairs(p, p, 1.0).select("left_id", "right_id")
 
 

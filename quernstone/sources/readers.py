@@ -225,18 +225,6 @@ def geojson_points(spark: SparkSession, path: str) -> DataFrame:
     return f.select(F.col("f.geometry.coordinates")[1].alias("lat"), F.col("f.geometry.coordinates")[0].alias("lon"), F.col("f.properties").alias("properties"))
 
 
-# Kinds of plants, by what their source tag says.
-BUCKETS = [("gas", "gas|cng|lng"), ("diesel", "diesel|oil"), ("battery", "battery|storage"), ("solar", "solar|photovolt"), ("wind", "wind")]
-
-
-def plant_bucket(source: Column) -> Column:
-    out = None
-    for name, pattern in BUCKETS:
-        test = F.lower(source).rlike(pattern)
-        out = F.when(test, name) if out is None else out.when(test, name)
-    return out.otherwise("other")
-
-
 def document_links(pages: DataFrame, html: str = "html") -> DataFrame:
     """page_id, href, name of the anchors of a document list, however loosely written; `file=` is decoded, each address once."""
     anchor = F.explode(F.regexp_extract_all(F.col(html), F.lit(r"""(?is)<a\b[^>]*?href\s*=\s*["']?([^"'\s>]+)"""), F.lit(1))).alias("href")
