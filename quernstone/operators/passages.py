@@ -201,20 +201,23 @@ def verified_quotes(quotes: DataFrame, pages: DataFrame) -> DataFrame:
 def containing_documents(quotes: DataFrame, docs: DataFrame) -> DataFrame:
     """quote id, doc of every document whose normal form holds the quote's.
 
-    Quotes are cut to their first eight words as an equi-join key against the documents'
-    runs of eight words, and only those candidates are searched; shorter quotes are few
-    and are searched for in all documents from a broadcast list.
+    Each side is brought to its normal form once. Words at a quote's ends may be parts of
+    words, so the keys of equi-joins are of inner ones: a run of eight for quotes of ten
+    words and more, one word for those of three and more. Only candidates are searched.
+    Quotes of one or two words have no inner word and are searched for in all documents.
     """
     words = lambda c: F.filter(F.split(c, " "), lambda w: w != "")
     q = quotes.select("id", F.trim(T.norm_ws(F.col("quote"))).alias("q")).where("q <> ''").withColumn("qw", words(F.col("q")))
     d = docs.select("doc", T.norm_ws(F.col("text")).alias("t")).withColumn("tw", words(F.col("t")))
-    # words at a quote's ends may be parts of words: keys are of the inner ones
-    long = q.where(F.size("qw") >= 10).withColumn("key", F.xxhash64(F.array_join(F.slice("qw", 2, 8), " ")))
     runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("tw") - 7, F.lit(1))), lambda k: F.xxhash64(F.array_join(F.slice("tw", k, 8), " ")))
-    hits = d.where(F.size("tw") >= 8).select("doc", F.explode(F.array_distinct(runs)).alias("key")).join(F.broadcast(long.select("id", "key")), "key").select("doc", "id").distinct()
+    long = q.where(F.size("qw") >= 10).select("id", F.xxhash64(F.array_join(F.slice("qw", 2, 8), " ")).alias("key"))
+    some = q.where(F.size("qw").between(3, 9)).select("id", F.xxhash64(F.element_at("qw", 2)).alias("key"))
+    by_run = d.where(F.size("tw") >= 8).select("doc", F.explode(F.array_distinct(runs)).alias("key")).join(long, "key")
+    by_word = d.select("doc", F.explode(F.array_distinct(F.transform("tw", lambda w: F.xxhash64(w)))).alias("key")).join(some, "key")
+    hits = by_run.select("doc", "id").unionByName(by_word.select("doc", "id")).distinct()
     found = hits.join(d.select("doc", "t"), "doc").join(q.select("id", "q"), "id").where(F.contains("t", F.col("q"))).select("id", "doc")
-    short = q.where(F.size("qw") < 10)
-    return found.unionByName(d.join(F.broadcast(short.select("id", "q")), F.contains("t", F.col("q"))).select("id", "doc"))
+    short = q.where(F.size("qw") < 3).select("id", "q")
+    return found.unionByName(d.join(short, F.contains("t", F.col("q"))).select("id", "doc"))
 
 
 FENCE = re.compile(r"^\s*```(?:json)?\s*|\s*```\s*$")
