@@ -42,7 +42,8 @@ WINDOW, ANCHOR = 50, 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 NO_ID = (1 << 63) - 1
-CHUNK_BYTES, PIECE = 4 << 20, 1 << 20
+CHUNK_BYTES, PIECE = 4 << 20, 1 << 19
+BUCKET_BYTES, TASK_BUCKETS = 2 << 20, 6
 
 CHUNK_DDL = "chunk long, doc_ids binary, lengths binary, body binary, rest binary"
 CHUNK = pa.schema([("chunk", pa.int64()), ("doc_ids", pa.binary()), ("lengths", pa.binary()), ("body", pa.binary()), ("rest", pa.binary())])
@@ -88,6 +89,13 @@ def _chunks(stream: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.R
             number += 1
 
 
+def _rows(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One row at a time: the columns of a batch can be large."""
+    for batch in stream:
+        for k in range(len(batch)):
+            yield batch.slice(k, 1).to_pylist()[0]
+
+
 class Chunk:
     def __init__(self, row: dict):
         self.number = row["chunk"]
@@ -171,25 +179,24 @@ def _routed(rows: list[tuple]) -> pa.RecordBatch:
 
 def _asked(stream: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
     """Each chunk's distinct anchor keys by bucket, those of several documents of the chunk marked."""
-    for batch in stream:
-        for row in batch.to_pylist():
-            chunk = Chunk(row)
-            keys, docs = [], []
-            for start, _, _, key, _, _ in chunk.runs():
-                keys.append(key)
-                docs.append(chunk.ids[np.searchsorted(chunk.bounds, start, "right") - 1])
-            if not keys:
-                continue
-            key, doc = np.concatenate(keys), np.concatenate(docs)
-            order = np.argsort(key, kind="stable")
-            key, doc = key[order], doc[order]
-            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-            several = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
-            key = key[first]
-            bucket = bucket_of(key, parts)
-            order = np.argsort(bucket, kind="stable")
-            key, several, bucket = short(key[order]), several[order], bucket[order]
-            yield _routed([(int(bucket[a]), chunk.number, _five(key[a:b]).tobytes() + np.packbits(several[a:b]).tobytes()) for a, b in _runs(bucket)])
+    for row in _rows(stream):
+        chunk = Chunk(row)
+        keys, docs = [], []
+        for start, _, _, key, _, _ in chunk.runs():
+            keys.append(key)
+            docs.append(chunk.ids[np.searchsorted(chunk.bounds, start, "right") - 1])
+        if not keys:
+            continue
+        key, doc = np.concatenate(keys), np.concatenate(docs)
+        order = np.argsort(key, kind="stable")
+        key, doc = key[order], doc[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        several = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
+        key = key[first]
+        bucket = bucket_of(key, parts)
+        order = np.argsort(bucket, kind="stable")
+        key, several, bucket = short(key[order]), several[order], bucket[order]
+        yield _routed([(int(bucket[a]), chunk.number, _five(key[a:b]).tobytes() + np.packbits(several[a:b]).tobytes()) for a, b in _runs(bucket)])
 
 
 def _answered(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,68 +259,68 @@ def _equal_bytes(data: np.ndarray, x: np.ndarray, y: np.ndarray, length: np.ndar
 
 def _sent(stream: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
     """Runs around shared anchors: to their bucket, or, where the chunk knows them to be repeats, straight to the result (bucket -1)."""
-    for batch in stream:
-        for row in batch.to_pylist():
-            if not row["told"]:
-                continue
-            known = np.sort(np.concatenate([_eight(np.frombuffer(b, np.uint8, offset=4)) | np.uint64(int.from_bytes(b[:4], "little")) << np.uint64(40) for b in row["told"]]))
-            chunk = Chunk(row)
-            found = []
-            for start, count, anchor, key, a, piece in chunk.runs():
-                full = short(key) | bucket_of(key, parts).astype(np.uint64) << np.uint64(40)
-                at = np.searchsorted(known, full)
-                keep = known[np.minimum(at, len(known) - 1)] == full
-                found.append((start[keep], count[keep], anchor[keep], key[keep]))
-            start, count, anchor, key = (np.concatenate(x) for x in zip(*found, strict=True))
-            doc = chunk.ids[np.searchsorted(chunk.bounds, start, "right") - 1]
-            length = count + WINDOW - 1
-            data, off, place = gathered(chunk.bytes, start, length)
-            sums = prefix_hash(data, place)
-            content = sums[off[1:]] - sums[off[:-1]]
-            # equal runs stand together, the smallest document first
-            order = np.lexsort((start, doc, content, length, anchor, key))
-            start, count, anchor, key, doc, length, content = (v[order] for v in (start, count, anchor, key, doc, length, content))
-            at = off[:-1][order]
-            same = np.append(False, (key[1:] == key[:-1]) & (content[1:] == content[:-1]) & (length[1:] == length[:-1]) & (anchor[1:] == anchor[:-1]))
-            group = np.cumsum(~same) - 1
-            head = np.flatnonzero(~same)[group]
-            deceived = ~_equal_bytes(data, at, at[head], np.where(head == np.arange(len(head)), 0, length))
-            least = (doc == doc[head]) & ~deceived
-            repeat = ~least & ~deceived
-            if repeat.any():
-                yield _routed([(-1, chunk.number, _pack(start[repeat].astype("<i8"), ((np.int64(1) << count[repeat]) - 1).astype("<u4")))])
-            # one string per group, with all its places in the smallest document
-            string = np.flatnonzero((head == np.arange(len(head))) | deceived)
-            owner = np.where(deceived, np.arange(len(head)), head)
-            places = np.flatnonzero(least | deceived)
-            places = places[np.argsort(owner[places], kind="stable")]
-            n_places = np.bincount(np.searchsorted(string, owner[places]), minlength=len(string))
-            bucket = bucket_of(key[string], parts)
-            by = np.argsort(bucket, kind="stable")
-            begin = np.append(0, np.cumsum(n_places))
-            rows = []
-            for a, b in _runs(bucket[by]):
-                one = by[a:b]
-                s = string[one]
-                text, _, _ = gathered(data, at[s], length[s])
-                where, _, _ = gathered(start[places], begin[one], n_places[one])
-                rows.append((int(bucket[one[0]]), chunk.number, _pack(key[s].astype("<u8"), doc[s].astype("<i8"), length[s].astype(np.uint8), anchor[s].astype(np.uint8), n_places[one].astype("<u4"), where.astype("<i8"), text)))
-                if len(rows) == 64:
-                    yield _routed(rows)
-                    rows = []
-            if rows:
+    for row in _rows(stream):
+        if not row["told"]:
+            continue
+        known = np.sort(np.concatenate([_eight(np.frombuffer(b, np.uint8, offset=4)) | np.uint64(int.from_bytes(b[:4], "little")) << np.uint64(40) for b in row["told"]]))
+        chunk = Chunk(row)
+        found = []
+        for start, count, anchor, key, a, piece in chunk.runs():
+            full = short(key) | bucket_of(key, parts).astype(np.uint64) << np.uint64(40)
+            at = np.searchsorted(known, full)
+            keep = known[np.minimum(at, len(known) - 1)] == full
+            found.append((start[keep], count[keep], anchor[keep], key[keep]))
+        start, count, anchor, key = (np.concatenate(x) for x in zip(*found, strict=True))
+        doc = chunk.ids[np.searchsorted(chunk.bounds, start, "right") - 1]
+        length = count + WINDOW - 1
+        data, off, place = gathered(chunk.bytes, start, length)
+        sums = prefix_hash(data, place)
+        content = sums[off[1:]] - sums[off[:-1]]
+        # equal runs stand together, the smallest document first
+        order = np.lexsort((start, doc, content, length, anchor, key))
+        start, count, anchor, key, doc, length, content = (v[order] for v in (start, count, anchor, key, doc, length, content))
+        at = off[:-1][order]
+        same = np.append(False, (key[1:] == key[:-1]) & (content[1:] == content[:-1]) & (length[1:] == length[:-1]) & (anchor[1:] == anchor[:-1]))
+        group = np.cumsum(~same) - 1
+        head = np.flatnonzero(~same)[group]
+        deceived = ~_equal_bytes(data, at, at[head], np.where(head == np.arange(len(head)), 0, length))
+        least = (doc == doc[head]) & ~deceived
+        repeat = ~least & ~deceived
+        if repeat.any():
+            yield _routed([(-1, chunk.number, _pack(start[repeat].astype("<u4"), ((np.int64(1) << count[repeat]) - 1).astype("<u4")))])
+        # one string per group, with all its places in the smallest document
+        string = np.flatnonzero((head == np.arange(len(head))) | deceived)
+        owner = np.where(deceived, np.arange(len(head)), head)
+        places = np.flatnonzero(least | deceived)
+        places = places[np.argsort(owner[places], kind="stable")]
+        n_places = np.bincount(np.searchsorted(string, owner[places]), minlength=len(string))
+        bucket = bucket_of(key[string], parts)
+        by = np.argsort(bucket, kind="stable")
+        begin = np.append(0, np.cumsum(n_places))
+        rows = []
+        for a, b in _runs(bucket[by]):
+            one = by[a:b]
+            s = string[one]
+            text, _, _ = gathered(data, at[s], length[s])
+            where, _, _ = gathered(start[places], begin[one], n_places[one])
+            rows.append((int(bucket[one[0]]), chunk.number, _pack(doc[s].astype("<i8"), length[s].astype(np.uint8), anchor[s].astype(np.uint8), n_places[one].astype("<u4"), where.astype("<u4"), text)))
+            if len(rows) == 64:
                 yield _routed(rows)
+                rows = []
+        if rows:
+            yield _routed(rows)
 
 
 class Suffixes:
     """Strings with an anchor each, sorted by key and by what stands from the anchor on."""
 
-    def __init__(self, key: np.ndarray, data: np.ndarray, length: np.ndarray, anchor: np.ndarray):
-        self.key, self.data, self.anchor = key, data, anchor
+    def __init__(self, data: np.ndarray, length: np.ndarray, anchor: np.ndarray, key: np.ndarray | None = None):
+        self.data, self.anchor = data, anchor
         self.off = np.append(0, np.cumsum(length))[:-1]
         self.begin = self.off + anchor
         self.right = length - anchor
         self.sums = prefix_hash(data, np.arange(len(data)) - np.repeat(self.off, length))
+        self.key = self.hash(np.arange(len(length)), anchor, np.full(len(length), ANCHOR)) if key is None else key
 
     def hash(self, i: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
         at = self.off[i] + begin
@@ -410,11 +417,11 @@ class Suffixes:
             width *= 2
 
 
-def repeated_windows(key: np.ndarray, doc: np.ndarray, length: np.ndarray, anchor: np.ndarray, data: np.ndarray) -> np.ndarray:
-    """A bit per window of each string, set if a string of the same key and a smaller doc has the same window."""
-    suffixes = Suffixes(key, data, length, anchor)
+def repeated_windows(doc: np.ndarray, length: np.ndarray, anchor: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """A bit per window of each string, set if a string of the same anchor and a smaller doc has the same window."""
+    suffixes = Suffixes(data, length, anchor)
     order, lcp = suffixes.sorted()
-    key, doc, anchor, begin = key[order], doc[order], anchor[order], suffixes.begin[order]
+    doc, anchor, begin = doc[order], anchor[order], suffixes.begin[order]
     count = length[order] - WINDOW + 1
     mask = np.zeros(len(order), np.uint32)
     for t in range(WINDOW - ANCHOR + 1):
@@ -448,22 +455,13 @@ def repeated_windows(key: np.ndarray, doc: np.ndarray, length: np.ndarray, ancho
     return out
 
 
-def _solved(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    parts, chunks = [], []
-    for batch in stream:
-        for bucket, number, body in zip(batch["bucket"].to_pylist(), batch["chunk"].to_pylist(), batch["body"].to_pylist(), strict=True):
-            if bucket < 0:
-                yield _routed([(-1, number, body)])
-                continue
-            parts.append(_unpack(body, "<u8", "<i8", "u1", "u1", "<u4", "<i8", "u1"))
-            chunks.append(number)
-    if not parts:
-        return
+def _solve(parts: list[list[np.ndarray]], chunks: list[int]) -> Iterator[pa.RecordBatch]:
+    """The repeated windows of one bucket, for each chunk that has any."""
     sizes = [len(p[0]) for p in parts]
-    key, doc, length, anchor, n_places, where, data = (np.concatenate(x) for x in zip(*parts, strict=True))
-    del parts
+    doc, length, anchor, n_places, where, data = (np.concatenate(x) for x in zip(*parts, strict=True))
+    parts.clear()
     length, anchor, n_places = length.astype(np.int64), anchor.astype(np.int64), n_places.astype(np.int64)
-    mask = repeated_windows(key, doc, length, anchor, data)
+    mask = repeated_windows(doc, length, anchor, data)
     row, begin = np.repeat(np.arange(len(sizes)), sizes), np.append(0, np.cumsum(n_places))
     hit = np.flatnonzero(mask)
     for a, b in _runs(row[hit]):
@@ -472,42 +470,58 @@ def _solved(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _routed([(-1, chunks[row[one[0]]], _pack(places, np.repeat(mask[one], n_places[one]).astype("<u4")))])
 
 
+def _solved(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Buckets come one after the other; what is settled already goes through."""
+    parts, chunks, at = [], [], -1
+    for row in _rows(stream):
+        if row["bucket"] < 0:
+            yield _routed([(-1, row["chunk"], row["body"])])
+            continue
+        if row["bucket"] != at and parts:
+            yield from _solve(parts, chunks)
+            parts, chunks = [], []
+        at = row["bucket"]
+        parts.append(_unpack(row["body"], "<i8", "u1", "u1", "<u4", "<u4", "u1"))
+        chunks.append(row["chunk"])
+    if parts:
+        yield from _solve(parts, chunks)
+
+
 def covered(n: int, bodies: list[bytes]) -> np.ndarray:
     """Which of n bytes are in a repeated window."""
-    change = np.zeros(n + 1, np.int64)
+    starts = [np.zeros(0, np.int64)]
     for body in bodies:
-        place, mask = _unpack(body, "<i8", "<u4")
+        place, mask = _unpack(body, "<u4", "<u4")
         for k in range(0, len(place), 1 << 16):
             bits = mask[k : k + (1 << 16), None] >> np.arange(WINDOW - ANCHOR + 1, dtype=np.uint32) & np.uint32(1)
             row, bit = np.nonzero(bits)
-            start = place[k + row] + bit
-            change += np.bincount(start, minlength=n + 1)
-            change -= np.bincount(start + WINDOW, minlength=n + 1)
+            starts.append(place[k + row].astype(np.int64) + bit)
+    start = np.concatenate(starts)
+    change = np.bincount(start, minlength=n + 1) - np.bincount(start + WINDOW, minlength=n + 1)
     return np.cumsum(change)[:n] > 0
 
 
 def _cleaned(stream: Iterator[pa.RecordBatch], schema: pa.Schema, with_text: bool) -> Iterator[pa.RecordBatch]:
-    for batch in stream:
-        for row in batch.to_pylist():
-            chunk = Chunk(row)
-            gone = covered(len(chunk.bytes), row["told"] or [])
-            edges = np.append(False, gone)
-            rises = gone & ~edges[:-1]
-            rises[chunk.bounds[:-1][chunk.bounds[:-1] < len(gone)]] |= gone[chunk.bounds[:-1][chunk.bounds[:-1] < len(gone)]]
-            removed, n_spans = (np.append(0, np.cumsum(x))[chunk.bounds] for x in (gone, rises))
-            digests, texts = [], []
-            for a, b, any_ in zip(chunk.bounds[:-1].tolist(), chunk.bounds[1:].tolist(), np.diff(removed).tolist(), strict=True):
-                kept = chunk.bytes[a:b]
-                kept = (kept[~gone[a:b]] if any_ else kept).tobytes()
-                digests.append(hashlib.sha256(kept).hexdigest())
-                if with_text:
-                    texts.append(kept.decode("utf-8", "ignore"))
-            rest = pa.ipc.open_stream(chunk.rest).read_all().combine_chunks().to_batches()[0]
-            columns = {name: rest[name] for name in rest.schema.names}
-            columns |= {"n_bytes": pa.array(np.diff(chunk.bounds)), "n_removed": pa.array(np.diff(removed)), "n_spans": pa.array(np.diff(n_spans)), "kept_sha256": pa.array(digests, pa.string())}
+    for row in _rows(stream):
+        chunk = Chunk(row)
+        gone = covered(len(chunk.bytes), row["told"] or [])
+        edges = np.append(False, gone)
+        rises = gone & ~edges[:-1]
+        rises[chunk.bounds[:-1][chunk.bounds[:-1] < len(gone)]] |= gone[chunk.bounds[:-1][chunk.bounds[:-1] < len(gone)]]
+        removed, n_spans = (np.append(0, np.cumsum(x))[chunk.bounds] for x in (gone, rises))
+        digests, texts = [], []
+        for a, b, any_ in zip(chunk.bounds[:-1].tolist(), chunk.bounds[1:].tolist(), np.diff(removed).tolist(), strict=True):
+            kept = chunk.bytes[a:b]
+            kept = (kept[~gone[a:b]] if any_ else kept).tobytes()
+            digests.append(hashlib.sha256(kept).hexdigest())
             if with_text:
-                columns["text"] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) for f in schema], schema=schema)
+                texts.append(kept.decode("utf-8", "ignore"))
+        rest = pa.ipc.open_stream(chunk.rest).read_all().combine_chunks().to_batches()[0]
+        columns = {name: rest[name] for name in rest.schema.names}
+        columns |= {"n_bytes": pa.array(np.diff(chunk.bounds)), "n_removed": pa.array(np.diff(removed)), "n_spans": pa.array(np.diff(n_spans)), "kept_sha256": pa.array(digests, pa.string())}
+        if with_text:
+            columns["text"] = pa.array(texts, pa.string())
+        yield pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) for f in schema], schema=schema)
 
 
 def remove_repeats(docs: DataFrame, with_text: bool = True, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -522,15 +536,16 @@ def remove_repeats(docs: DataFrame, with_text: bool = True, chunk_bytes: int = C
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"), *others)
     chunks = written(rows.mapInArrow(lambda it: _chunks(it, chunk_bytes), CHUNK_DDL), "chunks", compression="none")
     total = chunks.agg(F.sum(F.length("lengths") / 8 * 64 + F.length("body")), F.count("*")).first()
-    parts = parts_for((total[0] or 0) * 2.5, 12 << 20, 4)
+    buckets = parts_for((total[0] or 0) * 2, BUCKET_BYTES, 4)  # about as many bytes of shared strings as of text
+    parts = parts_for(buckets, TASK_BUCKETS, 4)
 
-    asked = chunks.mapInArrow(lambda it: _asked(it, parts), ROUTED_DDL)
+    asked = chunks.mapInArrow(lambda it: _asked(it, buckets), ROUTED_DDL)
     told = asked.repartition(parts, "bucket").mapInArrow(_answered, ROUTED_DDL)
     with_told = chunks.join(told.groupBy("chunk").agg(F.collect_list("body").alias("told")), "chunk", "left")
-    sent = with_told.mapInArrow(lambda it: _sent(it, parts), ROUTED_DDL)
+    sent = with_told.mapInArrow(lambda it: _sent(it, buckets), ROUTED_DDL)
     # what is settled already is spread by chunk, the rest by bucket
-    where = F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("chunk"), F.lit(parts))).otherwise(F.col("bucket"))
-    solved = sent.repartition(parts, where).mapInArrow(_solved, ROUTED_DDL)
+    where = F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("chunk"), F.lit(buckets))).otherwise(F.col("bucket"))
+    solved = sent.repartition(parts, where).sortWithinPartitions("bucket").mapInArrow(_solved, ROUTED_DDL)
     results = chunks.join(solved.groupBy("chunk").agg(F.collect_list("body").alias("told")), "chunk", "left")
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.select("doc_id", *others).schema] + ["n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string", *["text string"] * with_text]
     ddl = ", ".join(f"`{f.split(' ', 1)[0]}` {f.split(' ', 1)[1]}" for f in fields)
