@@ -33,25 +33,25 @@ PIECES_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long, i
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary())])
 
 
-def _pieces(stream: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
+def _pieces(stream: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int, ids_as: str | None) -> Iterator[pa.RecordBatch]:
     words = WordTokens.load(path)
     for batch in stream:
 
         def rows(batch: pa.RecordBatch = batch) -> Iterator[tuple]:
             for doc_id, ids in zip(batch["doc_id"].to_pylist(), words.encode(batch["text"].to_pylist()), strict=True):
-                ids = np.append(ids.astype("<u4"), np.uint32(end_id))
+                ids = np.append(ids, words.dtype.type(end_id))
                 for k, start in enumerate(range(0, len(ids), capacity)):
-                    cut = ids[start : start + capacity].astype("<u4").tobytes()
-                    yield doc_id, k, start, len(cut) // 4, zlib.crc32(cut), cut if with_ids else None
+                    cut = ids[start : start + capacity]
+                    yield doc_id, k, start, len(cut), zlib.crc32(cut.astype("<u4").tobytes()), cut.astype(ids_as).tobytes() if ids_as else None
 
-        yield from batches(rows(), PIECES, weight=5 if with_ids else None)
+        yield from batches(rows(), PIECES, weight=5 if ids_as else None)
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, with_ids: bool = False) -> DataFrame:
-    """Each document's ids and the end id, cut into pieces of `capacity`; `ids` has little-endian unsigned 32-bit ids, if asked for."""
+def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, ids_as: str | None = None) -> DataFrame:
+    """Each document's ids and the end id, cut into pieces of `capacity`; with `ids_as` (a numpy type) also the ids themselves."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
-    out = rows.mapInArrow(lambda it: _pieces(it, tokenizer_path, capacity, end_id, with_ids), PIECES_DDL)
-    return out if with_ids else out.drop("ids")
+    out = rows.mapInArrow(lambda it: _pieces(it, tokenizer_path, capacity, end_id, ids_as), PIECES_DDL)
+    return out if ids_as else out.drop("ids")
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

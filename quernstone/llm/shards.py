@@ -1,18 +1,19 @@
 """Training-order shards of token ids.
 
-Sequences are numbered 0..n-1 in order of (doc_id, piece). A keyed Feistel network over
-the smallest even number of bits that covers n, walked on while it lands beyond n, is a
-permutation of these numbers, so every sequence has a global slot that anyone with the
-key can compute. Slots are dealt in ranges to shards: files of fixed-stride records
-(little-endian unsigned ids, padded), in slot order, so a reader finds slot s at
-(s mod per_shard) * stride of shard s div per_shard and can resume anywhere.
+Sequences are numbered 0..n-1 in the order of the written token table. A keyed Feistel
+network over the smallest even number of bits that covers n, walked on while it lands
+beyond n, is a permutation of these numbers, so every sequence has a global slot that
+anyone with the key can compute. Slots are dealt in ranges to shards: files of
+fixed-stride records (a 32-bit length, then little-endian unsigned ids, padded), in slot
+order, so a reader finds slot s in shard s div per_shard at (s mod per_shard) records
+and can resume anywhere.
 
 A shard is written under a temporary name and then renamed, so a task that is repeated
 or lost leaves no half shard behind.
 
 Defined cases: null text counts as empty (one sequence: the end id alone); repeated rows
-and ids are all written, in a stable order; a null doc_id comes first; an empty table
-gives no shards; other columns are ignored.
+and ids, and rows of null doc_id, are all written; an empty table gives no shards; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +32,7 @@ from quernstone.llm.common import drop, parts_for, scratch, written
 from quernstone.llm.packing import token_pieces
 
 ROUNDS = 6
+HEADER = 4
 
 
 def _round(value: np.ndarray, key: int, number: int) -> np.ndarray:
@@ -56,23 +59,24 @@ def permuted(numbers: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def numbered(pieces: DataFrame) -> tuple[DataFrame, int]:
-    """`pieces` (with a unique `row`) as row, number: dense numbers in order of (doc_id, piece, row), and how many.
+ROW_BITS = 33  # of a row's place within its task, in what monotonically_increasing_id gives
 
-    Ranges are counted first; their counts, one a partition, are all that reaches the driver.
-    """
-    from pyspark.sql.window import Window
 
-    order = ["doc_id", "piece", "row"]
-    ranged = written(pieces.select(*order).repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "ranges")
-    counts = ranged.groupBy("part").count().orderBy("part").collect()
-    starts, total = {}, 0
-    for part, n in counts:
-        starts[part], total = total, total + n
-    begin = F.create_map(*[F.lit(x) for kv in starts.items() for x in kv]) if starts else None
-    inside = F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
-    number = inside + (begin[F.col("part")] if begin is not None else 0)
-    return ranged.select("row", number.cast("long").alias("number")), total
+def numbered(table: DataFrame) -> tuple[DataFrame, int]:
+    """The written `table` (with `row` from its tasks) with dense numbers in its order, and how many.
+
+    Rows are counted by task; these counts, one a task, are broadcast, and nothing is shuffled.
+    """
+    task = F.shiftright("row", ROW_BITS)
+    counts = table.groupBy(task.alias("task")).count().orderBy("task").collect()
+    starts, total = [], 0
+    for of_task, n in counts:
+        starts.append((of_task, total))
+        total += n
+    begin = table.sparkSession.createDataFrame(starts, "task long, begin long")
+    number = F.col("begin") + F.col("row").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    joined = table.withColumn("task", task).join(F.broadcast(begin), "task")
+    return joined.withColumn("number", number).drop("task", "begin", "row"), total
 
 
 SHARD_DDL = "shard long, path string, first_slot long, n long"
@@ -85,6 +89,7 @@ def _write(stream: Iterator[pa.RecordBatch], folder: str, per_shard: int, stride
 
     system, base = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
     system.create_dir(base, recursive=True)
+    width = np.dtype(dtype).itemsize
     file = name = temporary = None
     shard, first, n = -1, 0, 0
 
@@ -102,10 +107,7 @@ def _write(stream: Iterator[pa.RecordBatch], folder: str, per_shard: int, stride
                 name = f"{base}/shard-{shard:08d}.bin"
                 temporary = f"{base}/.{uuid.uuid4().hex}"
                 file = system.open_output_stream(temporary)
-            record = np.zeros(stride, dtype)
-            tokens = np.frombuffer(ids, "<u4")
-            record[: len(tokens)] = tokens
-            file.write(record.tobytes())
+            file.write((len(ids) // width).to_bytes(HEADER, "little") + ids + bytes(stride * width - len(ids)))
             n += 1
     if file is not None:
         yield done()
@@ -115,57 +117,68 @@ READ_DDL = "slot long, ids binary"
 READ = pa.schema([("slot", pa.int64()), ("ids", pa.binary())])
 
 
-def _read(stream: Iterator[pa.RecordBatch], folder: str, stride: int, dtype: str, block: int = 1024) -> Iterator[pa.RecordBatch]:
+def _records(stream: Iterator[pa.RecordBatch], folder: str, stride: int, dtype: str, block: int = 1024) -> Iterator[tuple[int, list[bytes]]]:
+    """First slot and records of each block of the shards, read one after the other."""
     from pyarrow import fs
 
     system, _ = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
-    size = stride * np.dtype(dtype).itemsize
+    size = HEADER + stride * np.dtype(dtype).itemsize
     for batch in stream:
         for path, first, n in zip(batch["path"].to_pylist(), batch["first_slot"].to_pylist(), batch["n"].to_pylist(), strict=True):
             with system.open_input_stream(path) as file:
                 for k in range(0, n, block):
                     count = min(block, n - k)
-                    data = np.frombuffer(file.read(count * size), dtype).reshape(count, stride)
-                    rows = [r.astype("<u4").tobytes() for r in data]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(first + k, first + k + count)), pa.array(rows, pa.binary())], schema=READ)
+                    data = file.read(count * size)
+                    yield first + k, [data[i * size : (i + 1) * size] for i in range(count)]
 
 
-def _slots(stream: Iterator[pa.RecordBatch], n: int, key: int) -> Iterator[pa.RecordBatch]:
-    for batch in stream:
-        yield pa.RecordBatch.from_arrays([batch["row"], pa.array(permuted(batch["number"].to_numpy(), n, key))], names=["row", "slot"])
+def _ids(record: bytes, dtype: str) -> bytes:
+    return record[HEADER : HEADER + int.from_bytes(record[:HEADER], "little") * np.dtype(dtype).itemsize]
+
+
+def _read(stream: Iterator[pa.RecordBatch], folder: str, stride: int, dtype: str) -> Iterator[pa.RecordBatch]:
+    for first, records in _records(stream, folder, stride, dtype):
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(first, first + len(records))), pa.array([_ids(r, dtype) for r in records], pa.binary())], schema=READ)
+
+
+def _crcs(stream: Iterator[pa.RecordBatch], folder: str, stride: int, dtype: str) -> Iterator[pa.RecordBatch]:
+    for first, records in _records(stream, folder, stride, dtype):
+        crc = [zlib.crc32(np.frombuffer(_ids(r, dtype), dtype).astype("<u4").tobytes()) for r in records]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(first, first + len(records))), pa.array(crc, pa.int64())], names=["slot", "ids_crc32"])
 
 
 def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, key: int = 20_240_601, stride: int = 1024, per_shard: int = 8192, end_id: int = 0, dtype: str = "<u2") -> tuple[DataFrame, DataFrame]:
-    """Write the shards of `docs` to `folder`, now; returns the manifest (shard, path, first_slot, n) and slot, doc_id, piece, length."""
+    """Write the shards of `docs` to `folder`, now; returns the manifest (shard, path, first_slot, n) and slot, doc_id, piece, length.
+
+    The ids are shuffled once, each to the task of its shard.
+    """
     spark = docs.sparkSession
     held = scratch(spark, "tokens")
-    pieces = token_pieces(docs, tokenizer_path, stride, end_id, with_ids=True)
+    pieces = token_pieces(docs, tokenizer_path, stride, end_id, dtype)
     pieces.withColumn("row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(held)
-    pieces = spark.read.parquet(held)
-    numbers, n = numbered(pieces)
-    slots = written(numbers.mapInArrow(lambda it: _slots(it, n, key), "row long, slot long"), "slots")
-    placed = pieces.join(slots, "row")
+    numbers, n = numbered(spark.read.parquet(held))
+
+    @F.pandas_udf("long")
+    def slot_of(number: pd.Series) -> pd.Series:
+        return pd.Series(permuted(number.to_numpy(), n, key))
+
+    placed = numbers.withColumn("slot", slot_of("number"))
     shards = parts_for(n, per_shard)
-    ranged = placed.select("slot", "ids").withColumn("shard", F.floor(F.col("slot") / per_shard)).repartitionByRange(shards, "shard").sortWithinPartitions("slot")
-    manifest = written(ranged.select("slot", "ids").mapInArrow(lambda it: _write(it, folder, per_shard, stride, dtype), SHARD_DDL), "manifest")
+    dealt = placed.select("slot", "ids").repartitionById(shards, F.floor(F.col("slot") / per_shard).cast("int")).sortWithinPartitions("slot")
+    manifest = written(dealt.mapInArrow(lambda it: _write(it, folder, per_shard, stride, dtype), SHARD_DDL), "manifest")
     places = written(placed.select("slot", "doc_id", "piece", "length"), "places")
     drop(spark, held)
     return manifest, places
 
 
 def read_shards(manifest: DataFrame, folder: str, stride: int = 1024, dtype: str = "<u2", from_slot: int = 0) -> DataFrame:
-    """slot, ids (32-bit, padded to the stride) from `from_slot` on; whole shards before it are not opened."""
+    """slot, ids from `from_slot` on; whole shards before it are not opened."""
     live = manifest.where(F.col("first_slot") + F.col("n") > from_slot).repartition("shard")
     return live.mapInArrow(lambda it: _read(it, folder, stride, dtype), READ_DDL).where(F.col("slot") >= from_slot)
 
 
-def _checked(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in stream:
-        crc = [zlib.crc32(ids[: 4 * n]) for ids, n in zip(batch["ids"].to_pylist(), batch["length"].to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch["slot"], batch["doc_id"], batch["piece"], batch["length"], pa.array(crc, pa.int64())], names=["slot", "doc_id", "piece", "length", "ids_crc32"])
-
-
 def shard_contents(manifest: DataFrame, places: DataFrame, folder: str, stride: int = 1024, dtype: str = "<u2") -> DataFrame:
-    """slot, doc_id, piece, length, and ids_crc32 of the ids as the shards hold them."""
-    read = read_shards(manifest, folder, stride, dtype)
-    return read.join(places, "slot").select("slot", "ids", "doc_id", "piece", "length").mapInArrow(_checked, "slot long, doc_id long, piece int, length long, ids_crc32 long")
+    """slot, doc_id, piece, length, and ids_crc32 of the ids (as 32-bit ones) as the shards hold them."""
+    read = manifest.repartition("shard").mapInArrow(lambda it: _crcs(it, folder, stride, dtype), "slot long, ids_crc32 long")
+    # Spark takes what comes out of Python for small; the sides are as long as the corpus
+    return read.hint("merge").join(places.hint("merge"), "slot").select("slot", "doc_id", "piece", "length", "ids_crc32")

@@ -54,7 +54,7 @@ class WordTokens:
         self.model = self.tokenizer.model
         self.words: dict[str, bytes] = {}
         self.pattern = self._pattern()
-        self.added = tuple(t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.added = tuple({t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()})
         self.dtype = np.dtype("<u2") if vocabulary <= 1 << 16 else np.dtype("<u4")
 
     @classmethod
