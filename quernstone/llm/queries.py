@@ -71,7 +71,18 @@ ALL = (
 )
 QUERIES = {f.__name__: f for f in ALL}
 
+_ESCAPED = r"""len(regexp_extract_all({}, '[<\[]\\*(\|turn\|>|\|says\|>|\|end\|>|/?s>|/?INST\])'))"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_chat_format": f"""
+        WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+            sum(length('<|turn|><|says|><|end|>') + length(role) + length(text) + {_ESCAPED.format("role")} + {_ESCAPED.format("text")})::BIGINT AS formatted_chars
+        FROM c GROUP BY conv_id
+    """,
     "op3_exact_dedup": """
         WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS s FROM documents),
         g AS (SELECT s, max(doc_id) AS keep_id, count(*) AS group_size, sha256(s) AS text_sha256 FROM t GROUP BY s)
