@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
@@ -94,7 +95,7 @@ def parse(page: str) -> Element:
             if stack[k].tag in walls:
                 return
 
-    at, end = 0, len(page)
+    at, end, deepest = 0, len(page), 0
     while at < end:
         m = TOKEN.search(page, at)
         if m is None:
@@ -129,6 +130,9 @@ def parse(page: str) -> Element:
             at = stop.end() if stop else end
         elif tag not in VOID and not m[3].endswith("/"):
             stack.append(element)
+            deepest = max(deepest, len(stack))
+    # elements are walked by recursion, which in Python needs no stack of the machine's
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 3 * deepest + 1000))
     return root
 
 
@@ -242,7 +246,6 @@ def site_templates(pages: DataFrame, share: float = 0.2, least: int = 5) -> Data
 
 
 def _extracted(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[tuple, frozenset[int]] = {}
     for batch in stream:
         texts = []
         for page, template in zip(batch["html"].to_pylist(), batch["template"].to_pylist(), strict=True):
@@ -250,9 +253,15 @@ def _extracted(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], schema=TEXTS)
 
 
-def extract_pages(pages: DataFrame, share: float = 0.2, least: int = 5) -> DataFrame:
-    """page_id, url, text, n_chars of every page."""
+def extract_pages(pages: DataFrame, share: float = 0.2, least: int = 5, salts: int = 32) -> DataFrame:
+    """page_id, url, text, n_chars of every page.
+
+    A host can have a third of all pages, so its pages are dealt to `salts` parts and its
+    template, a short list, is sent to each of them.
+    """
     host = F.coalesce(F.lower(F.regexp_extract(F.col("url").cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), host.alias("host"))
-    joined = rows.join(site_templates(rows, share, least), "host", "left").select("page_id", "url", "html", "template")
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)))
+    templates = site_templates(rows, share, least).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    joined = salted.join(templates, ["host", "salt"], "left").select("page_id", "url", "html", "template")
     return joined.mapInArrow(_extracted, TEXT_DDL)
