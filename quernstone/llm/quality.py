@@ -125,7 +125,7 @@ def _featured(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, positives: int = 3000, unlabelled: int = 6000) -> QualityModel:
-    """Fit on the training folds. What reaches the driver is about `positives` + `unlabelled` rows of features."""
+    """Fit on the training folds. The fit is one task over about `positives` + `unlabelled` rows of features; the weights reach the driver."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     known = known.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT))
     n, ones = known.agg(F.count("*"), F.sum("quality")).first()
@@ -141,13 +141,26 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = 3000, unlabelled:
     # the trusted ids are bounded by `positives`
     p = rows.join(F.broadcast(trusted), "doc_id", "left_semi").select(F.lit(True).alias("positive"), "text")
     u = rows.where(about(F.col("text"), unlabelled, rows.count())).select(F.lit(False).alias("positive"), "text")
-    found = p.unionByName(u).mapInArrow(_featured, FEATURES_DDL).toArrow()
+    # one task of bounded input, whose linear algebra Spark holds to the cores of a task
+    fitted = p.unionByName(u).mapInArrow(_featured, FEATURES_DDL).repartition(1).mapInArrow(lambda it: _fitted(it, prior), MODEL_DDL).first()
+    if fitted is None:
+        return QualityModel(np.zeros(WIDTH), float(np.log(prior / (1 - prior))))
+    return QualityModel(np.frombuffer(fitted["weights"], np.float64), fitted["bias"])
+
+
+MODEL_DDL = "weights binary, bias double"
+
+
+def _fitted(stream: Iterator[pa.RecordBatch], prior: float) -> Iterator[pa.RecordBatch]:
+    found = pa.Table.from_batches(list(stream), FEATURES)
     x = np.frombuffer(b"".join(found["x"].to_pylist()), np.float32).reshape(-1, WIDTH)
-    order = sorted(range(len(x)), key=lambda i: x[i].tobytes())  # the fit does not depend on the order of tasks
-    x, is_p = x[order], np.asarray(found["positive"])[order]
+    is_p = np.array(found["positive"].to_pylist(), bool)
     if not is_p.any() or is_p.all():
-        return QualityModel(np.zeros(WIDTH), float(np.log(prior / (1 - prior))))
-    return fit(x[is_p], x[~is_p], prior)
+        return
+    order = sorted(range(len(x)), key=lambda i: (bool(is_p[i]), x[i].tobytes()))  # the fit does not depend on the order of tasks
+    x, is_p = x[order], is_p[order]
+    model = fit(x[is_p], x[~is_p], prior)
+    yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.bias])], names=["weights", "bias"])
 
 
 SCORED_DDL = "doc_id long, held_out boolean, score double, predicted int"
