@@ -4,9 +4,13 @@ Base counts come first (words, symbols, repeated lines and windows). The method'
 verdict compares two histograms of a document with those of languages by the
 Jensen-Shannon distance (square root of the divergence, base 2): characters by class,
 and common words against all others. A language's reference is the mean histogram of
-all its documents that pass the base rules, each counting alike whatever its length. A
-document is held against the nearest language; too short a document for a histogram is
-not judged by it.
+those of its documents that pass the base rules and are long enough for both histograms
+(60 words, 400 characters), each counting alike whatever its length. Every language with
+five such documents has one, whatever its share of the table. A document is held against
+the nearest of its own language and the widespread ones, so that a rare language's
+documents have their own reference and the odd ones of a rare label excuse no others.
+Where its language has no reference, a document is not judged by divergence, and too
+short a document for a histogram is not judged by it.
 
 Defined cases: null text counts as none (0 words, base_failed); a null lang is a
 language of its own; repeated rows are all returned; an empty table gives an empty
@@ -159,43 +163,56 @@ def _sums(stream: Iterator[pa.RecordBatch], limits: RuleLimits) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), SUMS, strict=True)], schema=SUMS)
 
 
-def language_references(docs: DataFrame, limits: RuleLimits = RuleLimits(), least_share: float = 0.001) -> tuple[np.ndarray, np.ndarray]:
-    """Mean histograms of each language over all documents: a few numbers a task, summed in Spark.
+@dataclass(frozen=True)
+class References:
+    """Mean histograms, a row a language, and which rows a language's documents are held against."""
+
+    classes: np.ndarray
+    words: np.ndarray
+    rows: dict[str | None, list[int]]
+
+
+def language_references(docs: DataFrame, limits: RuleLimits = RuleLimits(), least_docs: int = 5, least_share: float = 0.001) -> References:
+    """Mean histograms of each language over all documents that count: a few numbers a task, summed in Spark.
 
-    Rounded, so that the order in which tasks end has no effect. Languages of fewer than
-    `least_share` of the documents have no reference of their own.
+    Rounded, so that the order in which tasks end has no effect. A language has a reference
+    from `least_docs` documents on. One with `least_share` of them is widespread: its
+    reference serves the documents of all languages, as labels can be wrong. A row a language
+    reaches the driver.
     """
     rows = docs.select(F.col("lang").cast("string").alias("lang"), text_or_empty("text").alias("text"))
     sums = rows.mapInArrow(lambda it: _sums(it, limits), SUMS_DDL)
     add = [F.sum(F.col("classes")[k]) for k in range(N_CLASSES)] + [F.sum(F.col("words")[k]) for k in range(N_WORDS)]
-    total = sums.groupBy("lang").agg(F.sum("n"), F.array(*add)).where(F.col("sum(n)") > 0).orderBy(F.desc("sum(n)"), "lang").limit(int(1 / least_share)).collect()
+    total = sums.groupBy("lang").agg(F.sum("n"), F.array(*add)).where(F.col("sum(n)") >= least_docs).orderBy(F.desc("sum(n)"), "lang").collect()
+    if not total:
+        return References(np.zeros((0, N_CLASSES)), np.zeros((0, N_WORDS)), {})
     n = sum(r[1] for r in total)
-    found = [np.round(np.array(r[2]) / r[1], 9) for r in total if r[1] >= least_share * n]
-    if not found:
-        return np.zeros((0, N_CLASSES)), np.zeros((0, N_WORDS))
-    both = np.stack(found)
+    wide = [k for k, r in enumerate(total) if r[1] >= least_share * n]
+    both = np.stack([np.round(np.array(r[2]) / r[1], 9) for r in total])
     classes, words = both[:, :N_CLASSES], both[:, N_CLASSES:]
-    return classes / classes.sum(axis=1, keepdims=True), words / words.sum(axis=1, keepdims=True)
+    held = {r[0]: wide if k < len(wide) else [k, *wide] for k, r in enumerate(total)}
+    return References(classes / classes.sum(axis=1, keepdims=True), words / words.sum(axis=1, keepdims=True), held)
 
 
 VERDICT_DDL = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, class_distance double, word_distance double"
 VERDICT = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), ("base_failed", pa.bool_()), ("kept", pa.bool_()), ("class_distance", pa.float64()), ("word_distance", pa.float64())])
 
 
-def _verdicts(stream: Iterator[pa.RecordBatch], references: tuple[np.ndarray, np.ndarray], limits: RuleLimits) -> Iterator[pa.RecordBatch]:
-    ref_classes, ref_words = references
+def _verdicts(stream: Iterator[pa.RecordBatch], references: References, limits: RuleLimits) -> Iterator[pa.RecordBatch]:
+    held = {lang: (references.classes[at], references.words[at]) for lang, at in references.rows.items()}
     for batch in stream:
         rows = []
-        for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
+        for doc_id, lang, text in zip(batch["doc_id"].to_pylist(), batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
             words = WORD.findall(text)
             counts = base_counts(text, words)
             failed = base_failed(counts, limits)
             classes, common = histograms(text, words)
             by_class = by_word = None
-            if len(ref_classes) and classes.sum() >= limits.min_class_chars:
-                by_class = round(float(distance(classes, ref_classes).min()), 6)
-            if len(ref_words) and len(words) >= limits.min_common_words:
-                by_word = round(float(distance(common, ref_words).min()), 6)
+            own = held.get(lang)
+            if own and classes.sum() >= limits.min_class_chars:
+                by_class = round(float(distance(classes, own[0]).min()), 6)
+            if own and len(words) >= limits.min_common_words:
+                by_word = round(float(distance(common, own[1]).min()), 6)
             kept = not failed and (by_class or 0) <= limits.max_class_distance and (by_word or 0) <= limits.max_word_distance(len(words))
             rows.append((doc_id, *counts, failed, kept, by_class, by_word))
         if rows:
@@ -205,5 +222,5 @@ def _verdicts(stream: Iterator[pa.RecordBatch], references: tuple[np.ndarray, np
 def rule_verdicts(docs: DataFrame, limits: RuleLimits = RuleLimits()) -> DataFrame:
     """The base counts and the verdict of every document; two passes over the texts, no shuffle of them."""
     references = language_references(docs, limits)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text_or_empty("text").alias("text"))
     return rows.mapInArrow(lambda it: _verdicts(it, references, limits), VERDICT_DDL)

@@ -546,3 +546,20 @@ def test_rules_empty(spark, docs):
     assert rules.rule_verdicts(docs.limit(0)).count() == 0
     lonely = spark.createDataFrame([(1, None, None), (2, "a b " * 200, None)], "doc_id long, text string, lang string")
     assert rules.rule_verdicts(lonely).count() == 2
+
+
+def test_rules_rare_languages_have_their_own_reference(spark):
+    common = {"en": rules.COMMON["en"][:8], "es": rules.COMMON["es"][:8], "de": rules.COMMON["de"][:8]}
+
+    def text(lang, k):
+        rng = random.Random(f"{lang}-{k}")
+        return " ".join(rng.choice(common[lang]) if rng.random() < 0.5 else "x" + rng.choice("abcdefgh") + str(rng.randint(0, 999)) for _ in range(250))
+
+    # 5 documents in 6,007, under a thousandth; two of a language that has no reference
+    rows = [(k, text("en", k % 40), "en") for k in range(6000)] + [(10_000 + k, text("es", k), "es") for k in range(5)] + [(20_000 + k, text("de", k), "de") for k in range(2)]
+    rows += [(30_000, text("es", 9), "en")]
+    got = {r.doc_id: r for r in rules.rule_verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(got[10_000 + k].kept and got[10_000 + k].word_distance < 0.2 for k in range(5))
+    assert all(got[20_000 + k].kept and got[20_000 + k].word_distance is None for k in range(2))
+    # a rare language's reference is not held up to the documents of others
+    assert not got[30_000].kept and got[30_000].word_distance > 0.3
