@@ -709,6 +709,14 @@ def insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
     return merge.insert_ignore(c.where("c_custkey <= 100"), rows.union(rows), ["c_custkey"])[0]
 
 
+@query("snk_insert_ignore_all", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'new' ELSE c_mktsegment END AS c_mktsegment FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0")
+def insert_ignore_all(spark: SparkSession, sf: str) -> DataFrame:
+    """As `snk_insert_ignore`, over the whole table: two thirds of it as they are, and every second row comes in, twice."""
+    c, k = load(spark, sf, "customer").select("c_custkey", "c_mktsegment"), F.col("c_custkey")
+    rows = c.where(k % 2 == 0).withColumn("c_mktsegment", F.lit("new"))
+    return merge.insert_ignore(c.where(k % 3 != 0), rows.union(rows), ["c_custkey"])[0]
+
+
 @query("snk_state_guarded", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'F' ELSE 'N' END AS o_orderstatus FROM orders")
 def state_guarded(spark: SparkSession, sf: str) -> DataFrame:
     o = load(spark, sf, "orders").select("o_orderkey", "o_orderstatus")

@@ -195,3 +195,11 @@ def test_tranches():
 
     got = passages.tranches(Fake(), 12)
     assert list(got.tranche) == [1, 1, 2, 2] and isinstance(got, pd.DataFrame)
+
+
+def test_insert_ignore_covers_customers_of_any_id(spark, tmp_path):
+    from quernstone.plans import registry
+
+    spark.createDataFrame([(k, "old") for k in range(5000, 5012)], "c_custkey long, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    got = rows(registry.queries()["snk_insert_ignore_all"](spark, str(tmp_path)))
+    assert got == sorted((k, "old" if k % 3 else "new") for k in range(5000, 5012) if k % 3 or k % 2 == 0)
