@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         path = spark.conf.get("spark.checkpoint.dir", None)
@@ -26,15 +26,15 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     changes ends it.
     """
     both = edges.select("src", "dst").union(edges.select("dst", "src")).where("src <> dst").distinct()
-    both = _checkpointed(both)
+    both = checkpointed(both)
     every = nodes.select("node").union(both.select(F.col("src").alias("node"))).distinct()
-    label = _checkpointed(every.withColumn("root", F.col("node")))
+    label = checkpointed(every.withColumn("root", F.col("node")))
     while True:
         near = both.join(label, both.dst == label.node).groupBy("src").agg(F.min("root").alias("least"))
         fresh = label.join(near, label.node == near.src, "left").select("node", F.col("root").alias("old"), F.least("root", F.coalesce("least", "root")).alias("root"))
         above = fresh.select(F.col("node").alias("parent"), F.col("root").alias("above"))
         jumped = fresh.join(above, fresh.root == above.parent, "left").select("node", "old", F.coalesce("above", "root").alias("root"))
-        jumped = _checkpointed(jumped)
+        jumped = checkpointed(jumped)
         changed = jumped.where("old <> root").limit(1).count()
         label = jumped.select("node", "root")
         if not changed:

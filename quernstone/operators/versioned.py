@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quernstone.operators.graph import checkpointed
+
 
 def _cols(keys: list[str | Column]) -> list[Column]:
     return [F.col(k) if isinstance(k, str) else k for k in keys]
@@ -67,6 +69,23 @@ def with_neighbours(df: DataFrame, keys: list[str], order: list[Column], hit: Co
     return df.withColumn(name, F.max(hit).over(frame))
 
 
+def placed(df: DataFrame, order: list[Column], name: str = "place") -> DataFrame:
+    """Every row with its place in `order`, from 1.
+
+    Rows are sorted by ranges and kept in a reliable checkpoint; the ranges' row counts, one
+    a task, are broadcast, so that no window has all rows in one task.
+    """
+    at = checkpointed(df.orderBy(*order)).withColumn("_at", F.monotonically_increasing_id())
+    task = F.shiftright("_at", 33)
+    begin, total = [], 0
+    for of_task, n in at.groupBy(task.alias("task")).count().orderBy("task").collect():
+        begin.append((of_task, total))
+        total += n
+    starts = df.sparkSession.createDataFrame(begin, "_task long, _begin long")
+    place = F.col("_begin") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return at.withColumn("_task", task).join(F.broadcast(starts), "_task").withColumn(name, place).drop("_task", "_begin", "_at")
+
+
 def first_home(df: DataFrame, item: str, home: str, order: str) -> DataFrame:
     """Each item with the first home, by order, that lists it."""
     return df.groupBy(item).agg(F.min_by(F.col(home), F.struct(F.col(order), F.col(home))).alias(home))

@@ -151,6 +151,13 @@ def longest_first(spark: SparkSession, sf: str) -> DataFrame:
     return todo.orderBy(*order).limit(100).select("doc_id", F.row_number().over(Window.orderBy(*order)).cast("long").alias("place"))
 
 
+@query("win_longest_first_all", "SELECT doc_id, row_number() OVER (ORDER BY n_chars DESC, doc_id) AS place FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def longest_first_all(spark: SparkSession, sf: str) -> DataFrame:
+    """As `win_longest_first`, every job not yet done."""
+    todo = load(spark, sf, "documents").select("doc_id", "n_chars").join(load(spark, sf, "labels").select("doc_id"), "doc_id", "left_anti")
+    return versioned.placed(todo, [F.desc("n_chars"), F.col("doc_id")]).select("doc_id", "place")
+
+
 @query("win_tranche")
 def tranche(spark: SparkSession, sf: str) -> DataFrame:
     per = load(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("group")).agg(F.count("*").alias("n"))
@@ -638,12 +645,25 @@ def nulls_last(spark: SparkSession, sf: str) -> DataFrame:
     return j.orderBy(*order).limit(500).withColumn("place", F.row_number().over(Window.orderBy(*order)).cast("long"))
 
 
+@query("srt_nulls_last_all", "SELECT doc_id, quality, row_number() OVER (ORDER BY quality DESC NULLS LAST, doc_id) AS place FROM documents LEFT JOIN labels USING (doc_id)")
+def nulls_last_all(spark: SparkSession, sf: str) -> DataFrame:
+    """As `srt_nulls_last`, every row, those without a label after all others."""
+    j = load(spark, sf, "documents").select("doc_id").join(load(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "left")
+    return versioned.placed(j, [F.desc_nulls_last("quality"), F.col("doc_id")])
+
+
 @query("srt_hash_random", "SELECT doc_id FROM documents ORDER BY md5(doc_id::VARCHAR), doc_id LIMIT 50")
 def hash_random(spark: SparkSession, sf: str) -> DataFrame:
     """A deterministic shuffle, of which the first 50."""
     return load(spark, sf, "documents").select("doc_id").orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(50)
 
 
+@query("srt_hash_random_all", "SELECT doc_id, row_number() OVER (ORDER BY md5(doc_id::VARCHAR), doc_id) AS place FROM documents")
+def hash_random_all(spark: SparkSession, sf: str) -> DataFrame:
+    """As `srt_hash_random`, the whole shuffle."""
+    return versioned.placed(load(spark, sf, "documents").select("doc_id"), [F.md5(F.col("doc_id").cast("string")), F.col("doc_id")])
+
+
 @query("srt_case_priority", "SELECT o_orderkey FROM orders ORDER BY CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '5-LOW' THEN 1 ELSE 2 END, o_totalprice DESC, o_orderkey LIMIT 20")
 def case_priority(spark: SparkSession, sf: str) -> DataFrame:
     """A top list of 20."""
@@ -651,6 +671,14 @@ def case_priority(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "orders").orderBy(F.when(p == "1-URGENT", 0).when(p == "5-LOW", 1).otherwise(2), F.desc("o_totalprice"), "o_orderkey").select("o_orderkey").limit(20)
 
 
+@query("srt_case_priority_all", "SELECT o_orderkey, row_number() OVER (ORDER BY CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '5-LOW' THEN 1 ELSE 2 END, o_totalprice DESC, o_orderkey) AS place FROM orders")
+def case_priority_all(spark: SparkSession, sf: str) -> DataFrame:
+    """As `srt_case_priority`, every order."""
+    p = F.col("o_orderpriority")
+    o = load(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    return versioned.placed(o, [F.when(p == "1-URGENT", 0).when(p == "5-LOW", 1).otherwise(2), F.desc("o_totalprice"), F.col("o_orderkey")]).select("o_orderkey", "place")
+
+
 @query("srt_topk_array", "SELECT source, array_to_string(list_slice(list_sort(array_agg(n_chars), 'DESC'), 1, 3), ',') AS top3 FROM documents GROUP BY source")
 def topk_array(spark: SparkSession, sf: str) -> DataFrame:
     top = versioned.top_n(load(spark, sf, "documents").select("source", "n_chars", "doc_id"), ["source"], [F.desc("n_chars"), F.col("doc_id")], 3)

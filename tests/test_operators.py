@@ -203,3 +203,26 @@ def test_insert_ignore_covers_customers_of_any_id(spark, tmp_path):
     spark.createDataFrame([(k, "old") for k in range(5000, 5012)], "c_custkey long, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
     got = rows(registry.queries()["snk_insert_ignore_all"](spark, str(tmp_path)))
     assert got == sorted((k, "old" if k % 3 else "new") for k in range(5000, 5012) if k % 3 or k % 2 == 0)
+
+
+def test_orders_place_every_row(spark, tmp_path):
+    from quernstone.plans import registry
+
+    q = registry.queries()
+    spark.range(1200).selectExpr("id AS doc_id", "id * 7 % 1201 AS n_chars").repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(600).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS quality").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.place: r for r in q["srt_nulls_last_all"](spark, str(tmp_path)).collect()}
+    assert sorted(got) == list(range(1, 1201)) and got[1].doc_id == 1
+    assert all(got[600 + k].quality is None and got[600 + k].doc_id == 599 + k for k in range(1, 601))
+    jobs = {r.place: r.doc_id for r in q["win_longest_first_all"](spark, str(tmp_path)).collect()}
+    assert [jobs[k] for k in range(1, 601)] == sorted(range(600, 1200), key=lambda k: (-(k * 7 % 1201), k))
+    assert sorted(r.place for r in q["srt_hash_random_all"](spark, str(tmp_path)).collect()) == list(range(1, 1201))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranges = versioned.placed(spark.range(1000).repartition(3), [F.desc("id")])
+        assert ranges.select(F.spark_partition_id()).distinct().count() > 1
+        assert rows(ranges.where("id + place <> 1000")) == [] and ranges.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    plan = versioned.placed(spark.range(9), [F.col("id")])._jdf.queryExecution().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan
