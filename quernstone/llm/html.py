@@ -1,7 +1,8 @@
 """Main text of web pages, with each site's template removed.
 
 A page is parsed into elements. Elements that are never article text go by their tag,
-role, class or id. For the site template, the subtrees outside the article are hashed
+role, class or id, unless they hold the page's article or, where there is none, most of
+its text. For the site template, the subtrees outside the article are hashed
 (tags and text) and the pages of each host that have a hash are counted in Spark; a
 subtree found on many pages of its host is deleted. The article is what `article` or
 `main` holds, else what is left of the body.
@@ -35,6 +36,11 @@ DROPPED_WORDS = frozenset(
     "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login comment comments commentlist disqus reply replies respond discussion share sharing social related recommended recommendations "
     "pagination pager widget widgets search skip copyright disclaimer form hidden".split()
 )
+#: Class words that say where a part stands or that it is one; with a word above they make a token that drops, as in `sidebar-left` or `comment-list`.
+PLACES = frozenset("left right top bottom site global primary secondary list area container wrapper box block section bar links buttons icons items posts articles".split())
+#: What never holds an article, and what counts as no text of the page.
+NEVER = frozenset("head script style noscript template svg canvas math iframe object applet embed audio video map select option datalist input textarea button label title".split())
+UNCOUNTED = DROPPED - frozenset("header form fieldset".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var wbr ruby rt rp".split())
 CLOSES_P = frozenset("address article aside blockquote center details dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 #: A start tag closes an open element of the second set, unless one of the third stands between.
@@ -53,16 +59,21 @@ SCOPE = frozenset("article section div td th table body main li button".split())
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "size", "kept")
 
     def __init__(self, tag: str, attrs: str = ""):
-        self.tag, self.attrs = tag, attrs
+        self.tag, self.attrs, self.size, self.kept = tag, attrs, 0, False
         self.children: list[Element | str] = []
 
     def attributes(self) -> dict[str, str]:
         return {m[0].lower(): html.unescape(m[1] or m[2] or m[3]) for m in ATTRIBUTE.findall(self.attrs)} if self.attrs.strip(" /") else {}
 
+    def is_main(self) -> bool:
+        return self.tag == "main" or "main" in self.attrs and self.attributes().get("role") == "main"
+
     def dropped(self, in_article: bool) -> bool:
+        if self.kept:
+            return False
         if self.tag in DROPPED and not (self.tag == "header" and in_article):
             return True
         if not self.attrs or self.tag in ("html", "body"):
@@ -73,14 +84,15 @@ class Element:
         if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", "")):
             return True
         if self.tag in ("article", "main"):
-            return any(w in ("comment", "comments", "reply") for w in _words(a))
-        return any(w in DROPPED_WORDS for w in _words(a))
+            return any(w in ("comment", "comments", "reply") for words in _tokens(a) for w in words)
+        return any(not words.isdisjoint(DROPPED_WORDS) and words <= DROPPED_WORDS | PLACES for words in _tokens(a))
 
 
-def _words(attributes: dict[str, str]) -> Iterator[str]:
+def _tokens(attributes: dict[str, str]) -> Iterator[set[str]]:
+    """The words of each class and of the id; a token drops only if all of it says so (`cookie-notice`, not `has-sidebar`)."""
     for name in ("class", "id"):
-        value = re.sub(r"([a-z])([A-Z])", r"\1 \2", attributes.get(name, ""))
-        yield from re.findall(r"[a-z]+", value.lower())
+        for token in attributes.get(name, "").split():
+            yield set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower()))
 
 
 def parse(page: str) -> Element:
@@ -200,6 +212,67 @@ def _articles(element: Element, names: frozenset[str]) -> list[Element]:
     return out
 
 
+def _measure(element: Element) -> int:
+    """Sets how much text each element has, without what is no text of the page by its tag."""
+    size = 0
+    for child in element.children:
+        size += len(" ".join(child.split())) if isinstance(child, str) else _measure(child)
+    element.size = 0 if element.tag in UNCOUNTED else size
+    return element.size
+
+
+def _candidates(element: Element, lost: tuple[Element, ...], found: list[tuple[Element, tuple[Element, ...]]]) -> None:
+    """Every article and main with the elements around it that would be dropped."""
+    for child in element.children:
+        if isinstance(child, str) or child.tag in NEVER:
+            continue
+        gone = child.dropped(False)
+        if child.tag == "article" or child.is_main():
+            if not gone or child.tag not in ("article", "main"):
+                found.append((child, (*lost, child) if gone else lost))
+            elif gone:
+                continue
+        _candidates(child, (*lost, child) if gone else lost, found)
+
+
+def _left(element: Element, most: int, large: list[Element]) -> int:
+    """How much text stays outside of what is dropped; elements dropped with over `most` are listed."""
+    left = 0
+    for child in element.children:
+        if isinstance(child, str):
+            left += len(" ".join(child.split()))
+        elif not child.dropped(False):
+            left += _left(child, most, large)
+        elif child.size > most:
+            large.append(child)
+            _left(child, most, large)
+    return left
+
+
+def _keep_article(root: Element) -> None:
+    """What would be dropped with the page's article in it is kept: its main, or an article with more text than is left elsewhere.
+
+    A page without either keeps what has over half of its text. Comments and teasers can be
+    articles too, so a smaller one does not keep what is around it.
+    """
+    total = _measure(root)
+    found: list[tuple[Element, tuple[Element, ...]]] = []
+    _candidates(root, (), found)
+    large: list[Element] = []
+    if not found:
+        _left(root, total // 2, large)
+        for element in large:
+            element.kept = True
+        return
+    main = [f for f in found if f[0].is_main()]
+    article, lost = max(main or found, key=lambda f: f[0].size)
+    if lost:
+        free = [f[0].size for f in found if not f[1]]
+        if main or article.size > (max(free) if free else _left(root, total, large)):
+            for element in lost:
+                element.kept = True
+
+
 def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
     root = parse(page)
     if template:
@@ -208,6 +281,7 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
         for value, element in found:
             if value in template:
                 element.children = []
+    _keep_article(root)
     main = _articles(root, frozenset(["article"])) or _articles(root, frozenset(["main"]))
     out: list[list[str]] = []
     for element in main or [root]:

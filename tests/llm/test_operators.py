@@ -278,6 +278,19 @@ def test_html_article():
     assert html.main_text("<body><p>a<p>b</body>") == "a b"
 
 
+def test_html_wrappers_keep_their_article():
+    inner = "<article><p>long text of the page</p></article>"
+    for wrapper in ("<div class='layout has-sidebar'>%s</div>", "<div id='search-page'>%s</div>", "<form id=aspnetForm>%s</form>", "<div class=sidebar>%s</div>", "<div role=search><div hidden>%s</div></div>"):
+        assert html.main_text("<body><nav>n</nav>" + wrapper % inner + "<div class=ad>x</div></body>") == "long text of the page", wrapper
+        assert html.main_text("<body><nav>a longer menu than text</nav>" + wrapper % inner.replace("article", "main") + "<div>some more text than main has</div></body>") == "long text of the page", wrapper
+        assert html.main_text("<body>" + wrapper % "<p>long text of the page</p>" + "<div class=ad>x</div></body>") == "long text of the page", wrapper
+    for part in ("class=sidebar-left", "class='x cookieNotice'", "id=comments", "class=ad-2", "class=site-footer", "class=comment-list", "class=related-posts"):
+        assert html.main_text(f"<body><div>text of the page, the longer part</div><div {part}>shorter part</div></body>") == "text of the page, the longer part", part
+    # comments and teasers that are articles do not take the place of the text
+    assert html.main_text("<body><div>text of the page, the longer part</div><div id=comments><article>reader</article></div></body>") == "text of the page, the longer part"
+    assert html.main_text("<body><article>text of the page</article><div class=related><article>teaser</article></div></body>") == "text of the page"
+
+
 def test_html_deep_and_broken_pages():
     deep = "<div>" * 5000 + "inside" + "</div>" * 5000
     assert html.main_text(deep) == "inside"
