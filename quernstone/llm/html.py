@@ -2,9 +2,11 @@
 
 A page is parsed into elements. Elements that are never article text go by their tag,
 role, class or id, unless they hold the page's article or, where there is none, most of
-its text. For the site template, the subtrees outside the article are hashed
-(tags and text) and the pages of each host that have a hash are counted in Spark; a
-subtree found on many pages of its host is deleted. The article is what `article` or
+its text. For the site template, subtrees are hashed (tags and text) and the different
+pages of each host that have a hash are counted in Spark, copies of a page once; a
+subtree found on many pages of its host is deleted. Inside the article these are blocks
+only, no list items, headings or table parts, and only where they are a small part of
+it; an element that holds an article is never deleted as template. The article is what `article` or
 `main` holds, else what is left of the body.
 
 Defined cases: null html counts as empty (text empty); a null or odd url has the host
@@ -25,6 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quernstone.llm.common import checkpointed
+
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -55,14 +59,16 @@ IMPLIED = {
     "tbody": (frozenset(["thead", "tbody", "tr", "td", "th"]), frozenset(["table"])),
     "tfoot": (frozenset(["thead", "tbody", "tr", "td", "th"]), frozenset(["table"])),
 }
+#: No template inside an article: what can recur there with a meaning of its own.
+PARTS = INLINE | frozenset("article main body li dt dd option tr td th thead tbody tfoot caption h1 h2 h3 h4 h5 h6 br hr img pre".split())
 SCOPE = frozenset("article section div td th table body main li button".split())
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "children", "size", "kept")
+    __slots__ = ("tag", "attrs", "children", "size", "kept", "holds", "hash")
 
     def __init__(self, tag: str, attrs: str = ""):
-        self.tag, self.attrs, self.size, self.kept = tag, attrs, 0, False
+        self.tag, self.attrs, self.size, self.kept, self.holds, self.hash = tag, attrs, 0, False, False, None
         self.children: list[Element | str] = []
 
     def attributes(self) -> dict[str, str]:
@@ -148,8 +154,8 @@ def parse(page: str) -> Element:
     return root
 
 
-def subtree_hashes(element: Element, found: dict[int, Element] | list, in_article: bool = False) -> int:
-    """Hash of tags and text of a subtree; those outside the article and with text are added to `found`."""
+def subtree_hashes(element: Element, found: list[Element], in_article: bool = False) -> int:
+    """Hash of tags and text of a subtree; those that can be template and have text are added to `found`."""
     digest = xxhash.xxh64(element.tag)
     has_text = False
     article = in_article or element.tag in ("article", "main")
@@ -161,17 +167,28 @@ def subtree_hashes(element: Element, found: dict[int, Element] | list, in_articl
                 has_text = True
         else:
             inner = subtree_hashes(child, found, article)
+            element.holds |= child.holds or child.tag in ("article", "main")
             if inner:
                 digest.update(inner.to_bytes(8, "little"))
                 has_text = True
     if not has_text:
         return 0
     value = digest.intdigest() or 1
-    if not article and element.tag not in ("#root", "html", "body", "head"):
-        found.append((value - (1 << 63), element))
+    if element.tag not in (PARTS if article else ("#root", "html", "body", "head")) and not element.holds:
+        element.hash = value - (1 << 63)
+        found.append(element)
     return value
 
 
+def _recurring(element: Element, template: frozenset[int]) -> list[Element]:
+    """The outermost template subtrees below an element."""
+    out = []
+    for child in element.children:
+        if not isinstance(child, str):
+            out += [child] if child.hash in template else _recurring(child, template)
+    return out
+
+
 def _blocks(element: Element, out: list[list[str]], in_article: bool) -> None:
     """Text by blocks: what is inline stays in the block that is open."""
     inline = element.tag in INLINE
@@ -273,14 +290,28 @@ def _keep_article(root: Element) -> None:
                 element.kept = True
 
 
-def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
+def _delete_template(element: Element, template: frozenset[int], small: float) -> None:
+    """Deletes the template outside of articles, and in each article where it has at most `small` of the text."""
+    for child in element.children:
+        if isinstance(child, str):
+            continue
+        if child.tag in ("article", "main"):
+            recurring = _recurring(child, template)
+            if sum(e.size for e in recurring) <= small * child.size:
+                for e in recurring:
+                    e.children = []
+        elif child.hash in template:
+            child.children = []
+        else:
+            _delete_template(child, template, small)
+
+
+def main_text(page: str, template: frozenset[int] = frozenset(), small: float = 0.2) -> str:
     root = parse(page)
     if template:
-        found: list[tuple[int, Element]] = []
-        subtree_hashes(root, found)
-        for value, element in found:
-            if value in template:
-                element.children = []
+        subtree_hashes(root, [])
+        _measure(root)
+        _delete_template(root, template, small)
     _keep_article(root)
     main = _articles(root, frozenset(["article"])) or _articles(root, frozenset(["main"]))
     out: list[list[str]] = []
@@ -289,32 +320,31 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
     return " ".join(t for t in (" ".join("".join(b).split()) for b in out) if t)
 
 
-HASH_DDL = "host string, hash long"
-HASHES = pa.schema([("host", pa.string()), ("hash", pa.int64())])
+HASH_DDL = "host string, page long, hashes array<long>"
+HASHES = pa.schema([("host", pa.string()), ("page", pa.int64()), ("hashes", pa.list_(pa.int64()))])
 TEXT_DDL = "page_id long, url string, text string, n_chars long"
 TEXTS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
 
 def _hashed(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in stream:
-        hosts, hashes = [], []
-        for host, page in zip(batch["host"].to_pylist(), batch["html"].to_pylist(), strict=True):
-            found: list[tuple[int, Element]] = []
-            subtree_hashes(parse(page), found)
-            own = {value for value, _ in found}
-            hosts += [host] * len(own)
-            hashes += own
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], schema=HASHES)
+        pages, hashes = [], []
+        for page in batch["html"].to_pylist():
+            found: list[Element] = []
+            pages.append(subtree_hashes(parse(page), found) - (1 << 63))
+            hashes.append(sorted({e.hash for e in found}))
+        yield pa.RecordBatch.from_arrays([batch["host"], pa.array(pages, pa.int64()), pa.array(hashes, pa.list_(pa.int64()))], schema=HASHES)
 
 
 def site_templates(pages: DataFrame, share: float = 0.2, least: int = 5) -> DataFrame:
-    """host, template: the subtrees on at least `share` of a host's pages and on `least` of them.
+    """host, template: the subtrees on at least `share` of a host's different pages and on `least` of them.
 
-    Counts are summed before the shuffle. As every hash has `share` of the pages, a host
-    has at most 1/share times as many as a page has subtrees.
+    Pages with equal trees are one. Counts are summed before the shuffle. As every hash has
+    `share` of the pages, a host has at most 1/share times as many as a page has subtrees.
     """
-    counts = pages.select("host", "html").mapInArrow(_hashed, HASH_DDL).groupBy("host", "hash").count()
-    totals = pages.groupBy("host").agg(F.count("*").alias("pages"))
+    trees = checkpointed(pages.select("host", "html").mapInArrow(_hashed, HASH_DDL).groupBy("host", "page").agg(F.min("hashes").alias("hashes")))
+    counts = trees.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").count()
+    totals = trees.groupBy("host").agg(F.count("*").alias("pages"))
     often = counts.where(F.col("count") >= least).join(totals, "host").where(F.col("count") >= share * F.col("pages"))
     return often.groupBy("host").agg(F.collect_set("hash").alias("template"))
 

@@ -305,6 +305,22 @@ def test_html_templates(spark):
     assert got == sorted([*((k, f"own {k}", len(f"own {k}")) for k in range(12)), (99, "shared banner text", 18), (100, "", 0), (100, "", 0)])
 
 
+def test_html_templates_count_different_pages_and_reach_into_articles(spark):
+    same = "<body><div><p>one page that has five copies</p></div></body>"
+    pages = [(k, "http://h.example/", same if k < 5 else f"<body><div><p>own {k}</p></div></body>") for k in range(12)]
+    body = " ".join(f"word{k}" for k in range(40))
+    pages += [(20 + k, "http://a.example/", f"<body><article><p>{body} {k}</p><div><p>Share this page</p></div><ul><li>yes</li><li>{k}</li></ul></article></body>") for k in range(6)]
+    # where the recurring blocks are most of the article, they stay
+    pages += [(40 + k, "http://b.example/", f"<body><article><h1>No {k}</h1><p>{body}</p></article></body>") for k in range(6)]
+    # one article in different frames
+    pages += [(60 + k, "http://c.example/", f"<body><div><div><article><p>{body}</p></article></div></div><nav>{k}</nav></body>") for k in range(6)]
+    got = {r.page_id: r.text for r in html.extract_pages(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == ("one page that has five copies" if k < 5 else f"own {k}") for k in range(12))
+    assert all(got[20 + k] == f"{body} {k} yes {k}" for k in range(6))
+    assert all(got[40 + k] == f"No {k} {body}" for k in range(6))
+    assert all(got[60 + k] == body for k in range(6))
+
+
 def test_html_query(spark, sf_dir):
     import html as lib
 
