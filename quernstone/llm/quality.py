@@ -7,9 +7,10 @@ falls below zero, the step goes against it, so the model cannot win by memorisin
 
 The prior is estimated from all labels of the training folds: the share of ones. The
 trusted positives and the unlabelled texts of the fit are bounded samples (`positives`,
-`unlabelled`, chosen by a hash of the key, about as many whatever the table's size); all
-documents are scored, over their whole texts. Labels, lang, source and doc_id are never
-part of the features.
+`unlabelled`, chosen by a hash of the id, of the unlabelled ones of id and text, so that
+copies of a text are drawn apart; about as many whatever the table's size, only rows with
+one id and text come or stay together); all documents are scored, over their whole texts.
+Labels, lang, source and doc_id are never part of the features.
 
 Defined cases: null text counts as empty; an empty text has only the length feature and
 gets the score that follows; without any label of 1 every score is the prior, without
@@ -124,6 +125,16 @@ def _featured(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["positive"], pa.array(x, pa.binary())], schema=FEATURES)
 
 
+def about(key: list[Column], bound: int, total: int) -> Column:
+    """About `bound` of `total` rows, by a hash of the key."""
+    return F.pmod(F.xxhash64(*key, F.lit("fit")), F.lit(1 << 30)) < int(min(1.0, bound / max(total, 1)) * (1 << 30))
+
+
+def drawn(rows: DataFrame, bound: int) -> DataFrame:
+    """About `bound` rows; copies of a text are drawn one by one."""
+    return rows.where(about([F.col("doc_id"), F.col("text")], bound, rows.count()))
+
+
 def train(docs: DataFrame, labels: DataFrame, positives: int = 3000, unlabelled: int = 6000) -> QualityModel:
     """Fit on the training folds. The fit is one task over about `positives` + `unlabelled` rows of features; the weights reach the driver."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
@@ -133,14 +144,11 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = 3000, unlabelled:
         return QualityModel(np.zeros(WIDTH), -30.0 if n else 0.0)
     prior = min(max(ones / n, 0.01), 0.99)
 
-    def about(key: Column, bound: int, total: int) -> Column:
-        return F.pmod(F.xxhash64(key, F.lit("fit")), F.lit(1 << 30)) < int(min(1.0, bound / max(total, 1)) * (1 << 30))
-
-    trusted = known.where((F.col("quality") == 1) & about(F.col("doc_id"), positives, ones)).select("doc_id").distinct()
+    trusted = known.where((F.col("quality") == 1) & about([F.col("doc_id")], positives, ones)).select("doc_id").distinct()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text")).where(F.coalesce(fold(F.col("doc_id")) != HELD_OUT, F.lit(True)))
     # the trusted ids are bounded by `positives`
     p = rows.join(F.broadcast(trusted), "doc_id", "left_semi").select(F.lit(True).alias("positive"), "text")
-    u = rows.where(about(F.col("text"), unlabelled, rows.count())).select(F.lit(False).alias("positive"), "text")
+    u = drawn(rows, unlabelled).select(F.lit(False).alias("positive"), "text")
     # one task of bounded input, whose linear algebra Spark holds to the cores of a task
     fitted = p.unionByName(u).mapInArrow(_featured, FEATURES_DDL).repartition(1).mapInArrow(lambda it: _fitted(it, prior), MODEL_DDL).first()
     if fitted is None:

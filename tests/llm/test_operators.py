@@ -146,6 +146,13 @@ def test_quality_features_do_not_depend_on_neighbours():
     assert np.allclose(np.concatenate(alone), together)
 
 
+def test_quality_sample_draws_copies_apart(spark):
+    rows = spark.range(12_000).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'a text of many copies' ELSE concat('text ', id) END AS text")
+    got = quality.drawn(rows, 1200).toPandas()
+    assert 1000 < len(got) < 1400
+    assert 300 < (got.text == "a text of many copies").sum() < 500
+
+
 def test_quality_odd_inputs(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.score for r in quality.quality_scores(docs, none).collect()} == {0.5}
