@@ -547,6 +547,24 @@ def nearest_vector(spark: SparkSession, sf: str) -> DataFrame:
     return linkage.top_similar(v, v.where("vec_id % 50 = 0")).select("query", "match")
 
 
+@query(
+    "gr_nearest2",
+    """
+    WITH p AS (SELECT s_suppkey AS id, 50 + (s_suppkey * 37 % 1009) / 100.0 AS lat, -5 + (s_suppkey * 53 % 1013) / 150.0 AS lon FROM supplier),
+    r AS (SELECT c_custkey AS rid, 50 + (c_custkey * 4177 % 100003) / 10000.0 AS rlat, -5 + (c_custkey * 5939 % 100019) / 15000.0 AS rlon, c_nationkey % 5 = 0 AS special FROM customer),
+    d AS (SELECT id, rid, special, 2 * 6371.0 * asin(sqrt(pow(sin(radians(rlat - lat) / 2), 2) + cos(radians(lat)) * cos(radians(rlat)) * pow(sin(radians(rlon - lon) / 2), 2))) AS km FROM p, r)
+    SELECT id, min_by(rid, km) AS right_id, round(min(km), 2) AS km, min_by(rid, km) FILTER (WHERE special) AS special_id, round(min(km) FILTER (WHERE special), 2) AS special_km FROM d GROUP BY id
+    """,
+)
+def nearest_places(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers' nearest customer, and nearest of some nations' customers, at places derived from keys."""
+    s, c = F.col("s_suppkey"), F.col("c_custkey")
+    p = load(spark, sf, "supplier").select(s.alias("id"), (50 + (s * 37 % 1009) / 100.0).alias("lat"), (-5 + (s * 53 % 1013) / 150.0).alias("lon"))
+    r = load(spark, sf, "customer").select(c.alias("id"), (50 + (c * 4177 % 100003) / 10000.0).alias("lat"), (-5 + (c * 5939 % 100019) / 15000.0).alias("lon"), (F.col("c_nationkey") % 5 == 0).alias("special"))
+    found = linkage.nearest2(p, r, 5.0, F.col("special"))
+    return found.select("id", "right_id", F.round("km", 2).alias("km"), "special_id", F.round("special_km", 2).alias("special_km"))
+
+
 @query("jn_token_substring", "WITH t(token, ord) AS (VALUES ('promo', 1), ('econ', 2), ('small', 3), ('standard', 4)) SELECT p_partkey, (SELECT token FROM t WHERE contains(lower(p_type), token) ORDER BY ord LIMIT 1) AS token FROM part")
 def token_substring(spark: SparkSession, sf: str) -> DataFrame:
     tokens = spark.createDataFrame([("promo", 1), ("econ", 2), ("small", 3), ("standard", 4)], "token string, ord int")

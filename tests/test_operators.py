@@ -62,6 +62,13 @@ def test_radius_and_nearest_match_brute_force(spark):
         assert abs(got[a[0]] - min(km(a, b) for b in pts[30:])) < 1e-9
 
 
+def test_nearest_has_no_greatest_distance(spark):
+    left = spark.createDataFrame([(1, 51.0, 0.0), (2, -40.0, 170.0), (3, None, None)], "id int, lat double, lon double")
+    right = spark.createDataFrame([(7, 51.001, 0.0, False), (8, 58.0, -4.0, True), (9, 57.0, -4.0, True)], "id int, lat double, lon double, coal boolean")
+    got = {r.id: (r.right_id, r.special_id) for r in linkage.nearest2(left, right, 1.0, F.col("coal")).collect()}
+    assert got == {1: (7, 9), 2: (8, 8), 3: (None, None)}
+
+
 def test_exact_before_near(spark):
     left = spark.createDataFrame([(1, 51.0, 0.0, "AB1")], "id int, lat double, lon double, pc string")
     right = spark.createDataFrame([(7, 51.001, 0.0, "ZZ"), (8, 52.0, 0.0, "AB1"), (9, 53.0, 0.0, "Q")], "id int, lat double, lon double, pc string")
