@@ -2,7 +2,7 @@
 
 import sys
 
-from test_operators import brute_components, brute_exact, brute_fingerprint, brute_repeats, documents, mixed
+from test_llm_operators import brute_components, brute_exact, brute_fingerprint, brute_repeats, documents, mixed
 
 import corpus_pipeline
 from quernstone.llm import packing
