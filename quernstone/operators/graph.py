@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the folder of spark.checkpoint.dir, which only local sessions may leave unset."""
     spark = df.sparkSession
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         path = spark.conf.get("spark.checkpoint.dir", None)
         if not path:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             import tempfile
 
             path = tempfile.mkdtemp(prefix="checkpoints-")
@@ -18,23 +21,49 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: A key that more than one in HEAVY rows share is heavy, so that there are HEAVY heavy keys at most; below LEAST_HEAVY rows none is.
+HEAVY, LEAST_HEAVY, SPREAD = 20_000, 100, 1024
+
+
+def heavy_keys(rows: DataFrame, key: str, total: int) -> DataFrame:
+    """The keys that many rows share: at most HEAVY rows, whatever the size of `rows`."""
+    return rows.groupBy(F.col(key).alias("heavy")).count().where(F.col("count") > max(LEAST_HEAVY, total // HEAVY)).select("heavy")
+
+
+def looked_up(rows: DataFrame, key: str, table: DataFrame, heavy: DataFrame) -> DataFrame:
+    """`rows` with `value` from `table` (node, value; one row a node), null where it has none.
+
+    Rows of heavy keys hear it by a broadcast of these keys' values, of bounded size, and are
+    spread in the join that serves all others; so no task gets all rows of one key.
+    """
+    told = table.join(F.broadcast(heavy), table.node == F.col("heavy"), "left_semi").select(F.col("node").alias("_node"), F.col("value").alias("_told"))
+    spread = F.when(F.col("_node").isNotNull(), 1 + F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(SPREAD))).otherwise(F.lit(0).cast("long"))
+    marked = rows.join(F.broadcast(told), F.col(key) == F.col("_node"), "left").withColumn("_spread", spread)
+    rest = table.select(F.col("node").alias("_at"), F.col("value").alias("_found"), F.lit(0).cast("long").alias("_zero"))
+    joined = marked.join(rest, (F.col(key) == F.col("_at")) & (F.col("_spread") == F.col("_zero")), "left")
+    return joined.select(*rows.columns, F.coalesce("_told", "_found").alias("value"))
+
+
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """node, root (the least node reachable) for `nodes` (node) and `edges` (src, dst).
 
     Least labels spread to neighbours and jump over their own label, so a chain of n nodes
-    takes about log n rounds. Labels only fall: an unchanged sum of their hashes' count of
-    changes ends it.
+    takes about log n rounds, each a reliable checkpoint; labels only fall, and a round
+    without a change is the last. A node with many neighbours and a label that many nodes
+    have are heavy keys, told by broadcast.
     """
     both = edges.select("src", "dst").union(edges.select("dst", "src")).where("src <> dst").distinct()
     both = checkpointed(both)
+    centres = checkpointed(heavy_keys(both, "dst", both.count()))
     every = nodes.select("node").union(both.select(F.col("src").alias("node"))).distinct()
     label = checkpointed(every.withColumn("root", F.col("node")))
+    total = label.count()
     while True:
-        near = both.join(label, both.dst == label.node).groupBy("src").agg(F.min("root").alias("least"))
+        near = looked_up(both, "dst", label.select("node", F.col("root").alias("value")), centres).groupBy("src").agg(F.min("value").alias("least"))
         fresh = label.join(near, label.node == near.src, "left").select("node", F.col("root").alias("old"), F.least("root", F.coalesce("least", "root")).alias("root"))
-        above = fresh.select(F.col("node").alias("parent"), F.col("root").alias("above"))
-        jumped = fresh.join(above, fresh.root == above.parent, "left").select("node", "old", F.coalesce("above", "root").alias("root"))
-        jumped = checkpointed(jumped)
+        fresh = checkpointed(fresh)
+        jumped = looked_up(fresh, "root", fresh.select("node", F.col("root").alias("value")), heavy_keys(fresh, "root", total))
+        jumped = checkpointed(jumped.select("node", "old", F.coalesce("value", "root").alias("root")))
         changed = jumped.where("old <> root").limit(1).count()
         label = jumped.select("node", "root")
         if not changed:
