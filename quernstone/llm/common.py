@@ -13,25 +13,53 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set here only where the session has none."""
+    """The folder that driver and executors share; only local sessions may leave it unset."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="quernstone-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
+_MADE: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, deleted when the driver ends."""
+    """A new path in the shared folder, deleted when the driver ends, or with `drop` before."""
     path = f"{shared_dir(spark)}/quernstone-{name}-{uuid.uuid4().hex}"
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+    _MADE.append(path)
     return path
 
 
 def drop(spark: SparkSession, path: str) -> None:
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
+    if path in _MADE:
+        _MADE.remove(path)
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """`df` as a table in the shared folder, and every other table made there so far by this driver gone.
+
+    For chains of stages that each need only what the one before has written.
+    """
+    before = list(_MADE)
+    out = written(df, name)
+    for path in before:
+        drop(df.sparkSession, path)
+    return out
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """`name`, with as many underscores before it as tell it from all columns of `df`."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def written(df: DataFrame, name: str, **options: str) -> DataFrame:
@@ -42,14 +70,6 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint; Spark deletes its files once nothing refers to it."""
-    spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
-
-
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

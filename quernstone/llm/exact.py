@@ -9,8 +9,9 @@ file is treated in the same way.
 
 Defined cases: null text counts as empty, and empty texts equal one another; a null
 doc_id is smaller than any other (keep_id is null only where all are); of rows with
-equal text and doc_id the first in scan order stays; an empty table gives an empty
-result; other columns are ignored.
+equal text and doc_id the first in scan order stays; a text of any length is compared
+whole; an empty table gives an empty result; other columns are ignored, or kept by
+`drop_exact_copies`, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,12 +27,20 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import batches, row_bytes, text_or_empty
+from quernstone.llm.common import batches, fresh_name, row_bytes, text_or_empty
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 FANOUT_BITS = 4
 
 
+def _pickled(file) -> Iterator[tuple]:
+    while True:
+        try:
+            yield pickle.load(file)
+        except EOFError:
+            return
+
+
 class GraceTable:
     """Groups records (content, payload) by complete content.
 
@@ -60,21 +69,22 @@ class GraceTable:
                 at = (at + 1) & self.mask
             self.slots[at] = k
 
-    def add(self, content: bytes, payload, h: int | None = None) -> None:
+    def add(self, content: bytes, payload, h: int | None = None):
+        """The state of the record's group, or None where the record was spilled."""
         if h is None:
             h = xxhash.xxh3_64_intdigest(content)
         at = h & self.mask
         while (k := self.slots[at]) >= 0:
             if self.hashes[k] == h and self.contents[k] == content:
                 self.states[k] = self.fold(self.states[k], payload)
-                return
+                return self.states[k]
             at = (at + 1) & self.mask
         if self.contents and self.used + len(content) + 200 > self.budget:
             bucket = (h >> (60 - FANOUT_BITS * self.level % 64)) & 15
             if bucket not in self.spills:
                 self.spills[bucket] = tempfile.TemporaryFile()
             pickle.dump((content, payload, h), self.spills[bucket], pickle.HIGHEST_PROTOCOL)
-            return
+            return None
         self.slots[at] = len(self.contents)
         self.hashes.append(h)
         self.contents.append(content)
@@ -82,22 +92,32 @@ class GraceTable:
         self.used += len(content) + 200
         if 2 * len(self.contents) > self.mask:
             self._grow()
+        return self.states[-1]
 
-    def groups(self) -> Iterator[tuple[bytes, object]]:
-        yield from zip(self.contents, self.states, strict=True)
+    def _spilled(self) -> Iterator[tuple[GraceTable, Iterator[tuple]]]:
+        """A table for each spill file, and its records."""
         self.contents, self.states, self.hashes, self.slots = [], [], array("Q"), array("q")
         for bucket in sorted(self.spills):
             with self.spills.pop(bucket) as file:
                 file.seek(0)
-                inner = GraceTable(self.fold, self.budget, self.level + 1)
-                while True:
-                    try:
-                        content, payload, h = pickle.load(file)
-                    except EOFError:
-                        break
-                    inner.add(content, payload, h)
+                yield GraceTable(self.fold, self.budget, self.level + 1), _pickled(file)
+
+    def groups(self) -> Iterator[tuple[bytes, object]]:
+        yield from zip(self.contents, self.states, strict=True)
+        for inner, records in self._spilled():
+            for record in records:
+                inner.add(*record)
             yield from inner.groups()
 
+    def states_of(self, records: Iterable[tuple]) -> Iterator[tuple]:
+        """Each record's payload with the state of its group just behind it, as it goes; what was spilled comes later."""
+        for content, payload, *h in records:
+            state = self.add(content, payload, *h)
+            if state is not None:
+                yield payload, state
+        for inner, spilled in self._spilled():
+            yield from inner.states_of(spilled)
+
 
 LEAST = -(1 << 63)
 LOCAL_DDL = "group_row long, content_hash long, content binary, best_id long, best_row long, n long"
@@ -140,25 +160,13 @@ def _local_groups(stream: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.
 
 def _local_members(stream: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.RecordBatch]:
     """Each row with the group_row of its text. The first row of a text is its group in either pass, whatever was spilled."""
-    out: list[tuple] = []
 
     def fold(state, payload):
-        row, doc_id = payload
-        first = row if state is None else state
-        out.append((row, doc_id, first))
-        return first
+        return payload[0] if state is None else state
 
-    table = GraceTable(fold, budget)
-    for content, row, doc_id in _records(stream):
-        table.add(content, (row, doc_id))
-        if len(out) >= 8192:
-            yield from batches(out, MEMBER, 8192)
-            out.clear()
-    for _ in table.groups():
-        if len(out) >= 8192:
-            yield from batches(out, MEMBER, 8192)
-            out.clear()
-    yield from batches(out, MEMBER, 8192)
+    records = ((content, (row, doc_id)) for content, row, doc_id in _records(stream))
+    rows = ((row, doc_id, first) for (row, doc_id), first in GraceTable(fold, budget).states_of(records))
+    yield from batches(rows, MEMBER, 8192)
 
 
 def _global_groups(stream: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.RecordBatch]:
@@ -186,12 +194,13 @@ def _global_groups(stream: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa
     yield from batches(rows(), GLOBAL)
 
 
-def with_row(docs: DataFrame) -> DataFrame:
-    """`docs` with the column `_row`, which tells rows apart even where doc_id does not.
+def with_row(docs: DataFrame) -> tuple[DataFrame, str]:
+    """`docs` with a column, under a name of its own, which tells rows apart even where doc_id does not.
 
     It rests on the partitions of `docs` being the same whenever it is computed, as with files and checkpoints.
     """
-    return docs.withColumn("_row", F.monotonically_increasing_id())
+    name = fresh_name(docs, "row")
+    return docs.withColumn(name, F.monotonically_increasing_id()), name
 
 
 def exact_groups(docs: DataFrame, row_col: str | None = None, budget_bytes: int = 128 << 20) -> DataFrame:
@@ -200,8 +209,9 @@ def exact_groups(docs: DataFrame, row_col: str | None = None, budget_bytes: int
     Two passes over the texts and one shuffle of the texts that are distinct within their
     partition; ids are joined by group, where a group has a partition's rows at most.
     """
-    docs = docs if row_col else with_row(docs)
-    rows = docs.select(F.col(row_col or "_row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
+    if row_col is None:
+        docs, row_col = with_row(docs)
+    rows = docs.select(F.col(row_col).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
     members = rows.mapInArrow(lambda it: _local_members(it, budget_bytes), MEMBER_DDL)
     groups = rows.mapInArrow(lambda it: _local_groups(it, budget_bytes), LOCAL_DDL)
     found = groups.repartition("content_hash").mapInArrow(lambda it: _global_groups(it, budget_bytes), GLOBAL_DDL)
@@ -212,7 +222,7 @@ def exact_groups(docs: DataFrame, row_col: str | None = None, budget_bytes: int
 
 
 def drop_exact_copies(docs: DataFrame, budget_bytes: int = 128 << 20) -> DataFrame:
-    """`docs` with one row of each group of equal texts: the one with the largest doc_id."""
-    numbered = with_row(docs)
-    kept = exact_groups(numbered, "_row", budget_bytes).where("kept").select(F.col("row").alias("_row"))
-    return numbered.join(kept, "_row", "left_semi").select(*docs.columns)
+    """`docs` with one row of each group of equal texts: the one with the largest doc_id. All columns stay as they are."""
+    numbered, row = with_row(docs)
+    kept = exact_groups(numbered, row, budget_bytes).where("kept").select(F.col("row").alias(row))
+    return numbered.join(kept, row, "left_semi").drop(row)

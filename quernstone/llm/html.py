@@ -1,25 +1,30 @@
 """Main text of web pages, with each site's template removed.
 
-A page is parsed into elements. Elements that are never article text go by their tag,
-role, class or id, unless they hold the page's article or, where there is none, most of
-its text. For the site template, subtrees are hashed (tags and text) and the different
-pages of each host that have a hash are counted in Spark, copies of a page once; a
-subtree found on many pages of its host is deleted. Inside the article these are blocks
-only, no list items, headings or table parts, and only where they are a small part of
-it; an element that holds an article is never deleted as template. The article is what `article` or
-`main` holds, else what is left of the body.
+For the site template, the subtrees of every page are hashed (tags and text) and the
+different pages of each host that have a hash are counted in Spark, copies of a page
+once; a subtree found on many pages of its host is deleted. Inside an article these are
+blocks only, no list items, headings or table parts, and only where they are a small part
+of it; an element that holds an article is never deleted as template. What a page has to
+itself, and all of a host with too few pages, is left to rules: elements that are never
+article text go by their tag, role, class or id, unless they hold the page's article or,
+where there is none, most of its text. The article is what `article` or `main` holds,
+else what is left of the body.
+
+Parsing takes time in proportion to the page, whatever is in it. Elements nested deeper
+than 512 become children of the one at that depth, as in browsers.
 
 Defined cases: null html counts as empty (text empty); a null or odd url has the host
 "" with the other such pages; unclosed and misnested tags close as browsers close them
-for paragraphs, list items, table parts and options; repeated rows are all returned; an
-empty table gives an empty result; other columns are ignored.
+for paragraphs, list items, table parts and options; repeated rows are all returned;
+pages of any length are read whole; an empty table gives an empty result; other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import html
 import re
-import sys
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,9 +32,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import checkpointed
+from quernstone.operators import graph
+from quernstone.operators.graph import checkpointed
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""", re.S)
+#: A tag ends before the next `<` outside of quotes, so that one without an end costs no more than its length.
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>"']|"[^"]*"|'[^']*')*+)>""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
@@ -62,17 +69,22 @@ IMPLIED = {
 #: No template inside an article: what can recur there with a meaning of its own.
 PARTS = INLINE | frozenset("article main body li dt dd option tr td th thead tbody tfoot caption h1 h2 h3 h4 h5 h6 br hr img pre".split())
 SCOPE = frozenset("article section div td th table body main li button".split())
+ENDS_IN_SCOPE = INLINE | {"p"}
+DEEPEST = 512
+RAW_END = {tag: re.compile(rf"</{tag}\b[^<>]*>", re.I) for tag in RAW}
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "children", "size", "kept", "holds", "hash")
+    __slots__ = ("tag", "attrs", "children", "size", "kept", "holds", "hash", "parsed")
 
     def __init__(self, tag: str, attrs: str = ""):
-        self.tag, self.attrs, self.size, self.kept, self.holds, self.hash = tag, attrs, 0, False, False, None
+        self.tag, self.attrs, self.size, self.kept, self.holds, self.hash, self.parsed = tag, attrs, 0, False, False, None, None
         self.children: list[Element | str] = []
 
     def attributes(self) -> dict[str, str]:
-        return {m[0].lower(): html.unescape(m[1] or m[2] or m[3]) for m in ATTRIBUTE.findall(self.attrs)} if self.attrs.strip(" /") else {}
+        if self.parsed is None:
+            self.parsed = {m[0].lower(): html.unescape(m[1] or m[2] or m[3]) for m in ATTRIBUTE.findall(self.attrs)} if self.attrs.strip(" /") else {}
+        return self.parsed
 
     def is_main(self) -> bool:
         return self.tag == "main" or "main" in self.attrs and self.attributes().get("role") == "main"
@@ -104,16 +116,26 @@ def _tokens(attributes: dict[str, str]) -> Iterator[set[str]]:
 def parse(page: str) -> Element:
     root = Element("#root")
     stack = [root]
-
-    def close(names: frozenset[str], walls: frozenset[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in names:
-                del stack[k:]
-                return
-            if stack[k].tag in walls:
-                return
-
-    at, end, deepest = 0, len(page), 0
+    places: dict[str, list[int]] = defaultdict(list)  # of the open elements with a tag, in the stack
+    scopes: list[int] = [0]  # places of elements that end a search for an inline element
+    flat: dict[str, int] = defaultdict(int)  # elements too deep to be opened, by tag
+
+    def cut(place: int) -> None:
+        while len(stack) > place:
+            tag = stack.pop().tag
+            places[tag].pop()
+            if tag in SCOPE:
+                scopes.pop()
+
+    def last(names: frozenset[str]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
+
+    def close(names: frozenset[str], wall: int) -> None:
+        place = last(names)
+        if place > wall:
+            cut(place)
+
+    at, end = 0, len(page)
     while at < end:
         m = TOKEN.search(page, at)
         if m is None:
@@ -127,30 +149,31 @@ def parse(page: str) -> Element:
             continue
         tag = tag.lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                if stack[k].tag in SCOPE and tag in INLINE | {"p"}:
-                    break
+            if flat[tag]:
+                flat[tag] -= 1
+            elif places.get(tag) and not (tag in ENDS_IN_SCOPE and scopes[-1] > places[tag][-1]):
+                cut(places[tag][-1])
             continue
         if tag in CLOSES_P:
-            close(frozenset(["p"]), SCOPE)
+            close(frozenset(["p"]), scopes[-1])
         if tag in IMPLIED:
             names, walls = IMPLIED[tag]
             for _ in names:
-                close(names, walls)
+                close(names, last(walls))
         element = Element(tag, m[3])
         stack[-1].children.append(element)
         if tag in RAW:
-            stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+            stop = RAW_END[tag].search(page, at)
             element.children.append(page[at : stop.start() if stop else end])
             at = stop.end() if stop else end
         elif tag not in VOID and not m[3].endswith("/"):
+            if len(stack) > DEEPEST:
+                flat[tag] += 1
+                continue
+            places[tag].append(len(stack))
+            if tag in SCOPE:
+                scopes.append(len(stack))
             stack.append(element)
-            deepest = max(deepest, len(stack))
-    # elements are walked by recursion, which in Python needs no stack of the machine's
-    sys.setrecursionlimit(max(sys.getrecursionlimit(), 3 * deepest + 1000))
     return root
 
 
@@ -339,13 +362,15 @@ def _hashed(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def site_templates(pages: DataFrame, share: float = 0.2, least: int = 5) -> DataFrame:
     """host, template: the subtrees on at least `share` of a host's different pages and on `least` of them.
 
-    Pages with equal trees are one. Counts are summed before the shuffle. As every hash has
-    `share` of the pages, a host has at most 1/share times as many as a page has subtrees.
+    Pages with equal trees are one. Counts are summed before the shuffle, and a host with
+    many of them hears its number of pages by broadcast. As every hash has `share` of the
+    pages, a host has at most 1/share times as many as a page has subtrees.
     """
     trees = checkpointed(pages.select("host", "html").mapInArrow(_hashed, HASH_DDL).groupBy("host", "page").agg(F.min("hashes").alias("hashes")))
-    counts = trees.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").count()
-    totals = trees.groupBy("host").agg(F.count("*").alias("pages"))
-    often = counts.where(F.col("count") >= least).join(totals, "host").where(F.col("count") >= share * F.col("pages"))
+    counts = trees.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    counts = checkpointed(counts)
+    totals = trees.groupBy("host").agg(F.count("*").alias("value")).withColumnRenamed("host", "node")
+    often = graph.looked_up(counts, "host", totals, graph.heavy_keys(counts, "host", counts.count())).where(F.col("n") >= share * F.col("value"))
     return often.groupBy("host").agg(F.collect_set("hash").alias("template"))
 
 
@@ -357,15 +382,20 @@ def _extracted(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], schema=TEXTS)
 
 
-def extract_pages(pages: DataFrame, share: float = 0.2, least: int = 5, salts: int = 32) -> DataFrame:
+def extract_pages(pages: DataFrame, share: float = 0.2, least: int = 5, broadcast_bytes: int = 32 << 20) -> DataFrame:
     """page_id, url, text, n_chars of every page.
 
-    A host can have a third of all pages, so its pages are dealt to `salts` parts and its
-    template, a short list, is sent to each of them.
+    Two passes over the pages. Templates are short lists of hashes: up to `broadcast_bytes`
+    in all they go to the pages, which then never move; beyond that pages are dealt by host,
+    those of a host with many pages over many tasks.
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.col("url").cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), host.alias("host"))
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)))
-    templates = site_templates(rows, share, least).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    joined = salted.join(templates, ["host", "salt"], "left").select("page_id", "url", "html", "template")
-    return joined.mapInArrow(_extracted, TEXT_DDL)
+    templates = checkpointed(site_templates(rows, share, least))
+    size = templates.agg(F.sum(F.octet_length("host") + 8 * F.size("template") + 64)).first()[0] or 0
+    if size <= broadcast_bytes:
+        joined = rows.join(F.broadcast(templates), "host", "left")
+    else:
+        heavy = graph.heavy_keys(rows, "host", rows.count())
+        joined = graph.looked_up(rows, "host", templates.select(F.col("host").alias("node"), F.col("template").alias("value")), heavy).withColumnRenamed("value", "template")
+    return joined.select("page_id", "url", "html", "template").mapInArrow(_extracted, TEXT_DDL)

@@ -10,8 +10,9 @@ taken apart again and packed together in a further round, in far fewer tasks, so
 a task loses at its end is lost once and not once a task.
 
 Defined cases: null text counts as empty (one piece: the end id alone); repeated rows
-and repeated doc_ids are all packed; a null doc_id is a document like any other; an
-empty table gives an empty result; other columns are ignored.
+and repeated doc_ids are all packed; a null doc_id is a document like any other; a text
+of any length is cut into as many pieces as it needs; an empty table gives an empty
+result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,11 +30,11 @@ from pyspark.sql import functions as F
 from quernstone.llm.common import batches, parts_for, text_or_empty, written
 from quernstone.llm.tokens import WordTokens
 
-PIECES_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
-PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary())])
+PIECES_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
 
-def _pieces(stream: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int, ids_as: str | None) -> Iterator[pa.RecordBatch]:
+def _pieces(stream: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
     words = WordTokens.load(path)
     for batch in stream:
 
@@ -42,16 +43,15 @@ def _pieces(stream: Iterator[pa.RecordBatch], path: str, capacity: int, end_id:
                 ids = np.append(ids, words.dtype.type(end_id))
                 for k, start in enumerate(range(0, len(ids), capacity)):
                     cut = ids[start : start + capacity]
-                    yield doc_id, k, start, len(cut), zlib.crc32(cut.astype("<u4").tobytes()), cut.astype(ids_as).tobytes() if ids_as else None
+                    yield doc_id, k, start, len(cut), zlib.crc32(cut.astype("<u4").tobytes())
 
-        yield from batches(rows(), PIECES, weight=5 if ids_as else None)
+        yield from batches(rows(), PIECES)
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, ids_as: str | None = None) -> DataFrame:
-    """Each document's ids and the end id, cut into pieces of `capacity`; with `ids_as` (a numpy type) also the ids themselves."""
+def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
+    """Each document's ids and the end id, cut into pieces of `capacity`: their lengths and checksums."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
-    out = rows.mapInArrow(lambda it: _pieces(it, tokenizer_path, capacity, end_id, ids_as), PIECES_DDL)
-    return out if ids_as else out.drop("ids")
+    return rows.mapInArrow(lambda it: _pieces(it, tokenizer_path, capacity, end_id), PIECES_DDL)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -127,5 +127,5 @@ def pack(pieces: DataFrame, capacity: int = 2048, each: int = 200_000, slack: in
 
 def packed_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, each: int = 200_000) -> DataFrame:
     """The pieces of all documents with their place: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = written(token_pieces(docs, tokenizer_path, capacity, end_id), "pieces").withColumn("row", F.monotonically_increasing_id())
-    return pack(written(pieces, "numbered"), capacity, each)
+    pieces = token_pieces(docs, tokenizer_path, capacity, end_id).withColumn("row", F.monotonically_increasing_id())
+    return pack(written(pieces, "pieces"), capacity, each)

@@ -49,8 +49,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "shards")
-    manifest, places = shards.write_shards(load(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), folder)
-    return shards.shard_contents(manifest, places, folder)
+    manifest = shards.write_shards(load(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), folder)
+    return shards.shard_contents(manifest, folder)
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

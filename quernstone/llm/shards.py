@@ -1,19 +1,23 @@
 """Training-order shards of token ids.
 
-Sequences are numbered 0..n-1 in the order of the written token table. A keyed Feistel
-network over the smallest even number of bits that covers n, walked on while it lands
-beyond n, is a permutation of these numbers, so every sequence has a global slot that
-anyone with the key can compute. Slots are dealt in ranges to shards: files of
-fixed-stride records (a 32-bit length, then little-endian unsigned ids, padded), in slot
-order, so a reader finds slot s in shard s div per_shard at (s mod per_shard) records
-and can resume anywhere.
-
-A shard is written under a temporary name and then renamed, so a task that is repeated
-or lost leaves no half shard behind.
-
-Defined cases: null text counts as empty (one sequence: the end id alone); repeated rows
-and ids, and rows of null doc_id, are all written; an empty table gives no shards; other
-columns are ignored.
+The ids of the documents a task reads, each with an end id behind it, run on into
+sequences of `stride` ids, so only a task's last sequence is not full; a document can
+begin and end anywhere in them. Sequences are numbered 0..n-1 in the order of the written
+token table. A keyed Feistel network over the smallest even number of bits that covers n,
+walked on while it lands beyond n, is a permutation of these numbers, so every sequence
+has a global slot that anyone with the key can compute. Slots are dealt in ranges to
+shards: files of fixed-stride records (a 32-bit length, then little-endian unsigned ids,
+padded), in slot order, so a reader finds slot s in shard s div per_shard at
+(s mod per_shard) records and can resume anywhere. Beside each shard stands its index, an
+Arrow file of the documents' parts in each record.
+
+A shard and its index are written under temporary names and then renamed, so a task that
+is repeated or lost leaves no half shard behind.
+
+Defined cases: null text counts as empty (the end id alone); repeated rows and ids, and
+rows of null doc_id, are all written, each as a document of its own; a text of any length
+runs through as many sequences as it needs; an empty table gives no shards; other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,13 +27,12 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import drop, parts_for, scratch, written
-from quernstone.llm.packing import token_pieces
+from quernstone.llm.common import batches, drop, parts_for, scratch, text_or_empty, written
+from quernstone.llm.tokens import WordTokens
 
 ROUNDS = 6
 HEADER = 4
@@ -59,126 +62,204 @@ def permuted(numbers: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-ROW_BITS = 33  # of a row's place within its task, in what monotonically_increasing_id gives
+#: `parts` packs what stands in a sequence, in order: for each part of a document doc_id, whether that is null, start in the document's ids, length.
+PART = np.dtype([("doc_id", "<i8"), ("no_id", "u1"), ("start", "<i8"), ("length", "<u4")])
+SEQUENCE_DDL = "task int, place long, ids binary, parts binary"
+SEQUENCE = pa.schema([("task", pa.int32()), ("place", pa.int64()), ("ids", pa.binary()), ("parts", pa.binary())])
 
 
-def numbered(table: DataFrame) -> tuple[DataFrame, int]:
-    """The written `table` (with `row` from its tasks) with dense numbers in its order, and how many.
+def _sequences(stream: Iterator[pa.RecordBatch], path: str, stride: int, end_id: int, dtype: str) -> Iterator[pa.RecordBatch]:
+    """The task's documents one after the other, cut into sequences."""
+    from pyspark import TaskContext
 
-    Rows are counted by task; these counts, one a task, are broadcast, and nothing is shuffled.
+    words, task = WordTokens.load(path), TaskContext.get().partitionId()
+    end = np.array([end_id], dtype)
+
+    def rows() -> Iterator[tuple]:
+        ids, parts, free, place = [], [], stride, 0
+        for batch in stream:
+            for doc_id, found in zip(batch["doc_id"].to_pylist(), words.encode(batch["text"].to_pylist()), strict=True):
+                document = np.append(found.astype(dtype), end)
+                start = 0
+                while start < len(document):
+                    cut = document[start : start + free]
+                    ids.append(cut.tobytes())
+                    parts.append((doc_id or 0, doc_id is None, start, len(cut)))
+                    start += len(cut)
+                    free -= len(cut)
+                    if not free:
+                        yield task, place, b"".join(ids), np.array(parts, PART).tobytes()
+                        ids, parts, free, place = [], [], stride, place + 1
+        if ids:
+            yield task, place, b"".join(ids), np.array(parts, PART).tobytes()
+
+    yield from batches(rows(), SEQUENCE, 1024)
+
+
+def sequences(docs: DataFrame, tokenizer_path: str, stride: int = 1024, end_id: int = 0, dtype: str = "<u2") -> DataFrame:
+    """task, place in the task, ids, parts."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
+    return rows.mapInArrow(lambda it: _sequences(it, tokenizer_path, stride, end_id, dtype), SEQUENCE_DDL)
+
+
+SLOTTED_DDL = "slot long, ids binary, parts binary"
+
+
+def _slotted(stream: Iterator[pa.RecordBatch], begin: np.ndarray, n: int, key: int) -> Iterator[pa.RecordBatch]:
+    """`begin` has the number of the first sequence of each task."""
+    for batch in stream:
+        slot = permuted(begin[batch["task"].to_numpy()] + batch["place"].to_numpy(), n, key)
+        yield pa.RecordBatch.from_arrays([pa.array(slot), batch["ids"], batch["parts"]], names=["slot", "ids", "parts"])
+
+
+def slotted(table: DataFrame, key: int) -> tuple[DataFrame, int]:
+    """slot, ids, parts of the written sequences, and how many there are.
+
+    Sequences are counted by task; the driver holds one number a task, and nothing is shuffled.
     """
-    task = F.shiftright("row", ROW_BITS)
-    counts = table.groupBy(task.alias("task")).count().orderBy("task").collect()
-    starts, total = [], 0
-    for of_task, n in counts:
-        starts.append((of_task, total))
-        total += n
-    begin = table.sparkSession.createDataFrame(starts, "task long, begin long")
-    number = F.col("begin") + F.col("row").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    joined = table.withColumn("task", task).join(F.broadcast(begin), "task")
-    return joined.withColumn("number", number).drop("task", "begin", "row"), total
+    counts = dict(table.groupBy("task").agg((F.max("place") + 1).alias("n")).collect())
+    sizes = np.zeros(max(counts, default=-1) + 2, np.int64)
+    for task, n in counts.items():
+        sizes[task + 1] = n
+    begin, n = np.cumsum(sizes), int(sizes.sum())
+    return table.mapInArrow(lambda it: _slotted(it, begin, n, key), SLOTTED_DDL), n
 
 
 SHARD_DDL = "shard long, path string, first_slot long, n long"
 SHARD = pa.schema([("shard", pa.int64()), ("path", pa.string()), ("first_slot", pa.int64()), ("n", pa.int64())])
+INDEX = pa.schema([("slot", pa.int64()), ("parts", pa.binary())])
 
 
-def _write(stream: Iterator[pa.RecordBatch], folder: str, per_shard: int, stride: int, dtype: str) -> Iterator[pa.RecordBatch]:
-    """Rows come in slot order; each shard is in one partition, whole."""
+def _opened(folder: str) -> tuple:
     from pyarrow import fs
 
-    system, base = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+    return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+
+
+def _write(stream: Iterator[pa.RecordBatch], folder: str, per_shard: int, stride: int, dtype: str) -> Iterator[pa.RecordBatch]:
+    """Rows come in slot order; each shard is in one partition, whole."""
+    system, base = _opened(folder)
     system.create_dir(base, recursive=True)
     width = np.dtype(dtype).itemsize
-    file = name = temporary = None
+    file = index = name = temporary = None
     shard, first, n = -1, 0, 0
 
     def done() -> pa.RecordBatch:
+        index.close()
         file.close()
-        system.move(temporary, name)
-        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((shard, name, first, n), SHARD, strict=True)], schema=SHARD)
+        system.move(f"{temporary}.arrow", f"{name}.arrow")
+        system.move(f"{temporary}.bin", f"{name}.bin")
+        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((shard, f"{name}.bin", first, n), SHARD, strict=True)], schema=SHARD)
 
     for batch in stream:
-        for slot, ids in zip(batch["slot"].to_pylist(), batch["ids"].to_pylist(), strict=True):
-            if slot // per_shard != shard:
-                if file is not None:
-                    yield done()
-                shard, first, n = slot // per_shard, slot, 0
-                name = f"{base}/shard-{shard:08d}.bin"
-                temporary = f"{base}/.{uuid.uuid4().hex}"
-                file = system.open_output_stream(temporary)
-            file.write((len(ids) // width).to_bytes(HEADER, "little") + ids + bytes(stride * width - len(ids)))
-            n += 1
+        for k in range(0, len(batch), 256):  # a few records at a time as Python objects
+            some = batch.slice(k, 256)
+            for slot, ids, parts in zip(*(some[c].to_pylist() for c in ("slot", "ids", "parts")), strict=True):
+                if slot // per_shard != shard:
+                    if file is not None:
+                        yield done()
+                    shard, first, n = slot // per_shard, slot, 0
+                    name, temporary = f"{base}/shard-{shard:08d}", f"{base}/.{uuid.uuid4().hex}"
+                    file = system.open_output_stream(f"{temporary}.bin")
+                    index = pa.ipc.new_file(system.open_output_stream(f"{temporary}.arrow"), INDEX, options=pa.ipc.IpcWriteOptions(compression="zstd"))
+                    held: list[tuple] = []
+                file.write((len(ids) // width).to_bytes(HEADER, "little") + ids + bytes(stride * width - len(ids)))
+                held.append((slot, parts))
+                n += 1
+                if len(held) == 1024 or n == per_shard:
+                    index.write_batch(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), INDEX, strict=True)], schema=INDEX))
+                    held = []
     if file is not None:
+        if held:
+            index.write_batch(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), INDEX, strict=True)], schema=INDEX))
         yield done()
 
 
-READ_DDL = "slot long, ids binary"
-READ = pa.schema([("slot", pa.int64()), ("ids", pa.binary())])
-
-
-def _records(stream: Iterator[pa.RecordBatch], folder: str, stride: int, dtype: str, block: int = 1024) -> Iterator[tuple[int, list[bytes]]]:
-    """First slot and records of each block of the shards, read one after the other."""
-    from pyarrow import fs
-
-    system, _ = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
-    size = HEADER + stride * np.dtype(dtype).itemsize
+def _records(stream: Iterator[pa.RecordBatch], folder: str, stride: int, dtype: str, block: int = 1024) -> Iterator[tuple[str, int, list[bytes]]]:
+    """Path, first slot and ids of each block of the shards, read one after the other."""
+    system, _ = _opened(folder)
+    size, width = HEADER + stride * np.dtype(dtype).itemsize, np.dtype(dtype).itemsize
     for batch in stream:
         for path, first, n in zip(batch["path"].to_pylist(), batch["first_slot"].to_pylist(), batch["n"].to_pylist(), strict=True):
             with system.open_input_stream(path) as file:
                 for k in range(0, n, block):
-                    count = min(block, n - k)
-                    data = file.read(count * size)
-                    yield first + k, [data[i * size : (i + 1) * size] for i in range(count)]
+                    data = file.read(min(block, n - k) * size)
+                    lengths = np.frombuffer(data, np.uint8).reshape(-1, size)[:, :HEADER].copy().view("<u4").ravel().tolist()
+                    yield path, first + k, [data[i * size + HEADER : i * size + HEADER + m * width] for i, m in enumerate(lengths)]
 
 
-def _ids(record: bytes, dtype: str) -> bytes:
-    return record[HEADER : HEADER + int.from_bytes(record[:HEADER], "little") * np.dtype(dtype).itemsize]
+READ_DDL = "slot long, ids binary"
 
 
 def _read(stream: Iterator[pa.RecordBatch], folder: str, stride: int, dtype: str) -> Iterator[pa.RecordBatch]:
-    for first, records in _records(stream, folder, stride, dtype):
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(first, first + len(records))), pa.array([_ids(r, dtype) for r in records], pa.binary())], schema=READ)
-
-
-def _crcs(stream: Iterator[pa.RecordBatch], folder: str, stride: int, dtype: str) -> Iterator[pa.RecordBatch]:
-    for first, records in _records(stream, folder, stride, dtype):
-        crc = [zlib.crc32(np.frombuffer(_ids(r, dtype), dtype).astype("<u4").tobytes()) for r in records]
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(first, first + len(records))), pa.array(crc, pa.int64())], names=["slot", "ids_crc32"])
-
-
-def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, key: int = 20_240_601, stride: int = 1024, per_shard: int = 8192, end_id: int = 0, dtype: str = "<u2") -> tuple[DataFrame, DataFrame]:
-    """Write the shards of `docs` to `folder`, now; returns the manifest (shard, path, first_slot, n) and slot, doc_id, piece, length.
-
-    The ids are shuffled once, each to the task of its shard.
+    for _, first, records in _records(stream, folder, stride, dtype):
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(first, first + len(records))), pa.array(records, pa.binary())], names=["slot", "ids"])
+
+
+CONTENTS_DDL = "slot long, offset long, doc_id long, start long, length long, ids_crc32 long"
+CONTENTS = pa.schema([(c, pa.int64()) for c in ("slot", "offset", "doc_id", "start", "length", "ids_crc32")])
+
+
+def _contents(stream: Iterator[pa.RecordBatch], folder: str, stride: int, dtype: str) -> Iterator[pa.RecordBatch]:
+    system, _ = _opened(folder)
+    width, path, parts = np.dtype(dtype).itemsize, None, None
+
+    def index(name: str) -> Iterator[tuple[int, bytes]]:
+        with system.open_input_file(name) as file:
+            reader = pa.ipc.open_file(file)
+            for k in range(reader.num_record_batches):
+                batch = reader.get_batch(k)
+                yield from zip(batch["slot"].to_pylist(), batch["parts"].to_pylist(), strict=True)
+
+    for name, first, records in _records(stream, folder, stride, dtype):
+        if name != path:
+            path, parts = name, index(name.removesuffix("bin") + "arrow")
+        rows = []
+        for slot, ids in enumerate(records, first):
+            of_slot, packed = next(parts)
+            if of_slot != slot:
+                raise ValueError(f"the index of {name} has slot {of_slot} for {slot}")
+            offset = 0
+            for doc_id, no_id, start, length in np.frombuffer(packed, PART).tolist():
+                cut = np.frombuffer(ids, dtype, length, offset * width)
+                rows.append((slot, offset, None if no_id else doc_id, start, length, zlib.crc32(cut.astype("<u4").tobytes())))
+                offset += length
+            if offset * width != len(ids):
+                raise ValueError(f"the parts of slot {slot} are not its ids")
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), CONTENTS, strict=True)], schema=CONTENTS)
+
+
+def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, key: int = 20_240_601, stride: int = 1024, per_shard: int = 8192, end_id: int = 0, dtype: str = "<u2") -> DataFrame:
+    """Write the shards of `docs` to `folder`, now; returns the manifest: shard, path, first_slot, n.
+
+    The ids are written once as a table, so that no lost executor has them made again, and
+    shuffled once, each to the task of its shard.
     """
     spark = docs.sparkSession
     held = scratch(spark, "tokens")
-    pieces = token_pieces(docs, tokenizer_path, stride, end_id, dtype)
-    pieces.withColumn("row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(held)
-    numbers, n = numbered(spark.read.parquet(held))
-
-    @F.pandas_udf("long")
-    def slot_of(number: pd.Series) -> pd.Series:
-        return pd.Series(permuted(number.to_numpy(), n, key))
-
-    placed = numbers.withColumn("slot", slot_of("number"))
-    shards = parts_for(n, per_shard)
-    dealt = placed.select("slot", "ids").repartitionById(shards, F.floor(F.col("slot") / per_shard).cast("int")).sortWithinPartitions("slot")
+    sequences(docs, tokenizer_path, stride, end_id, dtype).write.option("compression", "zstd").parquet(held)
+    placed, n = slotted(spark.read.parquet(held), key)
+    dealt = placed.repartitionById(parts_for(n, per_shard), F.floor(F.col("slot") / per_shard).cast("int")).sortWithinPartitions("slot")
     manifest = written(dealt.mapInArrow(lambda it: _write(it, folder, per_shard, stride, dtype), SHARD_DDL), "manifest")
-    places = written(placed.select("slot", "doc_id", "piece", "length"), "places")
     drop(spark, held)
-    return manifest, places
+    return manifest
+
+
+def _opening(manifest: DataFrame) -> DataFrame:
+    """The manifest, a few shards a task: it is one row a shard."""
+    spark: SparkSession = manifest.sparkSession
+    return manifest.repartition(max(1, min(manifest.count(), spark.sparkContext.defaultParallelism * 64)), "shard")
 
 
 def read_shards(manifest: DataFrame, folder: str, stride: int = 1024, dtype: str = "<u2", from_slot: int = 0) -> DataFrame:
     """slot, ids from `from_slot` on; whole shards before it are not opened."""
-    live = manifest.where(F.col("first_slot") + F.col("n") > from_slot).repartition("shard")
+    live = _opening(manifest.where(F.col("first_slot") + F.col("n") > from_slot))
     return live.mapInArrow(lambda it: _read(it, folder, stride, dtype), READ_DDL).where(F.col("slot") >= from_slot)
 
 
-def shard_contents(manifest: DataFrame, places: DataFrame, folder: str, stride: int = 1024, dtype: str = "<u2") -> DataFrame:
-    """slot, doc_id, piece, length, and ids_crc32 of the ids (as 32-bit ones) as the shards hold them."""
-    read = manifest.repartition("shard").mapInArrow(lambda it: _crcs(it, folder, stride, dtype), "slot long, ids_crc32 long")
-    # Spark takes what comes out of Python for small; the sides are as long as the corpus
-    return read.hint("merge").join(places.hint("merge"), "slot").select("slot", "doc_id", "piece", "length", "ids_crc32")
+def shard_contents(manifest: DataFrame, folder: str, stride: int = 1024, dtype: str = "<u2") -> DataFrame:
+    """slot, offset, doc_id, start, length, ids_crc32: every document's parts as the shards and their indexes hold them.
+
+    start is a part's place among its document's ids; the checksum is of the ids as 32-bit ones. No shuffle but of the manifest.
+    """
+    return _opening(manifest).mapInArrow(lambda it: _contents(it, folder, stride, dtype), CONTENTS_DDL)

@@ -1,14 +1,19 @@
 """SimHash near-deduplication by Golay-code fuzzy hashing.
 
 Fingerprints that differ in at most four of 64 bits link. The bits form two segments of
-23 and one of 18. The perfect binary Golay code has a codeword within three bits of any
-23-bit word, and the codewords of all words within one bit of a segment (one, or six)
-are its keys: two segments that differ in at most two bits share a word halfway and so
-a key. Of four differing bits, either both 23-bit segments have at most two, or one has
-three or more and at most one is left for the other two segments. Hence five joint keys,
-each over two segments, find every linked pair: keys of both long segments; keys of one
-long segment with the short one exactly; one long segment exactly with keys of the short
-one. Candidates that share a joint key are verified bit by bit.
+23, A and B, and S of 18. The perfect binary Golay code has a codeword within three bits
+of any 23-bit word, and the codewords of all words within one bit of a segment (one, or
+six) are its keys: two segments that differ in at most two bits share a word halfway and
+so a key. With a, b, s of at most four errors in the segments:
+
+* s = 0: a or b is at most two: a key of A, or of B, with S exactly;
+* a = 0: s is at most two, or else b is at most one: A exactly with a key of S, or of B;
+* b = 0: likewise B exactly with a key of S, or of A;
+* else none is zero, so two of them are one and the third at most two: a key of the third
+  with a half of each of the two, as one error leaves one half of a segment whole.
+
+These eighteen kinds of joint keys, each of 30 to 36 bits, find every linked pair.
+Candidates that share a joint key are verified bit by bit.
 
 Copies collapse first: keys are made of distinct fingerprints. Buckets are verified in
 blocks, and a batch of verified links leaves a task as a star for each of its connected
@@ -16,8 +21,10 @@ parts, so a group of n near copies sends about n rows, not n squared.
 
 Defined cases: null text counts as empty; texts without words have fingerprint zero and
 link like any other; a null doc_id is never a component's id unless it has no other;
-repeated rows are all returned; an empty table gives an empty result; other columns are
-ignored.
+repeated rows are all returned; a text of any length counts whole; an empty table gives
+an empty result; other columns are ignored, whatever their names. Of a component
+`drop_near_copies` keeps one row: of the smallest doc_id, null after all others, and of
+rows with that the first in scan order.
 """
 
 from __future__ import annotations
@@ -32,14 +39,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import checkpointed, parts_for, row_bytes, text_or_empty
-from quernstone.llm.exact import LOWER
+from quernstone.llm.common import parts_for, row_bytes, text_or_empty
+from quernstone.llm.exact import LOWER, with_row
+from quernstone.operators import graph
+from quernstone.operators.graph import checkpointed
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 SEED = 42
 BITS, ALLOWED = 64, 4
-FINGERPRINT_DDL = "doc_id long, fp long"
-FINGERPRINT = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+FINGERPRINT_DDL = "row long, doc_id long, fp long"
+FINGERPRINT = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("fp", pa.int64())])
 
 
 def shingle_hashes(text: bytes, width: int) -> np.ndarray:
@@ -70,11 +79,14 @@ def fingerprint(text: bytes, width: int = 4) -> int:
 def _fingerprints(stream: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in stream:
         fps = np.array([fingerprint(t, width) for t in row_bytes(batch["text"])], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fps)], schema=FINGERPRINT)
+        yield pa.RecordBatch.from_arrays([batch["row"], batch["doc_id"], pa.array(fps)], schema=FINGERPRINT)
 
 
-def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
+def fingerprints(docs: DataFrame, width: int = 4, row_col: str | None = None) -> DataFrame:
+    """row, doc_id, fp of every document."""
+    if row_col is None:
+        docs, row_col = with_row(docs)
+    rows = docs.select(F.col(row_col).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
     return rows.mapInArrow(lambda it: _fingerprints(it, width), FINGERPRINT_DDL)
 
 
@@ -130,18 +142,21 @@ def joint_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     (r1, k1), (r2, k2), (r3, k3) = (nearby_indices(s) for s in (first, second, short))
     rows, keys = [], []
 
-    def add(kind: int, row: np.ndarray, key: np.ndarray) -> None:
+    def add(row: np.ndarray, key: np.ndarray) -> None:
+        keys.append(key | len(rows) << 40)
         rows.append(row)
-        keys.append(key | kind << 40)
-
-    # every key of the first segment with every key of the second
-    begin, count = np.searchsorted(r2, r1), np.bincount(r2, minlength=len(f))[r1]
-    at = np.repeat(begin - np.append(0, np.cumsum(count)[:-1]), count) + np.arange(count.sum())
-    add(0, np.repeat(r1, count), np.repeat(k1, count) << 12 | k2[at])
-    add(1, r2, k2 << 18 | short[r2])
-    add(2, r1, k1 << 18 | short[r1])
-    add(3, r3, second[r3] << 12 | k3)
-    add(4, r3, first[r3] << 12 | k3)
+
+    add(r1, k1 << 18 | short[r1])
+    add(r2, k2 << 18 | short[r2])
+    add(r3, first[r3] << 12 | k3)
+    add(r2, first[r2] << 12 | k2)
+    add(r3, second[r3] << 12 | k3)
+    add(r1, second[r1] << 12 | k1)
+    halves = [(segment & (1 << n) - 1, segment >> n) for segment, n in ((first, 11), (second, 11), (short, 9))]
+    for (r, k), one, other in (((r1, k1), 1, 2), ((r2, k2), 0, 2), ((r3, k3), 0, 1)):
+        for x in halves[one]:
+            for y in halves[other]:
+                add(r, (k << 12 | x[r]) << 12 | y[r])
     return np.concatenate(rows), np.concatenate(keys)
 
 
@@ -231,44 +246,42 @@ def _links(stream: Iterator[pa.RecordBatch], allowed: int, small: int = 64) -> I
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, root (the least node of its component), by least labels and pointer jumping.
-
-    Every round is a reliable checkpoint; labels only fall, so an unchanged sum ends it.
-    """
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = checkpointed(both)
-    label = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("root"))
-    total = None
-    while True:
-        label = checkpointed(label)
-        now = label.agg(F.sum(F.col("root").cast("decimal(38,0)"))).first()[0]
-        if now == total:
-            return label
-        total = now
-        seen = both.join(label, both.b == label.node).groupBy("a").agg(F.min("root").alias("least"))
-        fresh = label.join(seen, label.node == seen.a).select("node", F.least("root", "least").alias("root"))
-        parent = fresh.select(F.col("node").alias("parent"), F.col("root").alias("above"))
-        label = fresh.join(parent, fresh.root == parent.parent, "left").select("node", F.coalesce("above", "root").alias("root"))
+    """node, root (the least node of its component) of the nodes that edges (a, b) have."""
+    links = edges.select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    return graph.components(links.select(F.col("src").alias("node")), links)
 
 
-def near_copies(docs: DataFrame, width: int = 4, allowed: int = ALLOWED) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id of every document.
+def near_groups(docs: DataFrame, width: int = 4, allowed: int = ALLOWED, row_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """row, doc_id, fp, keep (doc_id and row of its component's first) of every document; and the `keep` of every component.
 
-    The texts are read once and never shuffled; what moves is fingerprints and keys.
+    The texts are read once and never shuffled; what moves is fingerprints and keys. Where
+    many rows share a fingerprint, or many fingerprints a component, they hear of it by a
+    broadcast of bounded size.
     """
-    fps = checkpointed(fingerprints(docs, width))
-    distinct = checkpointed(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    parts = parts_for(distinct.count(), 10_000, 12)
+    fps = checkpointed(fingerprints(docs, width, row_col))
+    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row")
+    distinct = checkpointed(fps.groupBy("fp").agg(F.min(order).alias("least"), F.count("*").alias("n")))
+    total, n = distinct.agg(F.sum("n"), F.count("*")).first()
     keyed = distinct.select("fp").mapInArrow(_keyed, KEYED_DDL)
-    edges = keyed.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(lambda it: _links(it, allowed), EDGE_DDL)
+    edges = keyed.repartition(parts_for(n, 5_000, 12), "key").sortWithinPartitions("key").mapInArrow(lambda it: _links(it, allowed), EDGE_DDL)
     linked = components(edges.distinct())
     rooted = distinct.join(linked, distinct.fp == linked.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(ids, "root").select("fp", "component_id")
-    return fps.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    rooted = checkpointed(rooted)
+    keeps = rooted.groupBy("root").agg(F.min("least").alias("keep"))
+    of_fp = graph.looked_up(rooted.select("fp", "root"), "root", keeps.select(F.col("root").alias("node"), F.col("keep").alias("value")), graph.heavy_keys(rooted, "root", n))
+    often = distinct.where(F.col("n") > max(graph.LEAST_HEAVY, (total or 0) // graph.HEAVY)).select(F.col("fp").alias("heavy"))
+    told = graph.looked_up(fps, "fp", of_fp.select(F.col("fp").alias("node"), "value"), often)
+    return told.withColumnRenamed("value", "keep"), keeps
+
+
+def near_copies(docs: DataFrame, width: int = 4, allowed: int = ALLOWED) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id of every document."""
+    told, _ = near_groups(docs, width, allowed)
+    return told.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("keep.doc_id").alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame, width: int = 4, allowed: int = ALLOWED) -> DataFrame:
-    """`docs` with one document of each component: the one with the smallest doc_id."""
-    kept = near_copies(docs, width, allowed).select(F.col("component_id").alias("_kept")).distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(F.col("_kept")), "left_semi")
+    """`docs` with one row of each component: the one with the smallest doc_id. All columns stay as they are."""
+    numbered, row = with_row(docs)
+    _, keeps = near_groups(numbered, width, allowed, row)
+    return numbered.join(keeps.select(F.col("keep.row").alias(row)), row, "left_semi").drop(row)

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import gc
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
-import regex
 
 
 def tokenizer_path(name: str) -> str:
@@ -28,61 +27,90 @@ BYTE_SYMBOLS = _byte_symbols()
 _LOADED: dict[str, WordTokens] = {}
 
 
+class ByteCache:
+    """Values by text within about `limit` bytes: two generations, the older dropped when the younger is full.
+
+    What is used lives on. Texts of over `longest` characters are not kept.
+    """
+
+    ENTRY = 230  # two objects' heads and their place in the dictionary
+
+    def __init__(self, limit: int, longest: int = 64):
+        self.half, self.longest, self.used = limit // 2, longest, 0
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def keep(self, key: str, value, size: int | None = None) -> None:
+        if len(key) > self.longest:
+            return
+        self.used += self.ENTRY + 2 * len(key) + (len(value) if size is None else size)
+        if self.used > self.half:
+            self.old, self.young, self.used = self.young, {}, 0
+        self.young[key] = value
+
+    def recall(self, key: str, into: dict | None = None):
+        """The value in the older generation, which it leaves for the younger; None if there is none."""
+        value = self.old.pop(key, None)
+        if value is not None:
+            self.keep(key, value)
+            if into is not None:
+                into[key] = value
+        return value
+
+
 class WordTokens:
     """Ids of whole texts, as the tokenizers library gives them.
 
     The pre-tokenizer drops white space and splits there, its normaliser acts on single
-    characters and combining sequences, and neither spans a blank, tab or line end; so
-    a text's ids are those of its pieces between these, one after the other. Pieces are
-    cached as packed ids. A new piece of ASCII and Latin-1 letters, which the normaliser
-    only lower-cases, is split by the tokenizer file's own pattern and its words go to the
-    library's model; any other new piece goes through the whole library.
+    characters and combining sequences, and neither spans a blank, tab or line end. In a
+    text of ASCII and Latin-1 letters the normaliser only lower-cases, so it is split into
+    words by the tokenizer file's own pattern, narrowed to these characters, and new words
+    go to the library's model. Any other text is cut at blanks, tabs and line ends, and those
+    of its pieces that have other characters go through the whole library. Ids are kept
+    packed, by word and by piece, in caches of bounded bytes.
     """
 
     SPACE = re.compile("[^ \t\n\r]+")
-    CONTROL = re.compile("[\x1c-\x1f]")
-    PLAIN = re.compile("[\x21-\x7e\u00c0-\u00ff]+")
+    PLAIN = re.compile("[\t\n\r\x20-\x7e\u00c0-\u00ff]*")
+    #: What the classes of the pattern are among plain characters.
+    CLASSES = {r"\p{L}": "a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", r"\p{N}": "0-9", r"\s": r"\t\n\r "}
 
-    def __init__(self, path: str, cache: int = 1_500_000):
+    def __init__(self, path: str, cache_bytes: int = 96 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.limit = cache
-        self.cache: dict[str, bytes] = {}
+        self.pieces = ByteCache(cache_bytes // 8)
+        self.words = ByteCache(cache_bytes - cache_bytes // 8)
         vocabulary = self.tokenizer.get_vocab_size()
         self.model = self.tokenizer.model
-        self.words: dict[str, bytes] = {}
         self.pattern = self._pattern()
         self.added = tuple({t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()})
         self.dtype = np.dtype("<u2") if vocabulary <= 1 << 16 else np.dtype("<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
 
     @classmethod
     def load(cls, path: str) -> WordTokens:
-        """One instance a worker process, where cyclic garbage collection would only walk the cache."""
+        """One instance a worker process."""
         if path not in _LOADED:
-            gc.disable()
             _LOADED[path] = cls(path)
         return _LOADED[path]
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text."""
-        get = self.cache.get
         for text in texts:
-            # str.split() also splits at four control characters that are no white space to the tokenizer
-            pieces = self.SPACE.findall(text) if self.CONTROL.search(text) else text.split()
-            found = list(map(get, pieces))
-            if None in found:
-                fresh = list({p for p, ids in zip(pieces, found, strict=True) if ids is None})
-                if len(self.cache) + len(fresh) > self.limit:
-                    self.cache.clear()
-                    fresh = list(set(pieces))
-                self._add(fresh)
-                found = [self.cache[p] for p in pieces]
+            if self._plain(text):
+                found = self._of_words(self.pattern.findall(text.lower()))
+            else:
+                pieces = self.SPACE.findall(text)
+                found = self._looked_up(self.pieces, pieces, self._of_pieces)
             yield np.frombuffer(b"".join(found), self.dtype)
 
-    def _pattern(self) -> regex.Pattern | None:
-        """The split pattern, if the file's steps are those that the short way relies on."""
+    def _plain(self, text: str) -> bool:
+        return self.pattern is not None and self.PLAIN.fullmatch(text) is not None and not any(a in text for a in self.added)
+
+    def _pattern(self) -> re.Pattern | None:
+        """The split pattern for plain characters, if the file's steps are those that the short way relies on."""
         spec = json.loads(self.tokenizer.to_str())
         normal = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
         steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
@@ -90,23 +118,33 @@ class WordTokens:
             return None
         if steps[0]["behavior"] != "Removed" or not steps[0]["invert"] or steps[1]["use_regex"] or steps[1]["add_prefix_space"]:
             return None
-        return regex.compile(steps[0]["pattern"]["Regex"])
-
-    def _add(self, pieces: list[str]) -> None:
-        other = []
-        for piece in pieces:
-            if self.pattern is None or not self.PLAIN.fullmatch(piece) or any(a in piece for a in self.added):
-                other.append(piece)
-            else:
-                self.cache[piece] = b"".join(map(self._word, self.pattern.findall(piece.lower())))
-        for piece, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            self.cache[piece] = np.array(e.ids, self.dtype).tobytes()
-
-    def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            if len(self.words) >= self.limit // 2:
-                self.words.clear()
-            symbols = word.encode().decode("latin-1").translate(BYTE_SYMBOLS)
-            ids = self.words[word] = np.array([t.id for t in self.model.tokenize(symbols)], self.dtype).tobytes()
-        return ids
+        pattern = steps[0]["pattern"]["Regex"]
+        for name, characters in self.CLASSES.items():
+            pattern = pattern.replace(name, characters)
+        if r"\p" in pattern or "(?" in pattern:
+            return None
+        return re.compile(pattern)
+
+    @staticmethod
+    def _looked_up(cache: ByteCache, keys: list[str], made) -> list[bytes]:
+        found = list(map(cache.young.get, keys))
+        if None in found:
+            known: dict[str, bytes] = {}
+            fresh = [k for k in {k for k, ids in zip(keys, found, strict=True) if ids is None} if not cache.recall(k, known)]
+            for key, ids in zip(fresh, made(fresh), strict=True):
+                known[key] = ids
+                cache.keep(key, ids)
+            found = [known[k] if ids is None else ids for k, ids in zip(keys, found, strict=True)]
+        return found
+
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        return self._looked_up(self.words, words, self._modelled)
+
+    def _modelled(self, words: list[str]) -> list[bytes]:
+        tokenize, code = self.model.tokenize, self.code
+        return [array(code, [t.id for t in tokenize(w.encode().decode("latin-1").translate(BYTE_SYMBOLS))]).tobytes() for w in words]
+
+    def _of_pieces(self, pieces: list[str]) -> list[bytes]:
+        other = [p for p in pieces if not self._plain(p)]
+        known = dict(zip(other, (np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)), strict=True))
+        return [known[p] if p in known else b"".join(self._of_words(self.pattern.findall(p.lower()))) for p in pieces]

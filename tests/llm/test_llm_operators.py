@@ -205,9 +205,30 @@ def test_grace_table_spills_and_never_merges_by_hash_alone():
     assert dict(table.groups()) == {c: 10 for c in set(contents)}
 
 
-def test_exact_pipeline_keeps_columns(spark, docs):
-    kept = exact.drop_exact_copies(docs.withColumnRenamed("_row", "other"))
+def clashing(docs):
+    """Columns with the names that operators use inside, in types of their own."""
+    names = ("row", "_row", "_kept", "fp", "keep", "node", "host", "salt", "n_bytes", "chunk", "slot", "score", "length", "group_row", "a.b")
+    for name in names:
+        docs = docs.withColumn(name, __import__("pyspark").sql.functions.lit("yours"))
+    return docs
+
+
+def test_exact_keeps_columns(spark, docs):
+    kept = exact.drop_exact_copies(docs)
+    assert kept.schema == docs.schema and {r._row for r in kept.collect()} == {"clash"}
     assert kept.count() == len(brute_exact([(r.doc_id, r.text) for r in docs.collect()]))
+    odd = clashing(docs)
+    kept = exact.drop_exact_copies(odd)
+    assert kept.schema == odd.schema and {(r.row, r._row, r["a.b"]) for r in kept.collect()} == {("yours",) * 3}
+    assert sorted(exact.exact_groups(odd).collect()) == sorted(exact.exact_groups(docs).collect())
+
+
+def test_grace_table_tells_members_while_it_replays():
+    contents = [f"content {k % 50}".encode() * 9 for k in range(500)]
+    table = exact.GraceTable(lambda s, p: p if s is None else s, budget=1500)
+    got = list(table.states_of((c, k) for k, c in enumerate(contents)))
+    assert sorted(got) == [(k, k % 50) for k in range(500)]
+    assert not table.spills
 
 
 # 4 -------------------------------------------------------------------------------
@@ -328,6 +349,39 @@ def test_html_templates_count_different_pages_and_reach_into_articles(spark):
     assert all(got[60 + k] == body for k in range(6))
 
 
+PLAIN = """<html><body><div class=a><div><a href=/>Start</a> <a href=/x>Topics</a></div></div>
+<div class=b><div class=c><p>{own} first</p><p>{own} second</p></div><div class=d><p>Read our most popular pieces</p></div></div>
+<div class=e><p>All rights with the editors of this site</p></div></body></html>"""
+
+
+def test_html_template_decides_where_no_name_tells(spark):
+    """No article, no telling tag or class: only the count over the host's pages can tell what is template."""
+    pages = [(k, f"https://plain.example/{k}", PLAIN.format(own=f"own words {k}")) for k in range(20)]
+    pages += [(100 + k, f"https://few.example/{k}", PLAIN.format(own=f"own words {k}")) for k in range(4)]
+    df = clashing(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    whole = {k: html.main_text(p) for k, _, p in pages}
+    for limit in (32 << 20, 0):  # templates by broadcast, pages dealt by host
+        got = {r.page_id: r.text for r in html.extract_pages(df, broadcast_bytes=limit).collect()}
+        assert all(got[k] == f"own words {k} first own words {k} second" for k in range(20))
+        assert all(got[100 + k] == whole[100 + k] and "editors" in whole[100 + k] for k in range(4))
+    assert html.extract_pages(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "</x>" * 100_000, "<a " * 300_000, "<b><div>" + "<i>" * 100_000 + "</b>" * 100_000, "<!" * 300_000, "</p" * 200_000, "<li>" * 200_000, '<a b="' * 150_000, "<p x='" + "<q " * 200_000, "<script>" + "</script" * 100_000, "<div>" * 300_000, "& &amp " * 100_000])
+def test_html_hostile_pages_take_little_time(page):
+    import time
+
+    began = time.process_time()
+    html.subtree_hashes(html.parse(page), [])
+    html.main_text(page, frozenset([1]))
+    assert time.process_time() - began < 8
+
+
+def test_html_of_any_length():
+    body = " ".join(f"word{k}" for k in range(300_000))
+    assert html.main_text(f"<body><nav>menu</nav><article><p>{body}</p></article></body>") == body
+
+
 def test_html_query(spark, sf_dir):
     import html as lib
 
@@ -377,7 +431,7 @@ def test_packing_empty(spark, docs):
     assert packing.packed_documents(docs.limit(0), tokenizer_path("word_bpe_49k.json")).count() == 0
 
 
-@pytest.mark.parametrize("text", [*[t for t in ODD if t], "İΣς ſ it's 'S x\x1cy\x85z", "ΑΣ", "é́̂ ²３", "a<|startoftext|>b"])
+@pytest.mark.parametrize("text", [*[t for t in ODD if t], "İΣς ſ it's 'S x\x1cy\x85z", "ΑΣ", "é́̂ ²３", "a<|startoftext|>b", "ÀÞ×÷ß don't WE'LL 'S's 12.5%", "x\x85y\xa0z\x1fq", "a" * 70 + " " + "b1" * 90])
 def test_word_tokens_are_the_library_s(text):
     words = WordTokens.load(tokenizer_path("word_bpe_49k.json"))
     assert list(next(words.encode([text]))) == words.tokenizer.encode(text, add_special_tokens=False).ids
@@ -494,6 +548,27 @@ def test_simhash_nulls_and_empty(spark):
     assert simhash.near_copies(df.limit(0)).count() == 0
 
 
+def test_simhash_keeps_one_row_and_all_columns(spark, docs):
+    odd = clashing(docs)
+    kept = simhash.drop_near_copies(odd)
+    assert kept.schema == odd.schema and {(r.row, r._kept, r.fp) for r in kept.collect()} == {("yours",) * 3}
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in simhash.drop_near_copies(docs).collect())
+    df = spark.createDataFrame([(None, "a b c d e"), (None, "a b c d e"), (4, "a b c d e"), (4, "a b c d e"), (None, "z y x"), (None, "z y x"), (7, None), (6, " "), (6, " ")], "doc_id long, text string")
+    assert sorted((r.doc_id or -1, r.text) for r in simhash.drop_near_copies(df).collect()) == [(-1, "z y x"), (4, "a b c d e"), (6, " ")]
+    assert simhash.drop_near_copies(df.limit(0)).count() == 0
+
+
+def test_simhash_of_a_very_long_text():
+    text = " ".join(str(k * k % 9973) for k in range(70_000))
+    assert simhash.fingerprint(text.encode()) == brute_fingerprint(text)
+
+
+def test_components_of_a_large_star(spark):
+    edges = spark.range(1, 3000).selectExpr("id AS a", "CASE WHEN id % 7 = 0 THEN id - 1 ELSE 0 END AS b")
+    got = {r.node: r.root for r in simhash.components(edges).collect()}
+    assert got == dict.fromkeys(range(3000), 0)
+
+
 def test_components_of_long_chains(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101), (102, 101)]
     got = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -511,31 +586,84 @@ def test_feistel_is_a_permutation(n):
         assert (slots != shards.permuted(np.arange(n), n, 12)).any()
 
 
+def token_ids(texts):
+    tokenizer = WordTokens.load(tokenizer_path("word_bpe_49k.json")).tokenizer
+    return [np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], "<u4") for t in texts]
+
+
 def test_shards_round_trip(spark, docs, tmp_path):
     path = tokenizer_path("word_bpe_49k.json")
-    tokenizer = WordTokens.load(path).tokenizer
     folder = str(tmp_path / "out")
-    manifest, places = shards.write_shards(docs, path, folder, stride=32, per_shard=16)
-    want = {}
-    for i, t in texts_of(docs).items():
-        ids = np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 0], "<u4")
-        for k in range(0, len(ids), 32):
-            want[i, k // 32] = zlib.crc32(ids[k : k + 32].tobytes())
-    got = shards.shard_contents(manifest, places, folder, stride=32).collect()
-    assert {(r.doc_id, r.piece): r.ids_crc32 for r in got} == want
-    assert sorted(r.slot for r in got) == list(range(len(want)))
+    manifest = shards.write_shards(docs, path, folder, stride=32, per_shard=16)
+    texts = texts_of(docs)
+    want = dict(zip(texts, token_ids(texts.values()), strict=True))
+    got = shards.shard_contents(manifest, folder, stride=32).collect()
+    records = {r.slot: np.frombuffer(r.ids, "<u2").astype("<u4") for r in shards.read_shards(manifest, folder, stride=32).collect()}
+    n = len(records)
+    assert sorted(records) == list(range(n))
+    built = {i: np.full(len(ids), -1) for i, ids in want.items()}
+    filled = {slot: 0 for slot in records}
+    for r in sorted(got, key=lambda r: (r.slot, r.offset)):
+        assert r.offset == filled[r.slot]
+        filled[r.slot] += r.length
+        part = records[r.slot][r.offset : r.offset + r.length]
+        assert r.ids_crc32 == zlib.crc32(part.tobytes())
+        assert (built[r.doc_id][r.start : r.start + r.length] == -1).all()
+        built[r.doc_id][r.start : r.start + r.length] = part
+    assert all((built[i] == want[i]).all() for i in want)
+    assert all(filled[slot] == len(ids) for slot, ids in records.items())
+    # full sequences: only a task's last one is shorter
+    assert sum(len(ids) < 32 for ids in records.values()) <= docs.rdd.getNumPartitions()
     assert all(os.path.getsize(r.path) == 68 * r.n for r in manifest.collect())
-    tail = shards.read_shards(manifest, folder, stride=32, from_slot=len(want) - 5).collect()
-    assert sorted(r.slot for r in tail) == list(range(len(want) - 5, len(want)))
-    # the same key and table give the same order again
-    again, where = shards.write_shards(docs, path, str(tmp_path / "again"), stride=32, per_shard=16)
-    assert {(r.doc_id, r.piece): r.slot for r in where.collect()} == {(r.doc_id, r.piece): r.slot for r in got}
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == sorted(f"shard-{r.shard:08d}.{end}" for r in manifest.collect() for end in ("bin", "arrow"))
+    tail = shards.read_shards(manifest, folder, stride=32, from_slot=n - 5).collect()
+    assert sorted(r.slot for r in tail) == list(range(n - 5, n))
+    # the same key and table give the same order again, another key another one
+    again, other = (shards.shard_contents(shards.write_shards(docs, path, str(tmp_path / f"k{k}"), key=k, stride=32, per_shard=16), str(tmp_path / f"k{k}"), stride=32).collect() for k in (20_240_601, 5))
+    assert sorted(again) == sorted(got) and sorted(other) != sorted(got)
+
+
+def test_shards_nulls_repeats_and_long_texts(spark, tmp_path):
+    long = "many words in one text " * 20_000
+    rows = [(None, "a b"), (None, "a b"), (4, "c"), (4, "c"), (5, None), (6, ""), (7, long)]
+    df = spark.createDataFrame([(i, t, "clash") for i, t in rows], "doc_id long, text string, slot string").coalesce(1)
+    folder = str(tmp_path / "odd")
+    got = shards.shard_contents(shards.write_shards(df, tokenizer_path("word_bpe_49k.json"), folder, stride=256), folder, stride=256).collect()
+    lengths = {}
+    for r in got:
+        lengths[r.doc_id] = lengths.get(r.doc_id, 0) + r.length
+    want = {}
+    for (i, _), ids in zip(rows, token_ids(t for _, t in rows), strict=True):
+        want[i] = want.get(i, 0) + len(ids)
+    assert lengths == want
+    assert sum(r.start == 0 for r in got) == len(rows)
+
+
+def test_shards_query(spark, sf_dir):
+    got = q.op9_token_shards(spark, sf_dir).collect()
+    rows = duckdb.sql(f"select doc_id, text from '{sf_dir}/documents.parquet'").fetchall()
+    want = dict(zip((i for i, _ in rows), token_ids(t for _, t in rows), strict=True))
+    for r in got:
+        assert r.ids_crc32 == zlib.crc32(want[r.doc_id][r.start : r.start + r.length].tobytes())
+    assert sum(r.length for r in got) == sum(map(len, want.values()))
+    assert len({(r.doc_id, r.start) for r in got}) == len(got)
 
 
 def test_shards_empty(spark, docs):
     folder = shared_dir(spark) + "/empty-shards"
-    manifest, places = shards.write_shards(docs.limit(0), tokenizer_path("word_bpe_49k.json"), folder)
-    assert manifest.count() == 0 and places.count() == 0
+    manifest = shards.write_shards(docs.limit(0), tokenizer_path("word_bpe_49k.json"), folder)
+    assert manifest.count() == 0
+    assert shards.shard_contents(manifest, folder).count() == shards.read_shards(manifest, folder).count() == 0
+
+
+def test_word_cache_is_bounded_and_forgets_nothing_in_use():
+    words = WordTokens(tokenizer_path("word_bpe_49k.json"), cache_bytes=60_000)
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choice("abcdeé.," + "日" * (k % 2)) for _ in range(rng.randint(1, 90))) for _ in range(40)) for k in range(60)]
+    for t in texts + texts:
+        assert list(next(words.encode([t]))) == words.tokenizer.encode(t, add_special_tokens=False).ids
+    for cache in (words.pieces, words.words):
+        assert len(cache.young) + len(cache.old) < 200 and max(map(len, [*cache.young, *cache.old])) <= 64
 
 
 # 10 ------------------------------------------------------------------------------
