@@ -134,8 +134,10 @@ def bounded(term: str) -> str:
 
 
 def term_hits(text: Column, terms: list[str]) -> Column:
-    """The terms that stand in the text, in the order given."""
-    return F.array_compact(F.array(*[F.when(text.rlike(bounded(t)), F.lit(t)) for t in terms]))
+    """The terms that stand in the text, in the order given. A pattern is tried only where its first word is in the text at all."""
+    low = F.lower(text)
+    first = [next(p for p in re.split(r"[-\s]+", t) if p).lower() for t in terms]
+    return F.array_compact(F.array(*[F.when(F.contains(low, F.lit(w)) & text.rlike(bounded(t)), F.lit(t)) for w, t in zip(first, terms, strict=True)]))
 
 
 def subject_signals(text: Column, subjects: dict[str, list[str]] = SUBJECTS) -> Column:

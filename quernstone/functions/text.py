@@ -164,6 +164,14 @@ def quote_key(c: Column, words: int = 12) -> Column:
     return F.array_join(F.slice(F.split(t, " "), 1, words), " ")
 
 
+def finding_key(doc: Column, number: Column, unit: Column, quote: Column) -> Column:
+    """struct(doc, number, unit, quote) by which two readers' findings are one: figure and unit where there is a figure, else the quote."""
+    from quernstone.functions.numbers import sig4
+
+    figured = number.isNotNull()
+    return F.struct(doc.alias("doc"), sig4(number).alias("number"), F.when(figured, F.lower(F.trim(or_empty(unit)))).alias("unit"), F.when(~figured, quote_key(quote)).alias("quote"))
+
+
 def value_in_text(text: Column, number: Column, unit: Column) -> Column:
     """Whether number and unit stand in the text, with or without a blank between."""
     whole = F.when(number == F.floor(number), number.cast("long").cast("string")).otherwise(number.cast("string"))

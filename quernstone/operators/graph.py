@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the folder of spark.checkpoint.dir, which only local sessions may leave unset."""
+    """A reliable checkpoint in the folder of spark.checkpoint.dir, which only local sessions may leave unset.
+
+    A checkpoint carries the size that was estimated for its plan, for joins the product of their
+    sides'. Over the rounds of a loop its digits double until planning takes longer than the
+    work, so the result is taken anew from the rows, without an estimate.
+    """
     spark = df.sparkSession
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         path = spark.conf.get("spark.checkpoint.dir", None)
@@ -18,7 +23,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
             path = tempfile.mkdtemp(prefix="checkpoints-")
         spark.sparkContext.setCheckpointDir(path)
-    return df.checkpoint()
+    held = df.checkpoint()._jdf.toDF()
+    return DataFrame(spark._jsparkSession.createDataFrame(held.javaRDD(), held.schema()), spark)
 
 
 #: A key that more than one in HEAVY rows share is heavy, so that there are HEAVY heavy keys at most; below LEAST_HEAVY rows none is.

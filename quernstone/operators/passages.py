@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 from pyspark.sql.window import Window
 
 from quernstone.functions import text as T
@@ -42,64 +43,78 @@ def selected_pages(pages: DataFrame, score: Column, context: Column, min_score:
     return scored.withColumn("selected", (F.col("_n") <= whole) | (F.col("page") < first) | hit | ((context > 0) & near)).drop("_n")
 
 
-def within_budget(pages: pd.DataFrame, budget: int, first: int) -> pd.DataFrame:
-    """Selected pages within a budget of characters: the first ones always, then by score, whole pages only."""
-    chosen = pages[pages.selected].copy()
-    chosen["size"] = chosen.text.str.len()
-    if chosen["size"].sum() <= budget:
-        return pages
-    keep = set(chosen.page[chosen.page < first])
-    left = budget - int(chosen["size"][chosen.page < first].sum())
-    for page, size in chosen[chosen.page >= first].sort_values(["score", "page"], ascending=[False, True])[["page", "size"]].itertuples(index=False):
-        if size <= left:
-            keep.add(page)
-            left -= size
-    return pages.assign(selected=pages.page.isin(keep))
+def select_within(pages: DataFrame, budget: int, first: int = 2) -> DataFrame:
+    """`selected_pages` cut to a budget of characters a document: the first pages always, then by score, whole pages only.
+
+    Only numbers of pages and their sizes are gathered by document, and folded there; texts stay with their pages.
+    """
+    later = F.col("page") >= first
+    size = F.when(F.col("selected"), F.length("text")).otherwise(0)
+    order = F.array_sort(F.collect_list(F.when(F.col("selected") & later, F.struct((-F.col("score")).alias("worst"), F.col("page").alias("page"), size.alias("size")))))
+    sums = pages.groupBy("doc").agg(F.sum(size).alias("_all"), F.sum(F.when(~later, size).otherwise(0)).alias("_first"), order.alias("_order"))
+    start = F.struct((F.lit(budget) - F.col("_first")).alias("left"), F.array().cast(ArrayType(pages.schema["page"].dataType)).alias("kept"))
 
+    def take(state: Column, page: Column) -> Column:
+        fits = page["size"] <= state["left"]
+        return F.struct(F.when(fits, state["left"] - page["size"]).otherwise(state["left"]).alias("left"), F.when(fits, F.concat(state["kept"], F.array(page["page"]))).otherwise(state["kept"]).alias("kept"))
 
-def select_within(pages: DataFrame, budget: int, first: int = 2) -> DataFrame:
-    """`selected_pages` cut to a budget, document by document."""
-    columns = pages.columns
-    return pages.groupBy("doc").applyInPandas(lambda pdf: within_budget(pdf, budget, first)[columns], pages.schema)
-
-
-def lines_within(body: str, limit: int) -> list[str]:
-    """Pieces of whole lines of at most `limit` characters; a longer line stays whole."""
-    out, held = [], ""
-    for line in body.splitlines(keepends=True):
-        if held and len(held) + len(line) > limit:
-            out.append(held)
-            held = ""
-        held += line
-    return [*out, held] if held or not out else out
-
-
-def marked_chunks(pages: list[tuple[int, str]], limit: int) -> list[tuple[list[int], str]]:
-    """Pages (number from 1, text) as chunks of about `limit` characters, each piece behind its page's mark."""
-    out: list[tuple[list[int], str]] = []
-    numbers, held = [], ""
-    for number, text in pages:
-        mark = f"[PAGE {number}]\n"
-        for piece in lines_within(text + "\n", max(1, limit - len(mark))):
-            block = mark + piece
-            if held and len(held) + len(block) > limit:
-                out.append((numbers, held))
-                numbers, held = [], ""
-            numbers = numbers if number in numbers else [*numbers, number]
-            held += block
-    return [*out, (numbers, held)] if held else out
+    kept = sums.select("doc", "_all", F.aggregate("_order", start, take, lambda state: state["kept"]).alias("_kept"))
+    fits = (F.col("_all") <= budget) | ~later | F.array_contains("_kept", F.col("page"))
+    return pages.join(kept, "doc").withColumn("selected", F.col("selected") & fits).select(*pages.columns)
+
+
+def lines_within(body: Column, limit: Column) -> Column:
+    """array<string>: pieces of whole lines of at most `limit` characters; a longer line stays whole."""
+    lines = F.filter(F.split(body, r"(?<=\n)"), lambda line: line != "")
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
+
+    def add(state: Column, line: Column) -> Column:
+        full = (state["open"] != "") & (F.length(state["open"]) + F.length(line) > limit)
+        return F.struct(F.when(full, F.concat(state["done"], F.array(state["open"]))).otherwise(state["done"]).alias("done"), F.when(full, line).otherwise(F.concat(state["open"], line)).alias("open"))
+
+    return F.aggregate(lines, start, add, lambda s: F.when((s["open"] != "") | (F.size(s["done"]) == 0), F.concat(s["done"], F.array(s["open"]))).otherwise(s["done"]))
 
 
 def chunk_pages(pages: DataFrame, limit: int) -> DataFrame:
-    """doc, chunk, pages, text of selected pages (doc, page from 0, text); a task holds one document's pages at a time."""
+    """doc, chunk, pages, text of selected pages (doc, page from 0, text): chunks of about `limit` characters, each piece of a page behind its mark."""
+    mark = F.concat(F.lit("[PAGE "), (F.col("page") + 1).cast("string"), F.lit("]\n"))
+    pieces = lines_within(F.concat(F.coalesce("text", F.lit("")), F.lit("\n")), F.greatest(F.lit(1), F.lit(limit) - F.length(mark)))
+    blocks = F.transform(pieces, lambda piece: F.struct((F.col("page") + 1).cast("long").alias("number"), F.concat(mark, piece).alias("text")))
+    of_doc = pages.groupBy("doc").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(F.col("page").alias("page"), blocks.alias("blocks")))), lambda p: p["blocks"])).alias("blocks"))
+    open_ = lambda pages, text: F.struct(pages.alias("pages"), text.alias("text"))
+    none = F.array().cast("array<long>")
+    start = F.struct(F.array().cast("array<struct<pages:array<bigint>,text:string>>").alias("done"), none.alias("pages"), F.lit("").alias("text"))
+
+    def add(state: Column, block: Column) -> Column:
+        full = (state["text"] != "") & (F.length(state["text"]) + F.length(block["text"]) > limit)
+        return F.struct(
+            F.when(full, F.concat(state["done"], F.array(open_(state["pages"], state["text"])))).otherwise(state["done"]).alias("done"),
+            F.when(full, F.array(block["number"])).otherwise(F.array_union(state["pages"], F.array(block["number"]))).alias("pages"),
+            F.when(full, block["text"]).otherwise(F.concat(state["text"], block["text"])).alias("text"),
+        )
+
+    chunks = F.aggregate("blocks", start, add, lambda s: F.when(s["text"] != "", F.concat(s["done"], F.array(open_(s["pages"], s["text"])))).otherwise(s["done"]))
+    return of_doc.select("doc", F.posexplode(chunks).alias("chunk", "c")).select("doc", F.col("chunk").cast("long").alias("chunk"), "c.pages", "c.text")
+
+
+#: Fixed value: from how many characters on a document is a large one.
+LARGE = 400_000
+
 
-    def chunks(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("page")
-        rows = marked_chunks([(int(p) + 1, t) for p, t in zip(pdf.page, pdf.text, strict=True)], limit)
-        return pd.DataFrame([(key[0], k, n, t) for k, (n, t) in enumerate(rows)], columns=["doc", "chunk", "pages", "text"])
+def is_large(characters: Column, least: int = LARGE) -> Column:
+    """Whether a document, or all documents of a group, have so many characters that they are read apart."""
+    return F.coalesce(characters >= least, F.lit(False))
 
-    kind = pages.schema["doc"].dataType.simpleString()
-    return pages.select("doc", "page", "text").groupBy("doc").applyInPandas(chunks, f"doc {kind}, chunk long, pages array<long>, text string")
+
+def headlines(findings: DataFrame, key: str, item: str, rank: Column) -> DataFrame:
+    """key, item: the finding of each key that ranks first; of equals the one with the least item."""
+    return findings.groupBy(key).agg(F.min_by(F.col(item), F.struct(rank, F.col(item))).alias(item))
+
+
+def context_lines(rows: DataFrame, key: str, order: str, line: Column, name: str = "context") -> DataFrame:
+    """key, context: the lines of each key in order, between bars."""
+    lines = F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), line.alias("line"))))
+    return rows.groupBy(key).agg(F.array_join(F.transform(lines, lambda x: x["line"]), " | ").alias(name))
 
 
 # What a sentence is searched for.
@@ -132,7 +147,10 @@ CLAUSE_WEIGHTS = [
 ]
 REFERENCE = r"\b(?:[A-Z]{1,4}[./])?\d{2,6}[/.]\d{3,6}(?:[/.][A-Z0-9]{1,8})*\b|\b\d{2}/\d{4,5}/[A-Z]+\b"
 BOUNDARY = r"\s*(?:;|:|\s[-–—]\s|\.\s+(?=[A-Z])|\[|\]|\)\s+(?=[A-Z])|\band\s+(?=[A-Z]))\s*"
-SHORTEST, LONGEST = 24, 200
+# The lengths of a clause that count, and the weights of what is counted in it.
+SHORTEST, LONGEST, LENGTH_SCALE = 24, 200, 90
+CONDITION = r"(?i)\bconditions?\s+\d"
+CONDITION_WEIGHT, REFERENCE_WEIGHT, OPEN_END_WEIGHT = 1.2, 0.8, 3.0
 
 
 def clauses(text: Column) -> Column:
@@ -146,20 +164,27 @@ def clauses(text: Column) -> Column:
 
 
 def clause_score(clause: Column) -> Column:
-    """How much a clause reads like a description of what is built; above zero it does."""
+    """How much a clause reads like a description of what is built; above zero it does.
+
+    The counts of conditions and references are only taken where there is a figure.
+    """
     out = F.lit(0.0)
     for pattern, weight in CLAUSE_WEIGHTS:
         out = out + F.when(clause.rlike("(?i)" + pattern), weight).otherwise(0.0)
-    out = out - 1.2 * F.regexp_count(clause, F.lit(r"(?i)\bconditions?\s+\d")) - 0.8 * F.regexp_count(clause, F.lit("(?i)" + REFERENCE))
+    counted = CONDITION_WEIGHT * F.regexp_count(clause, F.lit(CONDITION)) + REFERENCE_WEIGHT * F.regexp_count(clause, F.lit("(?i)" + REFERENCE))
+    out = out - F.when(clause.rlike("[0-9]"), counted).otherwise(0.0)
     closed, opened = (F.length(clause) - F.length(F.replace(clause, F.lit(b), F.lit(""))) for b in ")(")
-    return out - F.when(closed > opened, 3.0).otherwise(0.0) + F.least(F.length(clause), F.lit(LONGEST)) / 90
+    return out - F.when(closed > opened, OPEN_END_WEIGHT).otherwise(0.0) + F.least(F.length(clause), F.lit(LONGEST)) / LENGTH_SCALE
 
 
 def best_clause(df: DataFrame, key: str, text: str) -> DataFrame:
-    """key, clause, score: the clause of each key's texts with the best score, the first of equals."""
-    c = df.select(key, F.posexplode(clauses(F.col(text))).alias("place", "clause")).withColumn("score", F.round(clause_score(F.col("clause")), 6))
-    best = c.groupBy(key).agg(F.max_by(F.struct("clause", "score"), F.struct("score", (-F.col("place")).alias("p"), F.col("clause"))).alias("b"))
-    return best.select(key, "b.clause", "b.score")
+    """key, clause, score: the clause of each key's texts with the best score, the first of equals.
+
+    Clauses are scored inside their row; one of each row goes to the aggregate.
+    """
+    scored = F.transform(clauses(F.col(text)), lambda c, k: F.struct(F.round(clause_score(c), 6).alias("score"), (-k).alias("place"), c.alias("clause")))
+    rows = df.select(key, F.array_max(scored).alias("b")).where("b is not null")
+    return rows.groupBy(key).agg(F.max("b").alias("b")).select(key, "b.clause", "b.score")
 
 
 def verified_quotes(quotes: DataFrame, pages: DataFrame) -> DataFrame:
@@ -198,26 +223,57 @@ def verified_quotes(quotes: DataFrame, pages: DataFrame) -> DataFrame:
     return quotes.join(grouped.select("id", F.col("best.at").alias("verified_page"), status.alias("status")), "id")
 
 
+#: Up to so many quote keys go to the documents; beyond it both sides are shuffled by key.
+MOST_KEYS = 1_000_000
+
+
+def _trigrams(c: Column, step: Column) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - step + 1, F.lit(1))), lambda k: F.substring(c, k, step))
+
+
+def _inner_run(words: str, n: int):
+    """n words from the i-th on, with the letters that stand next to them."""
+    return lambda i: F.concat(F.right(F.get(words, i - 2), F.lit(1)), F.lit(" "), F.array_join(F.slice(words, i, F.lit(n)), " "), F.lit(" "), F.left(F.get(words, i + n - 1), F.lit(1)))
+
+
 def containing_documents(quotes: DataFrame, docs: DataFrame) -> DataFrame:
-    """quote id, doc of every document whose normal form holds the quote's.
+    """id, doc of every document whose normal form holds the quote's, once.
 
-    Each side is brought to its normal form once. Words at a quote's ends may be parts of
-    words, so the keys of equi-joins are of inner ones: a run of eight for quotes of ten
-    words and more, one word for those of three and more. Only candidates are searched.
-    Quotes of one or two words have no inner word and are searched for in all documents.
+    Words at a quote's ends may be parts of words, so quotes find their candidates by what is
+    inside them: a run of eight words for ten words and more; for three to nine all inner words,
+    with the letters next to them; for shorter ones three characters (or all there are) of
+    their middle. Only candidates are searched. Up to MOST_KEYS keys go to the documents and
+    meet them before anything is shuffled.
     """
     words = lambda c: F.filter(F.split(c, " "), lambda w: w != "")
-    q = quotes.select("id", F.trim(T.norm_ws(F.col("quote"))).alias("q")).where("q <> ''").withColumn("qw", words(F.col("q")))
+    q = quotes.select("id", F.trim(T.norm_ws(F.col("quote"))).alias("q")).where("q <> ''").withColumn("qw", words(F.col("q"))).withColumn("n", F.size("qw"))
+    inner = F.array_join(F.slice("qw", F.lit(2), F.greatest(F.col("n") - 2, F.lit(0))), " ")
+    some = F.concat(F.right(F.get("qw", F.lit(0)), F.lit(1)), F.lit(" "), inner, F.lit(" "), F.left(F.element_at("qw", -1), F.lit(1)))
+    width = F.least(F.length("q"), F.lit(3))
+    middle = F.substring(F.col("q"), F.floor((F.length("q") - width) / 2).cast("int") + 1, width)
+    kind = F.when(F.col("n") >= 10, -8).when(F.col("n") >= 3, -(F.col("n") - 2)).otherwise(width)
+    text = F.when(F.col("n") >= 10, F.array_join(F.slice("qw", 2, 8), " ")).when(F.col("n") >= 3, some).otherwise(middle)
+    keys = q.select("id", kind.alias("kind"), F.xxhash64(kind, text).alias("key"))
+    kinds = {r["kind"]: r["n"] for r in keys.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+
     d = docs.select("doc", T.norm_ws(F.col("text")).alias("t")).withColumn("tw", words(F.col("t")))
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("tw") - 7, F.lit(1))), lambda k: F.xxhash64(F.array_join(F.slice("tw", k, 8), " ")))
-    long = q.where(F.size("qw") >= 10).select("id", F.xxhash64(F.array_join(F.slice("qw", 2, 8), " ")).alias("key"))
-    some = q.where(F.size("qw").between(3, 9)).select("id", F.xxhash64(F.element_at("qw", 2)).alias("key"))
-    by_run = d.where(F.size("tw") >= 8).select("doc", F.explode(F.array_distinct(runs)).alias("key")).join(long, "key")
-    by_word = d.select("doc", F.explode(F.array_distinct(F.transform("tw", lambda w: F.xxhash64(w)))).alias("key")).join(some, "key")
-    hits = by_run.select("doc", "id").unionByName(by_word.select("doc", "id")).distinct()
-    found = hits.join(d.select("doc", "t"), "doc").join(q.select("id", "q"), "id").where(F.contains("t", F.col("q"))).select("id", "doc")
-    short = q.where(F.size("qw") < 3).select("id", "q")
-    return found.unionByName(d.join(short, F.contains("t", F.col("q"))).select("id", "doc"))
+    hashed = lambda kind: lambda c: F.xxhash64(F.lit(kind), c)
+    found = None
+    for k in sorted(kinds):
+        if k == -8:
+            texts = F.when(F.size("tw") >= 8, F.transform(F.sequence(F.lit(1), F.size("tw") - 7), lambda i: F.array_join(F.slice("tw", i, 8), " ")))
+        elif k < 0:
+            texts = F.when(F.size("tw") >= 2 - k, F.transform(F.sequence(F.lit(2), F.size("tw") + k), _inner_run("tw", -k)))
+        else:
+            texts = F.when(F.length("t") >= k, _trigrams(F.col("t"), F.lit(k)))
+        held = d.select("doc", F.explode(F.array_distinct(F.transform(texts, hashed(k)))).alias("key"))
+        wanted = keys.where(F.col("kind") == k).select("key", "id")
+        hits = held.join(F.broadcast(wanted) if kinds[k] <= MOST_KEYS else wanted, "key").select("doc", "id")
+        found = hits if found is None else found.unionByName(hits)
+    if found is None:
+        return docs.select(F.lit(None).cast(quotes.schema["id"].dataType).alias("id"), "doc").limit(0)
+    sought = found.distinct().join(q.select("id", "q"), "id").join(d.select("doc", "t"), "doc")
+    return sought.where(F.contains("t", F.col("q"))).select("id", "doc").distinct()
 
 
 FENCE = re.compile(r"^\s*```(?:json)?\s*|\s*```\s*$")
@@ -274,7 +330,7 @@ def parsed_verdicts(df: DataFrame, raw: str, verdicts: list[str]) -> DataFrame:
     sure = F.lower(F.trim(F.coalesce(o["confidence"], F.lit("guessing"))))
     sure = F.when(sure.startswith("sure"), "sure").when(sure.startswith("prob"), "probable").when(sure.startswith("guess"), "guessing").otherwise(sure)
     listed = F.from_json(o["signals"], "array<string>")
-    signals = F.filter(F.transform(F.coalesce(listed, F.split(o["signals"], ",")), F.trim), lambda s: s != "")
+    signals = F.filter(F.transform(F.coalesce(listed, F.split(o["signals"], ",")), lambda s: F.trim(s)), lambda s: s != "")
     return df.select("*", verdict.alias("verdict"), deep.alias("worth_deep_read"), sure.alias("confidence"), F.coalesce(signals, F.array().cast("array<string>")).alias("signals"), F.trim(F.coalesce(o["why"], F.lit(""))).alias("why"))
 
 

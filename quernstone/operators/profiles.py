@@ -91,6 +91,20 @@ def no_documents_reason(outcomes: Column) -> Column:
     return out.otherwise(NO_DOCUMENTS[0][1])
 
 
+def acquisition_status(pre_application: Column, held: Column, blocked: Column, login: Column) -> Column:
+    """One line on whether a site's material could be had: `blocked` and `login` are arrays of what stood in the way, for its hosts and its references."""
+    listed = lambda a: F.array_sort(F.array_distinct(F.array_compact(F.coalesce(a, F.array().cast("array<string>")))))
+    notes = F.concat(listed(blocked), listed(login))
+    first = F.get(notes, F.lit(0))
+    return (
+        F.when(pre_application, "No public application exists yet (pre-planning stage)")
+        .when((held == 0) & (F.size(notes) > 0), F.concat(F.upper(F.left(first, F.lit(1))), F.lower(F.substr(first, F.lit(2)))))
+        .when(held == 0, "No documents fetched yet")
+        .when(F.size(notes) > 0, F.concat(F.lit("Documents held; some applications not retrievable ("), F.array_join(notes, "; "), F.lit(")")))
+        .otherwise("Documents held")
+    )
+
+
 def consumption_status(consumption: Column, grid: Column, generation: Column, it: Column, total: Column, authorities: Column, single_unit: Column) -> Column:
     """Whether a consumption figure agrees with a site's other power figures."""
     ratio = generation / F.nullif(consumption, F.lit(0.0))

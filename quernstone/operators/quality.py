@@ -143,6 +143,48 @@ def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).count().where("count > 1")
 
 
+def agreement(one: DataFrame, other: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """agree, shared: of the keys that both readers have, how many have equal values."""
+    o = other.select(*keys, F.col(value).alias("_other"))
+    return one.select(*keys, value).join(o, keys).agg(F.count_if(F.col(value).eqNullSafe(F.col("_other"))).alias("agree"), F.count("*").alias("shared"))
+
+
+def relabelled(df: DataFrame, column: str, where: Column, label: Column, evidence: DataFrame, key: str) -> DataFrame:
+    """df with `label` in `column` for rows that `where` holds for and that have no evidence (by key); null counts as not holding."""
+    known = evidence.select(key).distinct().withColumn("_known", F.lit(True))
+    change = F.coalesce(where, F.lit(False)) & F.col("_known").isNull()
+    return df.join(known, key, "left").withColumn(column, F.when(change, label).otherwise(F.col(column))).drop("_known")
+
+
+def ties(df: DataFrame, order: list[str]) -> DataFrame:
+    """What an order by these columns leaves open: their values that several rows share, with how many. Empty for a total order."""
+    return df.groupBy(*order).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def assert_total_order(df: DataFrame, order: list[str]) -> DataFrame:
+    """df, if an order by these columns puts no two rows at one place, so that ranks and limits are the same on every run."""
+    tied = ties(df, order).limit(1).collect()
+    if tied:
+        raise ValueError(f"rows tie by {', '.join(order)}: {tied[0].asDict()}")
+    return df
+
+
+def assert_columns(df: DataFrame, header: list[str]) -> DataFrame:
+    """df, if its columns are those of the header, in order; every row then has its width."""
+    if df.columns != list(header):
+        raise ValueError(f"columns {df.columns} for the header {list(header)}")
+    return df
+
+
+def mapping_gaps(everything: DataFrame, mapped: DataFrame, unmapped: DataFrame, key: str) -> DataFrame:
+    """key, problem: lost (in neither part), doubled (in both or twice in one) or foreign (not in the whole). Empty where mapped and unmapped make up the whole."""
+    parts = mapped.select(key, F.lit(1).alias("n")).unionAll(unmapped.select(key, F.lit(1).alias("n"))).groupBy(key).agg(F.sum("n").alias("n"))
+    whole = everything.select(F.col(key).alias("_key")).distinct()
+    j = whole.join(parts, F.col("_key").eqNullSafe(F.col(key)), "full")
+    problem = F.when(F.col("n").isNull(), "lost").when(F.col("_key").isNull() & F.col(key).isNotNull(), "foreign").when(F.col("n") > 1, "doubled")
+    return j.select(F.coalesce("_key", key).alias(key), problem.alias("problem")).where("problem is not null")
+
+
 def match_checks(matches: DataFrame, claims: DataFrame) -> DataFrame:
     """claim_id, check: what is wrong with matches (claim_id, claim_name, confidence, evidence, level) against claims (claim_id, claim_name)."""
     c = claims.select(F.col("claim_id").alias("_id"), F.col("claim_name").alias("_name"))

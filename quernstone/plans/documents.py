@@ -154,20 +154,6 @@ def tier_hits(spark: SparkSession, sf: str) -> DataFrame:
     return g.select("user_id", L.tier_hits(F.col("signals"), "(purchase|click)").cast("long").alias("hits"))
 
 
-@query("txt_doc_tier", "SELECT p_partkey, CASE WHEN p_type LIKE '%ECONOMY%' THEN 'A' WHEN p_type LIKE '%SMALL%' THEN 'skip' WHEN p_type LIKE '%STANDARD%' THEN 'C' ELSE 'B' END AS tier FROM part")
-def doc_tier(spark: SparkSession, sf: str) -> DataFrame:
-    """The tier rules over kinds of documents, which the types of parts stand for."""
-    words = F.when(F.col("p_type").contains("ECONOMY"), "Section 106 drawing").when(F.col("p_type").contains("SMALL"), "Section 1 decision").when(F.col("p_type").contains("STANDARD"), "letter of objection").otherwise("other letter")
-    return load(spark, sf, "part").select("p_partkey", L.kind_tier(words)["tier"].alias("tier"))
-
-
-@query("txt_family_for", "SELECT event_type, CASE event_type WHEN 'view' THEN 'power_grid' WHEN 'click' THEN 'cooling' WHEN 'error' THEN 'noise' WHEN 'signup' THEN 'party_applicant' ELSE 'unclassified' END AS family FROM (SELECT DISTINCT event_type FROM events)")
-def family_for(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.col("event_type")
-    label = F.when(k == "view", "Grid_Connection").when(k == "click", "cooling_water_use").when(k == "error", "noise_level").when(k == "signup", "applicant_name").otherwise("zzz")
-    return load(spark, sf, "events").select("event_type").distinct().select("event_type", L.family_for(label).alias("family"))
-
-
 @query("txt_character", "SELECT source, CASE WHEN bool_or(n_chars > 8000) THEN 'standalone_datacentre' WHEN bool_or(n_chars > 4000) THEN 'institutional_facility' ELSE 'unclear' END AS character FROM documents GROUP BY source, lang")
 def character(spark: SparkSession, sf: str) -> DataFrame:
     said = F.when(F.col("n_chars") > 8000, "erection of a data centre").when(F.col("n_chars") > 4000, "university hall").otherwise("shed")
@@ -176,25 +162,54 @@ def character(spark: SparkSession, sf: str) -> DataFrame:
     return d.groupBy("source", "lang").agg(F.max_by("c", rank[F.col("c")]).alias("character")).select("source", "character")
 
 
-@query("txt_sentence_candidates", "SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, trim(s) AS s FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS s FROM documents) WHERE regexp_matches(s, '(?i)(^|[^\\w.])[0-9]{1,4}(\\.[0-9]+)?')) GROUP BY doc_id")
+_FIGURE = r"(?<![\w.])[0-9]{1,4}(\.[0-9]+)?"
+
+
+@query(
+    "txt_sentence_candidates",
+    r"""
+    WITH s AS (SELECT doc_id, unnest(string_split(regexp_replace(regexp_replace(text, '([.!?])\s+([A-Z])', '\1' || chr(31) || '\2', 'g'), '\n{2,}', chr(31), 'g'), chr(31))) AS s FROM documents),
+    t AS (SELECT DISTINCT doc_id, regexp_replace(s, '^\s+|\s+$', '', 'g') AS s FROM s)
+    SELECT doc_id, count(*) AS n FROM t WHERE regexp_matches(s, '(^|[^\w.])[0-9]{1,4}') GROUP BY doc_id
+    """,
+)
 def sentence_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines that hold a figure, each once."""
-    p = _docs(spark, sf).select(F.col("doc_id").alias("doc"), F.lit(1).alias("page"), F.explode(F.split("text", "\n")).alias("text")).distinct()
-    hits = p.where(F.col("text").rlike(r"(?i)(?<![\w.])[0-9]{1,4}(\.[0-9]+)?")).select("doc", F.trim("text").alias("t")).distinct()
-    return hits.groupBy(F.col("doc").alias("doc_id")).agg(F.count("*").alias("n"))
+    """Sentences that hold a figure, each once."""
+    p = _docs(spark, sf).select(F.col("doc_id").alias("doc"), F.lit(1).alias("page"), "text")
+    return passages.sentence_candidates(p, {"figure": _FIGURE}).groupBy(F.col("doc").alias("doc_id")).agg(F.count("*").alias("n"))
 
 
-@query("txt_candidates")
+@query(
+    "txt_candidates",
+    """
+    WITH c AS (SELECT p_partkey, p_partkey % 4 AS k, p_size AS n FROM part)
+    SELECT p_partkey AS doc, 'capacity' AS pattern, n || ' MW' AS match FROM c WHERE k = 0 UNION ALL SELECT p_partkey, 'capacity', n || 'kVA' FROM c WHERE k = 3
+    UNION ALL SELECT p_partkey, 'generator_count', n || ' standby generators' FROM c WHERE k IN (1, 3) UNION ALL SELECT p_partkey, 'fuel_storage', n || ' hours of diesel' FROM c WHERE k = 2
+    """,
+)
 def candidates(spark: SparkSession, sf: str) -> DataFrame:
-    """The capacity, fleet and fuel patterns; the invented texts rarely hold any."""
-    p = _docs(spark, sf).select(F.col("doc_id").alias("doc"), F.lit(1).alias("page"), "text")
-    return passages.sentence_candidates(p)
+    """The capacity, fleet and fuel patterns in sentences made of parts."""
+    k, n = F.col("p_partkey") % 4, F.col("p_size").cast("string")
+    said = F.when(k == 0, F.concat(F.lit("It draws "), n, F.lit(" MW. Nothing more."))).when(k == 1, F.concat(F.lit("There are "), n, F.lit(" standby generators! No 5.x here.")))
+    said = said.when(k == 2, F.concat(F.lit("Up to "), n, F.lit(" hours of diesel"))).otherwise(F.concat(F.lit("Each of "), n, F.lit(" standby generators has a rating of "), n, F.lit("kVA.")))
+    p = load(spark, sf, "part").select(F.col("p_partkey").alias("doc"), F.lit(1).alias("page"), said.alias("text"))
+    return passages.sentence_candidates(p).select("doc", "pattern", "match")
 
 
-@query("txt_paginate")
+@query(
+    "txt_paginate",
+    r"""
+    WITH RECURSIVE b AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '[\s\v]+$', '')), lambda x: x <> '') AS bs FROM documents),
+    w AS (SELECT doc_id, i, length(bs[i]) AS n FROM (SELECT doc_id, bs, unnest(range(1, len(bs) + 1)) AS i FROM b)),
+    r AS (SELECT doc_id, 0::BIGINT AS i, 0::BIGINT AS section, 0::BIGINT AS size, 0::BIGINT AS n FROM documents
+        UNION ALL SELECT r.doc_id, w.i, CASE WHEN r.size > 0 AND r.size + w.n > 1000 THEN r.section + 1 ELSE r.section END, CASE WHEN r.size > 0 AND r.size + w.n > 1000 THEN w.n + 1 ELSE r.size + w.n + 1 END,
+            CASE WHEN r.size = 0 OR r.size + w.n > 1000 THEN w.n ELSE r.n + 1 + w.n END FROM r JOIN w ON w.doc_id = r.doc_id AND w.i = r.i + 1)
+    SELECT doc_id, section, max(n) AS n FROM r WHERE i > 0 GROUP BY doc_id, section
+    """,
+)
 def paginate(spark: SparkSession, sf: str) -> DataFrame:
     d = _docs(spark, sf).select("doc_id", F.posexplode(passages.paginate(F.split("text", "\n"), 1000)).alias("section", "body"))
-    return d.select("doc_id", "section", F.length("body").alias("n"))
+    return d.select("doc_id", F.col("section").cast("long").alias("section"), F.length("body").cast("long").alias("n"))
 
 
 @query("txt_select_pages", "WITH p AS (SELECT doc_id, n, s, CASE WHEN contains(lower(s), 'that') THEN 1 ELSE 0 END AS hit FROM (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS n, unnest(string_split(text, chr(10))) AS s FROM documents)) SELECT doc_id, n::BIGINT AS page FROM (SELECT *, count(*) OVER (PARTITION BY doc_id) AS c, max(hit) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS near FROM p) WHERE c <= 6 OR n < 2 OR near = 1")
@@ -204,15 +219,19 @@ def select_pages(spark: SparkSession, sf: str) -> DataFrame:
     return chosen.where("selected").select(F.col("doc").alias("doc_id"), F.col("page").cast("long").alias("page"))
 
 
-@query("txt_large_flag", "SELECT source, sum(n_chars) > 100000 AS large FROM documents GROUP BY source")
-def large_flag(spark: SparkSession, sf: str) -> DataFrame:
-    return _docs(spark, sf).groupBy("source").agg((F.sum("n_chars") > 100000).alias("large"))
-
-
-@query("txt_chunk_pages")
+@query(
+    "txt_chunk_pages",
+    """
+    WITH RECURSIVE b AS (SELECT doc_id, string_split(text, chr(10)) AS bs FROM documents),
+    w AS (SELECT doc_id, i, length('[PAGE ' || i || ']') + 2 + length(bs[i]) AS n FROM (SELECT doc_id, bs, unnest(range(1, len(bs) + 1)) AS i FROM b)),
+    r AS (SELECT doc_id, 0::BIGINT AS i, 0::BIGINT AS chunk, 0::BIGINT AS n FROM documents
+        UNION ALL SELECT r.doc_id, w.i, CASE WHEN r.n > 0 AND r.n + w.n > 2000 THEN r.chunk + 1 ELSE r.chunk END, CASE WHEN r.n > 0 AND r.n + w.n > 2000 THEN w.n ELSE r.n + w.n END FROM r JOIN w ON w.doc_id = r.doc_id AND w.i = r.i + 1)
+    SELECT doc_id AS doc, chunk, count(*) AS pages, max(n) AS n FROM r WHERE i > 0 GROUP BY doc_id, chunk
+    """,
+)
 def chunk_pages(spark: SparkSession, sf: str) -> DataFrame:
     p = _docs(spark, sf).select(F.col("doc_id").alias("doc"), F.posexplode(F.split("text", "\n")).alias("page", "text"))
-    return passages.chunk_pages(p, 2000).select("doc", "chunk", F.size("pages").alias("pages"), F.length("text").alias("n"))
+    return passages.chunk_pages(p, 2000).select("doc", "chunk", F.size("pages").cast("long").alias("pages"), F.length("text").cast("long").alias("n"))
 
 
 @query("txt_best_clause")
@@ -253,8 +272,7 @@ def delta_class(spark: SparkSession, sf: str) -> DataFrame:
 @query("txt_headline", "SELECT user_id, arg_min(event_id, CASE event_type WHEN 'purchase' THEN 0 WHEN 'signup' THEN 1 ELSE 9 END * 1000000000::BIGINT + event_id) AS event_id FROM events GROUP BY user_id")
 def headline(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("event_type")
-    rank = F.struct(F.when(k == "purchase", 0).when(k == "signup", 1).otherwise(9), F.col("event_id"))
-    return load(spark, sf, "events").groupBy("user_id").agg(F.min_by("event_id", rank).alias("event_id"))
+    return passages.headlines(load(spark, sf, "events"), "user_id", "event_id", F.when(k == "purchase", 0).when(k == "signup", 1).otherwise(9))
 
 
 @query("txt_parties", "SELECT s_suppkey, replace(lower(s_name), '#', '') AS key FROM supplier")
@@ -292,13 +310,6 @@ def parse_findings(spark: SparkSession, sf: str) -> DataFrame:
     return passages.parsed_replies(r).select("event_id", F.when(F.col("parsed").isNotNull(), F.size("parsed")).cast("long").alias("parsed"), F.size("salvaged").cast("long").alias("salvaged"))
 
 
-@query("txt_power_context", "SELECT event_type, CASE event_type WHEN 'view' THEN 'ev_charging' WHEN 'click' THEN 'standby_generation' ELSE 'unclassified' END AS context, event_type <> 'view' AS flagged, count(*) AS n FROM events GROUP BY ALL")
-def power_context(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.col("event_type")
-    c = L.power_context(F.when(k == "view", "an EV charger of 7 kW").when(k == "click", "a diesel genset").otherwise("nothing"))
-    return load(spark, sf, "events").select(k, c.alias("c")).groupBy(k, F.col("c.context").alias("context"), F.col("c.flagged").alias("flagged")).agg(F.count("*").alias("n"))
-
-
 @query("txt_origin_routes", "SELECT user_id, array_to_string(list_sort(list_distinct(list_transform(array_agg(event_type), lambda k: CASE k WHEN 'view' THEN 'Barbour ABI' WHEN 'click' THEN 'Keyword search' ELSE 'Reviewed and excluded' END))), ';') AS routes FROM events GROUP BY user_id")
 def origin_routes(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("event_type")
@@ -336,15 +347,15 @@ def label_eval(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("txt_agreement", "SELECT count(*) FILTER (WHERE a.k = b.k) AS agree, count(*) AS shared FROM (SELECT l_orderkey, max(l_quantity) AS k FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1) a JOIN (SELECT l_orderkey, max(l_quantity) AS k FROM lineitem GROUP BY 1) b USING (l_orderkey)")
 def agreement(spark: SparkSession, sf: str) -> DataFrame:
-    li = load(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.max(F.when(F.col("l_returnflag") == "N", F.col("l_quantity"))).alias("a"), F.max("l_quantity").alias("b"))
-    return li.where("a is not null").agg(F.count_if(F.col("a") == F.col("b")).alias("agree"), F.count("*").alias("shared"))
+    """Two readers of one order: one sees some lines, the other all."""
+    li = load(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag")
+    most = lambda df: df.groupBy("l_orderkey").agg(F.max("l_quantity").alias("k"))
+    return quality.agreement(most(li.where("l_returnflag = 'N'")), most(li), ["l_orderkey"], "k")
 
 
 @query("txt_enrich_context", "SELECT conv_id, string_agg(role || ': ' || left(text, 20), ' | ' ORDER BY turn) AS context FROM conversations GROUP BY conv_id")
 def enrich_context(spark: SparkSession, sf: str) -> DataFrame:
-    line = F.concat("role", F.lit(": "), F.left("text", F.lit(20)))
-    g = load(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", line.alias("line")))).alias("l"))
-    return g.select("conv_id", F.array_join(F.transform("l", lambda x: x["line"]), " | ").alias("context"))
+    return passages.context_lines(load(spark, sf, "conversations"), "conv_id", "turn", F.concat("role", F.lit(": "), F.left("text", F.lit(20))))
 
 
 @query("src_page_links", "SELECT page_id, unnest(regexp_extract_all(html, 'href\\s*=\\s*\"([^\"]*)\"', 1)) AS href FROM pages")

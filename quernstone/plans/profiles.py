@@ -31,11 +31,6 @@ def fuels(spark: SparkSession, sf: str) -> DataFrame:
     return profiles.fuel_profile(_said(spark, sf, {"view": "red diesel", "click": "diesel or HVO", "error": "a CHP plant"}))
 
 
-@query("txt_cooling", "SELECT user_id AS site, 'Closed loop (' || count(*) || ' mentions)' AS label FROM events WHERE event_type = 'view' GROUP BY user_id")
-def cooling(spark: SparkSession, sf: str) -> DataFrame:
-    return profiles.cooling_profile(_said(spark, sf, {"view": "a closed-loop system", "click": "nothing"}))
-
-
 @query("txt_eia_status", "SELECT user_id AS site, CASE WHEN bool_or(event_type = 'purchase') THEN 'eia_required' WHEN bool_or(event_type = 'view') THEN 'eia_not_required' WHEN bool_or(event_type = 'click') THEN 'scoping' END AS status FROM events GROUP BY user_id")
 def eia(spark: SparkSession, sf: str) -> DataFrame:
     e = load(spark, sf, "events")
@@ -147,18 +142,6 @@ def lineage(spark: SparkSession, sf: str) -> DataFrame:
     return profiles.lineage(tags, anchors).select(F.col("ref").alias("s_suppkey"), "line")
 
 
-@query("txt_kind_from_name", "SELECT p_partkey, 'Committee Report' AS kind FROM part")
-def kind_from_name(spark: SparkSession, sf: str) -> DataFrame:
-    name = F.concat(F.lit("COMMITTEE_REPORT-"), F.col("p_partkey").cast("string"), F.lit(".pdf"))
-    return load(spark, sf, "part").select("p_partkey", profiles.kind_from_name(name).alias("kind"))
-
-
-@query("gr_bucket", "SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'fossil' WHEN 1 THEN 'renewable' ELSE 'other' END AS bucket FROM supplier")
-def bucket(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.col("s_suppkey") % 3
-    return load(spark, sf, "supplier").select("s_suppkey", profiles.plant_bucket(F.when(k == 0, " Gas;Oil ").when(k == 1, "wind")).alias("bucket"))
-
-
 @query("gr_inferred_coords", "SELECT s_suppkey AS ref, CASE WHEN s_suppkey % 2 = 0 THEN 1.0 WHEN s_suppkey % 3 = 0 THEN 2.0 END::DOUBLE AS lat, CASE WHEN s_suppkey % 2 = 0 THEN 'application' WHEN s_suppkey % 3 = 0 THEN 'inferred_prior' END AS coord_source FROM supplier")
 def coordinates(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("s_suppkey")
@@ -212,12 +195,6 @@ def family_ref(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("o_orderkey", F.when(F.col("parent") == wanted, F.col("parent")).alias("parent"))
 
 
-@query("jn_authority_name", "SELECT n_nationkey, true AS same FROM nation")
-def authority_name(spark: SparkSession, sf: str) -> DataFrame:
-    n = load(spark, sf, "nation")
-    return n.select("n_nationkey", T.same_authority(F.concat("n_name", F.lit(" Borough Council (Phone: 1)")), F.col("n_name")).alias("same"))
-
-
 @query(
     "jn_exact_or_within",
     """

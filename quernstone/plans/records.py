@@ -8,9 +8,10 @@ from pyspark.sql.window import Window
 
 from quernstone.functions import numbers as N
 from quernstone.functions import text as T
-from quernstone.operators import graph, linkage, merge, passages, quality, versioned
+from quernstone.operators import graph, linkage, merge, passages, profiles, quality, versioned
 from quernstone.plans.registry import query
 from quernstone.session import load
+from quernstone.streaming import contracts
 
 
 
@@ -158,7 +159,16 @@ def longest_first_all(spark: SparkSession, sf: str) -> DataFrame:
     return versioned.placed(todo, [F.desc("n_chars"), F.col("doc_id")]).select("doc_id", "place")
 
 
-@query("win_tranche")
+@query(
+    "win_tranche",
+    """
+    WITH RECURSIVE g AS (SELECT c_nationkey AS grp, count(*) AS n, row_number() OVER (ORDER BY c_nationkey) AS i FROM customer GROUP BY 1), t AS (SELECT greatest(1, ceil(sum(n) / 400.0)::INT) AS parts, sum(n) AS total FROM g),
+    r AS (SELECT 0::BIGINT AS i, NULL::INT AS grp, 1 AS tranche, 0::DOUBLE AS held
+        UNION ALL SELECT g.i, g.grp, r.tranche + CASE WHEN o THEN 1 ELSE 0 END, CASE WHEN o THEN g.n ELSE r.held + g.n END
+        FROM (SELECT r.*, r.held > 0 AND r.tranche < t.parts AND (r.held + g.n > 400 OR abs(r.held + g.n - t.total / t.parts) > abs(r.held - t.total / t.parts)) AS o FROM r JOIN g ON g.i = r.i + 1, t) r JOIN g ON g.i = r.i + 1)
+    SELECT grp AS "group", tranche FROM r WHERE i > 0
+    """,
+)
 def tranche(spark: SparkSession, sf: str) -> DataFrame:
     per = load(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("group")).agg(F.count("*").alias("n"))
     return spark.createDataFrame(passages.tranches(per, 400), "group int, tranche int")
@@ -827,9 +837,11 @@ def family_link(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("st_resume_antijoin", "SELECT DISTINCT conv_id FROM conversations WHERE conv_id NOT IN (SELECT conv_id FROM conversations WHERE role = 'assistant' AND length(text) > 1500)")
 def resume(spark: SparkSession, sf: str) -> DataFrame:
+    """What one reader and version has not settled: long answers are read, short ones come back, and another version's do not count."""
     c = load(spark, sf, "conversations")
-    done = c.where("role = 'assistant' and length(text) > 1500").select("conv_id")
-    return c.select("conv_id").distinct().join(done, "conv_id", "left_anti")
+    long = (F.col("role") == "assistant") & (F.length("text") > 1500)
+    ledger = c.select("conv_id", F.when(F.col("role") == "user", "other").otherwise("reader").alias("model"), F.lit("v2").alias("prompt_version"), F.when(long, "read").otherwise("not_extracted").alias("read_state"))
+    return contracts.pending(c.select("conv_id").distinct(), ledger, "conv_id", "reader", "v2")
 
 
 @query("dq_dedupe_archive", "SELECT doc_id, survivor, 'duplicate' AS reason FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY md5(text), lang) AS survivor FROM documents) WHERE doc_id <> survivor")
@@ -845,9 +857,8 @@ def checks(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("dq_retag", "SELECT doc_id, CASE WHEN n_chars < 200 AND doc_id NOT IN (SELECT doc_id FROM labels) THEN 'not_extracted' ELSE 'read' END AS state FROM documents")
 def retag(spark: SparkSession, sf: str) -> DataFrame:
-    known = load(spark, sf, "labels").select("doc_id").distinct().withColumn("k", F.lit(1))
-    d = load(spark, sf, "documents").select("doc_id", "n_chars").join(known, "doc_id", "left")
-    return d.select("doc_id", F.when((F.col("n_chars") < 200) & F.col("k").isNull(), "not_extracted").otherwise("read").alias("state"))
+    d = load(spark, sf, "documents").select("doc_id", "n_chars", F.lit("read").alias("state"))
+    return quality.relabelled(d, "state", F.col("n_chars") < 200, F.lit("not_extracted"), load(spark, sf, "labels"), "doc_id").select("doc_id", "state")
 
 
 @query("dq_totals", "SELECT abs(sum(v) - (SELECT sum(o_totalprice) FROM orders)) < 0.01 AS adds_up, count(*) AS groups FROM (SELECT o_orderstatus, sum(o_totalprice) AS v FROM orders GROUP BY 1)")
@@ -890,16 +901,15 @@ def gate(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("txt_divergence", "SELECT l_partkey, count(DISTINCT l_suppkey) AS audiences, round(max(l_extendedprice / l_quantity) / min(l_extendedprice / l_quantity), 4) AS ratio FROM lineitem GROUP BY l_partkey HAVING count(DISTINCT l_suppkey) > 1")
 def divergence(spark: SparkSession, sf: str) -> DataFrame:
-    price = F.col("l_extendedprice") / F.col("l_quantity")
-    g = load(spark, sf, "lineitem").groupBy("l_partkey").agg(F.countDistinct("l_suppkey").alias("audiences"), F.round(F.max(price) / F.min(price), 4).alias("ratio"))
-    return g.where("audiences > 1")
+    told = load(spark, sf, "lineitem").select(F.col("l_partkey").alias("site"), F.lit("price").alias("quantity_type"), F.col("l_suppkey").alias("audience"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("value"))
+    return profiles.divergences(told).select(F.col("site").alias("l_partkey"), "audiences", F.round("ratio", 4).alias("ratio"))
 
 
 @query("txt_cohort_membership", "SELECT user_id, arg_min(event_type, CASE event_type WHEN 'purchase' THEN 0 WHEN 'signup' THEN 1 WHEN 'click' THEN 2 ELSE 3 END * 10 + length(event_type)) AS cohort FROM events GROUP BY user_id")
 def cohort(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("event_type")
     place = F.when(k == "purchase", 0).when(k == "signup", 1).when(k == "click", 2).otherwise(3) * 10 + F.length(k)
-    return load(spark, sf, "events").groupBy("user_id").agg(F.min_by(k, place).alias("cohort"))
+    return versioned.first_home(load(spark, sf, "events").select("user_id", k.alias("cohort"), place.alias("place")), "user_id", "cohort", "place")
 
 
 @query("agg_smoke_revenue", "SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS sum_qty, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, count(*) AS n FROM lineitem WHERE l_shipdate <= DATE '1998-09-02' GROUP BY ALL")

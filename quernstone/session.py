@@ -20,7 +20,7 @@ def get_session(app: str = "quernstone", cpus: str | None = None, **conf: str) -
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
-        "spark.sql.shuffle.partitions": "8",
+        **({} if "SPARK_MASTER" in os.environ else {"spark.sql.shuffle.partitions": "8"}),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     } | conf

@@ -17,7 +17,7 @@ from quernstone.operators import merge
 
 
 class VersionedTable:
-    """A Parquet table under `path`: `v<batch>` folders, the newest complete one counts. A batch number is written once."""
+    """A Parquet table under `path`: `v<batch>` folders, the newest complete one counts. A batch is written once: a number that is not above the newest is a replay."""
 
     def __init__(self, spark: SparkSession, path: str, schema: str):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
@@ -35,17 +35,34 @@ class VersionedTable:
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/v{v[-1]}") if v else self.spark.createDataFrame([], self.schema)
 
     def commit(self, batch: int, df: DataFrame) -> bool:
-        if batch in self._versions():
+        done = self._versions()
+        if done and batch <= done[-1]:
             return False
         df.write.mode("overwrite").parquet(f"{self.path}/v{batch}")
+        self._purge()
         return True
 
+    def _purge(self, keep: int = 2) -> None:
+        """Versions before the last `keep` go; readers of the one before the last are left in peace."""
+        for version in self._versions()[:-keep]:
+            jpath = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v{version}")
+            jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
-def merging(table: VersionedTable, keys: list[str], policies: dict, state: str | None = None, final: str = "read"):
+
+def one_a_key(batch: DataFrame, keys: list[str], newest: str | None = None) -> DataFrame:
+    """Of a batch's rows with one key the newest, of equals the one with the greatest other columns: the same row on every replay."""
+    others = [c for c in batch.columns if c not in keys]
+    if not others:
+        return batch.distinct()
+    first = [newest, *[c for c in others if c != newest]] if newest else others
+    return batch.groupBy(*keys).agg(F.max(F.struct(*first)).alias("_row")).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*batch.columns)
+
+
+def merging(table: VersionedTable, keys: list[str], policies: dict, state: str | None = None, final: str = "read", newest: str | None = None):
     """A foreachBatch function: upserts each batch, or with `state` never changes rows whose state is final."""
 
     def apply(batch: DataFrame, number: int) -> None:
-        rows = batch.dropDuplicates(keys)
+        rows = one_a_key(batch, keys, newest)
         base = table.read()
         table.commit(number, merge.state_guarded(base, rows, keys, state, final) if state else merge.upsert(base, rows, keys, policies))
 

@@ -97,12 +97,54 @@ def test_pages(spark):
     assert sorted(r.page for r in cut.where("selected and doc = 'd'").collect()) == [0, 1, 5] or sorted(r.page for r in cut.where("selected and doc = 'd'").collect()) == [0, 5]
 
 
-def test_chunks_lose_nothing():
-    pages = [(1, "a" * 30 + "\n" + "b" * 30), (2, ""), (3, "c" * 200)]
-    chunks = passages.marked_chunks(pages, 60)
-    text = "".join(t for _, t in chunks)
+def test_chunks_lose_nothing(spark):
+    pages = spark.createDataFrame([("x", 0, "a" * 30 + "\n" + "b" * 30), ("x", 1, ""), ("x", 2, "c" * 200), ("y", 5, None)], "doc string, page int, text string")
+    chunks = passages.chunk_pages(pages, 60).orderBy("doc", "chunk").collect()
+    of_x = [r for r in chunks if r.doc == "x"]
+    text = "".join(r.text for r in of_x)
     assert text.count("a") == 30 and text.count("b") == 30 and text.count("c") == 200
-    assert [n for n, _ in chunks] == [[1], [1, 2], [3]] or all(len(t) <= 60 or "c" in t for _, t in chunks)
+    assert [r.pages for r in of_x] == [[1], [1, 2], [3]] and all(len(r.text) <= 60 or "c" in r.text for r in of_x)
+    assert [(r.doc, r.chunk, r.pages, r.text) for r in chunks if r.doc == "y"] == [("y", 0, [6], "[PAGE 6]\n\n")]
+
+
+def test_containing_documents_by_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    words = ["the", "of", "cat", "data", "a", "é", "centre", "x1"]
+    docs = [(k, " ".join(rng.choice(words) for _ in range(rng.randint(0, 40)))) for k in range(60)] + [(99, None)]
+    quotes = []
+    for k in range(120):
+        t = rng.choice(docs)[1] or "zz"
+        at = rng.randint(0, max(0, len(t) - 1))
+        quotes.append((k, t[at : at + rng.choice([1, 2, 3, 5, 9, 20, 45, 90])]))
+    quotes += [(900, "  "), (901, None), (902, "The  OF"), (903, "nowhere")]
+    q, d = spark.createDataFrame(quotes, "id int, quote string"), spark.createDataFrame(docs, "doc int, text string")
+    norm = lambda t: " ".join((t or "").lower().split())
+    want = sorted((i, j) for i, s in quotes if norm(s) for j, t in docs if norm(s) in norm(t))
+    assert sorted(map(tuple, passages.containing_documents(q, d).collect())) == want
+    assert passages.containing_documents(q.limit(0), d).count() == 0
+
+
+def test_order_and_mapping_checks(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id int, v string")
+    assert quality.ties(df, ["v"]).count() == 1 and quality.ties(df, ["v", "id"]).count() == 0
+    assert quality.assert_total_order(df, ["id"]) is df
+    with pytest.raises(ValueError):
+        quality.assert_total_order(df, ["v"])
+    with pytest.raises(ValueError):
+        quality.assert_columns(df, ["id"])
+    gaps = quality.mapping_gaps(df, df.where("id = 1"), df.where("id = 1").union(spark.createDataFrame([(9, "x")], df.schema)), "id")
+    assert rows(gaps) == [(1, "doubled"), (2, "lost"), (3, "lost"), (9, "foreign")]
+
+
+def test_components_plan_does_not_grow_with_the_rounds(spark):
+    import time
+
+    edges = spark.createDataFrame([(f"n{k:04d}", f"n{(k * 7919) % 400:04d}", "spatial") for k in range(400)] + [(f"n{k:04d}", f"n{k + 1:04d}", "family") for k in range(0, 399, 2)], "src string, dst string, via string")
+    began = time.time()
+    assert graph.components(edges.select(F.col("src").alias("node")), edges).select("root").distinct().count() >= 1
+    assert time.time() - began < 60
 
 
 def test_quote_ladder(spark):
@@ -144,8 +186,9 @@ def test_replies(spark):
         (None, None, False),
     ],
 )
-def test_entities(said, name, body):
-    assert entities.display_name(said) == (name, body)
+def test_entities(spark, said, name, body):
+    df = spark.createDataFrame([(said,)], "said string")
+    assert tuple(df.select(entities.display_name(F.col("said")).alias("e")).first().e) == (name, body)
 
 
 def test_keys_of_one_company(spark):
@@ -153,11 +196,37 @@ def test_keys_of_one_company(spark):
     assert len({r.key for r in entities.parties(df, "t").collect()}) == 2
 
 
-def test_permits():
-    r = permits.read_permit(["The total thermal input of the 33 standby generators is 5 generators of 3.9 MWth and 28 generators at 3.6 MWth (approximately 120MWth in total). It runs N+1 for redundancy."])
-    assert (r.total_mwth, r.engines, r.engines_total, r.generators, r.redundancy, r.agreement) == (120.0, [(5, 3.9), (28, 3.6)], 120.3, 33, "N+1", "agrees")
-    assert permits.read_permit(["12 x 8.01 MWth."]).agreement == "summed"
-    assert permits.read_permit([]).total_mwth is None
+def test_permits(spark):
+    texts = {
+        1: ["The total thermal input of the 33 standby generators is 5 generators of 3.9 MWth and 28 generators at 3.6 MWth (approximately 120MWth in total). It runs N+1 for redundancy."],
+        2: ["12 x 8.01 MWth."],
+        3: [],
+        4: None,
+        5: ["A plant of 30 MWth in total across two sites.", "Another aggregated 1,200 MW(th)."],
+        6: ["intro", "The site has 4 x 5 MWth. It also has 2 x 3 MWth.", "total 50 MWth", None],
+        7: ["The combined input of 12 MWth and 30 MWth. Redundancy is by 2 N."],
+    }
+    got = {r.doc: r for r in permits.permit_readings(spark.createDataFrame(list(texts.items()), "doc int, pages array<string>")).collect()}
+    r = got[1]
+    assert (r.total_mwth, r.n_engines, r.engines_total, r.generators, r.redundancy, r.agreement) == (120.0, 2, 120.3, 33, "N+1", "agrees")
+    assert got[2].agreement == "summed" and got[2].total_mwth == 96.12
+    assert got[3].total_mwth is None and got[4].agreement == "none"
+    assert (got[5].total_mwth, got[5].total_page, got[5].agreement, got[5].covers) == (1200.0, 2, "unchecked", None)
+    assert (got[6].total_mwth, got[6].total_page, got[6].engines_total, got[6].agreement) == (50.0, 3, 26.0, "disagrees")
+    assert (got[7].total_mwth, got[7].redundancy) == (30.0, "2N")
+
+
+def test_permit_names(spark):
+    head = "Permit number EPR/VP3235DJ 2 {} Permit number EPR/VP3235DJ"
+    rows_ = [
+        (1, ["cover", head.format("OFFICIAL Cody Park Data Centre")], "A57, Cody Park, Old Road"),
+        (2, [head.format("Schedule 1")], "A57 Road, Cody, CODY, Data Hall - EPR/AB12/A001, Old Lane, F"),
+        (3, ["x", "x", "x", "x", head.format("Too late")], "Hall / A001,  , Hall / A001"),
+        (4, [], ""),
+    ]
+    df = spark.createDataFrame(rows_, "id int, pages array<string>, address string")
+    got = {r.id: r.n for r in df.select("id", permits.claim_name(F.col("pages"), F.col("address"), F.lit("N")).alias("n")).collect()}
+    assert got == {1: "Cody Park Data Centre (N)", 2: "A57 Road, Cody, Data Hall (N)", 3: "Hall (N)", 4: " (N)"}
 
 
 def test_rules_in_order_and_once(spark):
