@@ -12,15 +12,19 @@ documents have their own reference and the odd ones of a rare label excuse no ot
 Where its language has no reference, a document is not judged by divergence, and too
 short a document for a histogram is not judged by it.
 
+Texts are read once: what a document counts is kept as a short row, from which come both
+the references and the verdicts.
+
 Defined cases: null text counts as none (0 words, base_failed); a null lang is a
-language of its own; repeated rows are all returned; an empty table gives an empty
-result; other columns are ignored.
+language of its own; repeated rows are all returned and all count; texts of any length
+are read whole; an empty table gives an empty result; other columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import text_or_empty
+from quernstone.llm.common import batches, text_or_empty, written
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -135,31 +139,61 @@ def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum((left + right) / 2, 0))
 
 
-def base_failed(counts: tuple[int, ...], limits: RuleLimits) -> bool:
+def base_failed(counts: Sequence[int], limits: RuleLimits) -> bool:
     return counts[0] < limits.min_words or 100 * counts[4] > limits.max_repeat_percent * counts[0]
 
 
-SUMS_DDL = "lang string, n long, n_words long, classes array<double>, words array<double>"
-SUMS = pa.schema([("lang", pa.string()), ("n", pa.int64()), ("n_words", pa.int64()), ("classes", pa.list_(pa.float64())), ("words", pa.list_(pa.float64()))])
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+#: What a document counts: `classes` has a 32-bit number a class, `common` pairs of a common word's place and its number, the rest last.
+COUNTED_DDL = "doc_id long, lang string, " + ", ".join(f"{c} long" for c in COUNTS) + ", classes binary, common binary"
+COUNTED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), *((c, pa.int64()) for c in COUNTS), ("classes", pa.binary()), ("common", pa.binary())])
+
+
+def _counted(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in stream:
+
+        def rows(batch: pa.RecordBatch = batch) -> Iterator[tuple]:
+            for doc_id, lang, text in zip(batch["doc_id"].to_pylist(), batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
+                words = WORD.findall(text)
+                classes, common = histograms(text, words)
+                found = np.flatnonzero(common)
+                yield doc_id, lang, *base_counts(text, words), classes.astype("<u4").tobytes(), np.stack([found, common[found]]).astype("<u4").tobytes()
+
+        yield from batches(rows(), COUNTED)
+
+
+def counted(docs: DataFrame) -> DataFrame:
+    """A short row for every document, as a table in the shared folder."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text_or_empty("text").alias("text"))
+    return written(rows.mapInArrow(_counted, COUNTED_DDL), "counts")
+
+
+def _histograms_of(classes: bytes, common: bytes) -> tuple[np.ndarray, np.ndarray]:
+    words = np.zeros(N_WORDS, np.int64)
+    at, n = np.frombuffer(common, "<u4").reshape(2, -1)
+    words[at] = n
+    return np.frombuffer(classes, "<u4").astype(np.int64), words
+
+
+SUMS_DDL = "lang string, n long, classes array<double>, words array<double>"
+SUMS = pa.schema([("lang", pa.string()), ("n", pa.int64()), ("classes", pa.list_(pa.float64())), ("words", pa.list_(pa.float64()))])
 
 
 def _sums(stream: Iterator[pa.RecordBatch], limits: RuleLimits) -> Iterator[pa.RecordBatch]:
     total: dict[str | None, list] = {}
     for batch in stream:
-        for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
-            words = WORD.findall(text)
-            if len(words) < limits.min_common_words or 100 * repeated_words(words) > limits.max_repeat_percent * len(words):
+        for lang, n_words, n_repeat, of_classes, of_words in zip(*(batch[c].to_pylist() for c in ("lang", "n_words", "n_repeat_words", "classes", "common")), strict=True):
+            if n_words < limits.min_common_words or 100 * n_repeat > limits.max_repeat_percent * n_words:
                 continue
-            classes, common = histograms(text, words)
+            classes, common = _histograms_of(of_classes, of_words)
             if classes.sum() < limits.min_class_chars:
                 continue
-            s = total.setdefault(lang, [0, 0, np.zeros(N_CLASSES), np.zeros(N_WORDS)])
+            s = total.setdefault(lang, [0, np.zeros(N_CLASSES), np.zeros(N_WORDS)])
             s[0] += 1
-            s[1] += len(words)
-            s[2] += classes / classes.sum()
-            s[3] += common / common.sum()
+            s[1] += classes / classes.sum()
+            s[2] += common / common.sum()
     if total:
-        rows = [(lang, s[0], s[1], s[2].tolist(), s[3].tolist()) for lang, s in total.items()]
+        rows = [(lang, n, classes.tolist(), words.tolist()) for lang, (n, classes, words) in total.items()]
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), SUMS, strict=True)], schema=SUMS)
 
 
@@ -172,16 +206,16 @@ class References:
     rows: dict[str | None, list[int]]
 
 
-def language_references(docs: DataFrame, limits: RuleLimits = RuleLimits(), least_docs: int = 5, least_share: float = 0.001) -> References:
-    """Mean histograms of each language over all documents that count: a few numbers a task, summed in Spark.
+def language_references(counts: DataFrame, limits: RuleLimits = RuleLimits(), least_docs: int = 5, least_share: float = 0.001) -> References:
+    """Mean histograms of each language over all documents that count, of the rows of `counted`: a few numbers a task, summed in Spark.
 
     Rounded, so that the order in which tasks end has no effect. A language has a reference
     from `least_docs` documents on. One with `least_share` of them is widespread: its
     reference serves the documents of all languages, as labels can be wrong. A row a language
     reaches the driver.
     """
-    rows = docs.select(F.col("lang").cast("string").alias("lang"), text_or_empty("text").alias("text"))
-    sums = rows.mapInArrow(lambda it: _sums(it, limits), SUMS_DDL)
+    narrow = counts.select("lang", "n_words", "n_repeat_words", "classes", "common")
+    sums = narrow.mapInArrow(lambda it: _sums(it, limits), SUMS_DDL)
     add = [F.sum(F.col("classes")[k]) for k in range(N_CLASSES)] + [F.sum(F.col("words")[k]) for k in range(N_WORDS)]
     total = sums.groupBy("lang").agg(F.sum("n"), F.array(*add)).where(F.col("sum(n)") >= least_docs).orderBy(F.desc("sum(n)"), "lang").collect()
     if not total:
@@ -194,33 +228,32 @@ def language_references(docs: DataFrame, limits: RuleLimits = RuleLimits(), leas
     return References(classes / classes.sum(axis=1, keepdims=True), words / words.sum(axis=1, keepdims=True), held)
 
 
-VERDICT_DDL = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, class_distance double, word_distance double"
-VERDICT = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), ("base_failed", pa.bool_()), ("kept", pa.bool_()), ("class_distance", pa.float64()), ("word_distance", pa.float64())])
+VERDICT_DDL = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, kept boolean, class_distance double, word_distance double"
+VERDICT = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in COUNTS), ("base_failed", pa.bool_()), ("kept", pa.bool_()), ("class_distance", pa.float64()), ("word_distance", pa.float64())])
 
 
 def _verdicts(stream: Iterator[pa.RecordBatch], references: References, limits: RuleLimits) -> Iterator[pa.RecordBatch]:
     held = {lang: (references.classes[at], references.words[at]) for lang, at in references.rows.items()}
     for batch in stream:
-        rows = []
-        for doc_id, lang, text in zip(batch["doc_id"].to_pylist(), batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
-            words = WORD.findall(text)
-            counts = base_counts(text, words)
-            failed = base_failed(counts, limits)
-            classes, common = histograms(text, words)
-            by_class = by_word = None
-            own = held.get(lang)
-            if own and classes.sum() >= limits.min_class_chars:
-                by_class = round(float(distance(classes, own[0]).min()), 6)
-            if own and len(words) >= limits.min_common_words:
-                by_word = round(float(distance(common, own[1]).min()), 6)
-            kept = not failed and (by_class or 0) <= limits.max_class_distance and (by_word or 0) <= limits.max_word_distance(len(words))
-            rows.append((doc_id, *counts, failed, kept, by_class, by_word))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), VERDICT, strict=True)], schema=VERDICT)
+
+        def rows(batch: pa.RecordBatch = batch) -> Iterator[tuple]:
+            for doc_id, lang, *counts, of_classes, of_words in zip(*(batch[c].to_pylist() for c in COUNTED.names), strict=True):
+                failed = base_failed(counts, limits)
+                classes, common = _histograms_of(of_classes, of_words)
+                by_class = by_word = None
+                own = held.get(lang)
+                if own and classes.sum() >= limits.min_class_chars:
+                    by_class = round(float(distance(classes, own[0]).min()), 6)
+                if own and counts[0] >= limits.min_common_words:
+                    by_word = round(float(distance(common, own[1]).min()), 6)
+                kept = not failed and (by_class or 0) <= limits.max_class_distance and (by_word or 0) <= limits.max_word_distance(counts[0])
+                yield doc_id, *counts, failed, kept, by_class, by_word
+
+        yield from batches(rows(), VERDICT)
 
 
 def rule_verdicts(docs: DataFrame, limits: RuleLimits = RuleLimits()) -> DataFrame:
-    """The base counts and the verdict of every document; two passes over the texts, no shuffle of them."""
-    references = language_references(docs, limits)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text_or_empty("text").alias("text"))
-    return rows.mapInArrow(lambda it: _verdicts(it, references, limits), VERDICT_DDL)
+    """The base counts and the verdict of every document; one pass over the texts, no shuffle."""
+    counts = counted(docs)
+    references = language_references(counts, limits)
+    return counts.mapInArrow(lambda it: _verdicts(it, references, limits), VERDICT_DDL)
