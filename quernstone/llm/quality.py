@@ -5,17 +5,22 @@ risk: prior * E_P[l(z)] + max(0, E_U[l(-z)] - prior * E_P[l(-z)]) with the logis
 l, trusted positives P, unlabelled web text U and the class prior. Where the second term
 falls below zero, the step goes against it, so the model cannot win by memorising U.
 
-The prior is estimated from all labels of the training folds: the share of ones. The
-trusted positives and the unlabelled texts of the fit are bounded samples (`positives`,
-`unlabelled`, chosen by a hash of the id, of the unlabelled ones of id and text, so that
-copies of a text are drawn apart; about as many whatever the table's size, only rows with
-one id and text come or stay together); all documents are scored, over their whole texts.
-Labels, lang, source and doc_id are never part of the features.
+The prior is the share of ones among all labels of the training folds. It uses the
+negatives as well and is right for the table only where labels were drawn at random from
+it; it is no estimate from positives and unlabelled texts alone.
+
+The trusted positives and the unlabelled texts of the fit are samples of at most
+`positives` and `unlabelled` rows at any size of the table: drawn by a hash of the id, of
+the unlabelled ones of id and text, so that copies of a text are drawn apart, and cut by
+rank, so that rows repeated with id and text cannot exceed the bound. All documents are
+scored, over their whole texts. Labels, lang, source and doc_id are never part of the
+features.
 
 Defined cases: null text counts as empty; an empty text has only the length feature and
-gets the score that follows; without any label of 1 every score is the prior, without
-any label 0.5; repeated rows are all scored; several labels of a document count each; an
-empty table gives an empty result; other columns are ignored.
+gets the score that follows; without any label of 1 every score is near 0, without any
+label 0.5; repeated rows are all scored; several labels of a document count each; texts
+of any length are read whole; an empty table gives an empty result; other columns are
+ignored, or kept by `drop_rejected`, whatever their names.
 """
 
 from __future__ import annotations
@@ -87,6 +92,24 @@ class QualityModel:
         return 1 / (1 + np.exp(-z))
 
 
+def softplus(z: np.ndarray) -> np.ndarray:
+    """The logistic loss l(-z)."""
+    return np.logaddexp(0, z)
+
+
+def risk(zp: np.ndarray, zu: np.ndarray, prior: float) -> tuple[float, float]:
+    """The two terms of the risk of scores on positives and on unlabelled texts: prior * E_P[l(z)] and E_U[l(-z)] - prior * E_P[l(-z)]."""
+    return prior * softplus(-zp).mean(), softplus(zu).mean() - prior * softplus(zp).mean()
+
+
+def step_direction(zp: np.ndarray, zu: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """What a step goes down, by score: the whole risk, or the second term's negative where that term is below zero."""
+    of_p, of_u = (1 / (1 + np.exp(-np.clip(z, -30, 30))) / len(z) for z in (zp, zu))  # gradients of the means of l(-z)
+    if risk(zp, zu, prior)[1] >= 0:
+        return prior * (of_p - 1 / len(zp)) - prior * of_p, of_u
+    return prior * of_p, -of_u
+
+
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 3000, rate: float = 0.1, decay: float = 1e-5, batch: int = 512, seed: int = 7) -> QualityModel:
     """Adam on the non-negative risk, over batches of both samples, with a falling rate."""
     both = np.concatenate([positive, unlabelled])
@@ -97,14 +120,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for step in range(1, steps + 1):
         p, u = p_all[rng.integers(0, len(p_all), batch)], u_all[rng.integers(0, len(u_all), 2 * batch)]
-        zp, zu = p @ w + bias, u @ w + bias
-        sp, su = 1 / (1 + np.exp(-np.clip(zp, -30, 30))), 1 / (1 + np.exp(-np.clip(zu, -30, 30)))
-        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        of_p, of_u = sp / len(p), su / len(u)  # gradients of l(-z)
-        if negative >= 0:
-            gp, gu = prior * ((sp - 1) / len(p) - of_p), of_u
-        else:
-            gp, gu = prior * of_p, -of_u
+        gp, gu = step_direction(p @ w + bias, u @ w + bias, prior)
         grad = np.append(p.T @ gp.astype(np.float32) + u.T @ gu.astype(np.float32) + decay * w, gp.sum() + gu.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         now = rate * (1 - step / (steps + 1))
@@ -115,28 +131,38 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
     return QualityModel(weights, float(bias - weights @ mean))
 
 
-FEATURES_DDL = "positive boolean, x binary"
-FEATURES = pa.schema([("positive", pa.bool_()), ("x", pa.binary())])
+FEATURES_DDL = "positive boolean, place long, x binary"
+FEATURES = pa.schema([("positive", pa.bool_()), ("place", pa.int64()), ("x", pa.binary())])
 
 
 def _featured(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in stream:
         x = [r.tobytes() for block in features(batch["text"]) for r in block]
-        yield pa.RecordBatch.from_arrays([batch["positive"], pa.array(x, pa.binary())], schema=FEATURES)
+        yield pa.RecordBatch.from_arrays([batch["positive"], batch["place"], pa.array(x, pa.binary())], schema=FEATURES)
+
+
+def place(*key: str) -> Column:
+    return F.pmod(F.xxhash64(*key, F.lit("fit")), F.lit(1 << 30))
 
 
-def about(key: list[Column], bound: int, total: int) -> Column:
+def about(key: list[str], bound: int, total: int) -> Column:
     """About `bound` of `total` rows, by a hash of the key."""
-    return F.pmod(F.xxhash64(*key, F.lit("fit")), F.lit(1 << 30)) < int(min(1.0, bound / max(total, 1)) * (1 << 30))
+    return place(*key) < int(min(1.0, bound / max(total, 1)) * (1 << 30))
 
 
 def drawn(rows: DataFrame, bound: int) -> DataFrame:
     """About `bound` rows; copies of a text are drawn one by one."""
-    return rows.where(about([F.col("doc_id"), F.col("text")], bound, rows.count()))
+    return rows.where(about(["doc_id", "text"], bound, rows.count()))
+
+
+def sampled(rows: DataFrame, positive: bool, bound: int) -> DataFrame:
+    """The features of `bound` rows (doc_id, text) at most: the first by hash, kept in every task before they meet."""
+    marked = rows.select(F.lit(positive).alias("positive"), place("doc_id", "text").alias("place"), "text")
+    return marked.mapInArrow(_featured, FEATURES_DDL).orderBy("place", "x").limit(bound)
 
 
 def train(docs: DataFrame, labels: DataFrame, positives: int = 3000, unlabelled: int = 6000) -> QualityModel:
-    """Fit on the training folds. The fit is one task over about `positives` + `unlabelled` rows of features; the weights reach the driver."""
+    """Fit on the training folds. The fit is one task over at most `positives` + `unlabelled` rows of features; the weights reach the driver."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     known = known.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT))
     n, ones = known.agg(F.count("*"), F.sum("quality")).first()
@@ -144,13 +170,13 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = 3000, unlabelled:
         return QualityModel(np.zeros(WIDTH), -30.0 if n else 0.0)
     prior = min(max(ones / n, 0.01), 0.99)
 
-    trusted = known.where((F.col("quality") == 1) & about([F.col("doc_id")], positives, ones)).select("doc_id").distinct()
+    trusted = known.where((F.col("quality") == 1) & about(["doc_id"], positives, ones)).select("doc_id").distinct().orderBy(place("doc_id"), "doc_id").limit(positives)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text")).where(F.coalesce(fold(F.col("doc_id")) != HELD_OUT, F.lit(True)))
-    # the trusted ids are bounded by `positives`
-    p = rows.join(F.broadcast(trusted), "doc_id", "left_semi").select(F.lit(True).alias("positive"), "text")
-    u = drawn(rows, unlabelled).select(F.lit(False).alias("positive"), "text")
+    # the trusted ids are `positives` at most
+    p = sampled(rows.join(F.broadcast(trusted), "doc_id", "left_semi"), True, positives)
+    u = sampled(drawn(rows, unlabelled), False, unlabelled)
     # one task of bounded input, whose linear algebra Spark holds to the cores of a task
-    fitted = p.unionByName(u).mapInArrow(_featured, FEATURES_DDL).repartition(1).mapInArrow(lambda it: _fitted(it, prior), MODEL_DDL).first()
+    fitted = p.unionByName(u).repartition(1).mapInArrow(lambda it: _fitted(it, prior), MODEL_DDL).first()
     if fitted is None:
         return QualityModel(np.zeros(WIDTH), float(np.log(prior / (1 - prior))))
     return QualityModel(np.frombuffer(fitted["weights"], np.float64), fitted["bias"])
@@ -197,9 +223,13 @@ def drop_rejected(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """`docs` without the documents that the classifier predicts to be of low quality."""
     model = train(docs, labels)
 
+    at = docs.columns.index("text")
+
     def keep(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            texts = batch["text"].fill_null("")
-            yield batch.filter(pa.array(_scores(texts, model) >= CUT))
+            texts = batch[at].cast(pa.string()).fill_null("")
+            yield pa.RecordBatch.from_arrays(batch.columns, names=names).filter(pa.array(_scores(texts, model) >= CUT))
 
-    return docs.mapInArrow(keep, docs.schema)
+    names = docs.columns
+    # under names without dots, which Spark would take for fields of a column
+    return docs.toDF(*[f"c{k}" for k in range(len(names))]).mapInArrow(keep, docs.schema)
