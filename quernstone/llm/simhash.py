@@ -264,7 +264,7 @@ def near_groups(docs: DataFrame, width: int = 4, allowed: int = ALLOWED, row_col
     total, n = distinct.agg(F.sum("n"), F.count("*")).first()
     keyed = distinct.select("fp").mapInArrow(_keyed, KEYED_DDL)
     edges = keyed.repartition(parts_for(n, 5_000, 12), "key").sortWithinPartitions("key").mapInArrow(lambda it: _links(it, allowed), EDGE_DDL)
-    linked = components(edges.distinct())
+    linked = components(checkpointed(edges.distinct()))
     rooted = distinct.join(linked, distinct.fp == linked.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = checkpointed(rooted)
     keeps = rooted.groupBy("root").agg(F.min("least").alias("keep"))
