@@ -6,17 +6,19 @@ to u, t. So every prefix has a unique last token: among the vocabulary's matches
 end there (from an automaton), the one compatible with the last token of the prefix
 before it. The table is filled from the left and the ids are read from it backwards.
 
-Pieces never have a white-space mark behind another character, so a text falls into
-runs of marks followed by other characters, each encoded on its own and cached.
+Two characters that stand together in no token are never merged. No token has a
+white-space mark behind another character, and none has, for instance, a comma behind a
+letter; so a text falls into runs that begin at marks and at such punctuation, each
+encoded on its own and kept in a cache of bounded bytes.
 
 Defined cases: null text counts as empty and has no ids; characters outside the
-vocabulary become their UTF-8 bytes' ids; repeated rows are all returned; an empty
-table gives an empty result; other columns are ignored.
+vocabulary become their UTF-8 bytes' ids; repeated rows are all returned; texts and runs
+of any length are encoded whole (the table of a run is as long as the run); an empty
+table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import re
 from collections.abc import Iterator
@@ -26,20 +28,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.llm.common import text_or_empty
+from quernstone.llm.tokens import ByteCache
 
 MARK = "▁"
 _LOADED: dict[str, PieceTokens] = {}
 
 
 class PieceTokens:
-    RUN = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+    MOST_PAIRS = 400_000
 
-    def __init__(self, path: str, cache: int = 1_000_000):
+    def __init__(self, path: str, cache_bytes: int = 128 << 20):
         import ahocorasick
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.limit = cache
         self.ids: dict[str, int] = {}
         self.score: dict[str, float] = {}
         self.bytes: dict[int, int] = {}
@@ -70,13 +72,30 @@ class PieceTokens:
         inside = "".join(map(re.escape, sorted(self.known)))
         self.known_parts = re.compile(f"[{inside}]+|[^{inside}]+")
         self.pairs: dict[int, bool] = {}
-        self.cache: dict[str, tuple[str, int, str]] = {}
+        self.cache = ByteCache(self._joined, cache_bytes)
+        self.odd: dict[str, str] = {}  # decoded text of the runs that do not come back as they were
+        self.run = self._run_pattern()
+
+    def _run_pattern(self) -> re.Pattern:
+        """Runs begin at white-space marks, and at characters that stand in no token behind anything but marks and such characters."""
+        before: dict[str, set[str]] = {c: set() for c in self.known if not (c.isalpha() or c.isdecimal() or c == MARK)}
+        for piece in self.ids:
+            for x, y in zip(piece, piece[1:], strict=False):
+                if y in before:
+                    before[y].add(x)
+        cutting = set(before)
+        while True:
+            wrong = {c for c in cutting if before[c] - cutting - {MARK}}
+            if not wrong:
+                break
+            cutting -= wrong
+        c = "".join(map(re.escape, sorted(cutting)))
+        return re.compile(f"{MARK}*[^{MARK}{c}]+|{MARK}*[{c}]+[^{MARK}{c}]*|{MARK}+" if c else f"{MARK}*[^{MARK}]+|{MARK}+")
 
     @classmethod
     def load(cls, path: str) -> PieceTokens:
-        """One instance a worker process, where cyclic garbage collection would only walk the cache."""
+        """One instance a worker process."""
         if path not in _LOADED:
-            gc.disable()
             _LOADED[path] = cls(path)
         return _LOADED[path]
 
@@ -99,7 +118,7 @@ class PieceTokens:
         """Whether the two tokens stay as they are when their text is encoded."""
         a, b = self.names[left], self.names[right]
         known = self._merged(list(a + b)) == [a, b]
-        if len(self.pairs) >= 2 * self.limit:
+        if len(self.pairs) >= self.MOST_PAIRS:
             self.pairs.clear()
         self.pairs[left << 32 | right] = known
         return known
@@ -161,23 +180,27 @@ class PieceTokens:
                 return isinstance(self.surface[i], str) and self.surface[i] != self.unknown
         return False
 
-    def _entry(self, run: str) -> tuple[str, int, str]:
+    def _joined(self, run: str) -> str:
+        """The decimal ids of a run, joined by commas. They are decoded as well; runs that come back as they were need no entry of their own for that."""
         ids = self.run_ids(run)
-        entry = (",".join(map(str, ids)), len(ids), self.decode([self.ids[MARK], *ids]))
-        if len(self.cache) >= self.limit:
-            self.cache.clear()
-        self.cache[run] = entry
-        return entry
-
-    def runs(self, text: str) -> list[tuple[str, int, str]]:
-        """For each run of the text: its decimal ids joined by commas, their number, and its decoded text with the leading blanks."""
+        decoded = self.decode([self.ids[MARK], *ids])
+        if decoded != run.replace(MARK, " "):
+            self.odd[run] = decoded
+        return ",".join(map(str, ids))
+
+    def joined(self, text: str) -> tuple[str, str]:
+        """The decimal ids of a text joined by commas, and the text that they decode to."""
         if not text:
-            return []
-        get = self.cache.get
-        return [get(run) or self._entry(run) for run in self.RUN.findall(MARK + text.replace(" ", MARK))]
+            return "", ""
+        runs = self.run.findall(MARK + text.replace(" ", MARK))
+        ids = ",".join(map(self.cache.__getitem__, runs))
+        if self.odd and not self.odd.keys().isdisjoint(runs):
+            return ids, "".join([self.odd.get(r) or r.replace(MARK, " ") for r in runs])[1:]
+        return ids, text.replace(MARK, " ")
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for joined, _, _ in self.runs(text) for i in joined.split(",")]
+        ids, _ = self.joined(text)
+        return [int(i) for i in ids.split(",")] if ids else []
 
 
 def _utf8(held: bytearray) -> str:
@@ -203,19 +226,15 @@ IDS_DDL = "doc_id long, ids array<int>, decoded string"
 IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
 
 
-def _decoded(runs: list[tuple[str, int, str]]) -> str:
-    return "".join([d for _, _, d in runs])[1:]
-
-
 def _digests(stream: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     tokens = PieceTokens.load(path)
     for batch in stream:
         n, ids, decoded = [], [], []
         for text in batch["text"].to_pylist():
-            runs = tokens.runs(text)
-            n.append(sum([k for _, k, _ in runs]))
-            ids.append(hashlib.sha256(",".join([j for j, _, _ in runs]).encode()).hexdigest())
-            decoded.append(hashlib.sha256(_decoded(runs).encode()).hexdigest())
+            joined, back = tokens.joined(text)
+            n.append(joined.count(",") + 1 if joined else 0)
+            ids.append(hashlib.sha256(joined.encode()).hexdigest())
+            decoded.append(hashlib.sha256(back.encode()).hexdigest())
         yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], schema=DIGEST)
 
 

@@ -6,7 +6,7 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -27,34 +27,32 @@ BYTE_SYMBOLS = _byte_symbols()
 _LOADED: dict[str, WordTokens] = {}
 
 
-class ByteCache:
-    """Values by text within about `limit` bytes: two generations, the older dropped when the younger is full.
+class ByteCache(dict):
+    """Values by text, made where there is none yet, within about `limit` bytes.
 
-    What is used lives on. Texts of over `longest` characters are not kept.
+    Two generations: when the younger, this dictionary itself, is full, the older is dropped,
+    and what is used meanwhile moves up, so it lives on. Texts of over `longest` characters
+    are not kept.
     """
 
     ENTRY = 230  # two objects' heads and their place in the dictionary
 
-    def __init__(self, limit: int, longest: int = 64):
-        self.half, self.longest, self.used = limit // 2, longest, 0
-        self.young: dict = {}
+    def __init__(self, make: Callable, limit: int, longest: int = 64):
+        super().__init__()
+        self.make, self.half, self.longest, self.used = make, limit // 2, longest, 0
         self.old: dict = {}
 
-    def keep(self, key: str, value, size: int | None = None) -> None:
-        if len(key) > self.longest:
-            return
-        self.used += self.ENTRY + 2 * len(key) + (len(value) if size is None else size)
-        if self.used > self.half:
-            self.old, self.young, self.used = self.young, {}, 0
-        self.young[key] = value
-
-    def recall(self, key: str, into: dict | None = None):
-        """The value in the older generation, which it leaves for the younger; None if there is none."""
+    def __missing__(self, key: str):
         value = self.old.pop(key, None)
-        if value is not None:
-            self.keep(key, value)
-            if into is not None:
-                into[key] = value
+        if value is None:
+            value = self.make(key)
+            if len(key) > self.longest:
+                return value
+        self.used += self.ENTRY + 2 * len(key) + len(value)
+        if self.used > self.half:
+            self.old, self.used = dict(self), 0
+            self.clear()
+        self[key] = value
         return value
 
 
@@ -80,8 +78,8 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces = ByteCache(cache_bytes // 8)
-        self.words = ByteCache(cache_bytes - cache_bytes // 8)
+        self.pieces = ByteCache(self._piece, cache_bytes // 8)
+        self.words = ByteCache(self._word, cache_bytes - cache_bytes // 8)
         vocabulary = self.tokenizer.get_vocab_size()
         self.model = self.tokenizer.model
         self.pattern = self._pattern()
@@ -98,12 +96,9 @@ class WordTokens:
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text."""
+        of_word, of_piece = self.words.__getitem__, self.pieces.__getitem__
         for text in texts:
-            if self._plain(text):
-                found = self._of_words(self.pattern.findall(text.lower()))
-            else:
-                pieces = self.SPACE.findall(text)
-                found = self._looked_up(self.pieces, pieces, self._of_pieces)
+            found = map(of_word, self.pattern.findall(text.lower())) if self._plain(text) else map(of_piece, self.SPACE.findall(text))
             yield np.frombuffer(b"".join(found), self.dtype)
 
     def _plain(self, text: str) -> bool:
@@ -125,26 +120,10 @@ class WordTokens:
             return None
         return re.compile(pattern)
 
-    @staticmethod
-    def _looked_up(cache: ByteCache, keys: list[str], made) -> list[bytes]:
-        found = list(map(cache.young.get, keys))
-        if None in found:
-            known: dict[str, bytes] = {}
-            fresh = [k for k in {k for k, ids in zip(keys, found, strict=True) if ids is None} if not cache.recall(k, known)]
-            for key, ids in zip(fresh, made(fresh), strict=True):
-                known[key] = ids
-                cache.keep(key, ids)
-            found = [known[k] if ids is None else ids for k, ids in zip(keys, found, strict=True)]
-        return found
-
-    def _of_words(self, words: list[str]) -> list[bytes]:
-        return self._looked_up(self.words, words, self._modelled)
-
-    def _modelled(self, words: list[str]) -> list[bytes]:
-        tokenize, code = self.model.tokenize, self.code
-        return [array(code, [t.id for t in tokenize(w.encode().decode("latin-1").translate(BYTE_SYMBOLS))]).tobytes() for w in words]
-
-    def _of_pieces(self, pieces: list[str]) -> list[bytes]:
-        other = [p for p in pieces if not self._plain(p)]
-        known = dict(zip(other, (np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)), strict=True))
-        return [known[p] if p in known else b"".join(self._of_words(self.pattern.findall(p.lower()))) for p in pieces]
+    def _word(self, word: str) -> bytes:
+        return array(self.code, [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(BYTE_SYMBOLS))]).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        if self._plain(piece):
+            return b"".join(map(self.words.__getitem__, self.pattern.findall(piece.lower())))
+        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.dtype).tobytes()
