@@ -28,10 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import batches, drop, parts_for, scratch, text_or_empty, written
+from quernstone.llm.common import batches, drop, parts_for, row_bytes, scratch, text_or_empty, written
 from quernstone.llm.tokens import WordTokens
 
 ROUNDS = 6
@@ -106,14 +107,16 @@ SLOTTED_DDL = "slot long, ids binary, parts binary"
 
 
 def _slotted(stream: Iterator[pa.RecordBatch], begin: np.ndarray, n: int, key: int) -> Iterator[pa.RecordBatch]:
-    """`begin` has the number of the first sequence of each task."""
+    """`begin` has the number of the first sequence of each task. Ids go packed, as Spark's own compression finds little in them."""
+    pack = zstandard.ZstdCompressor(level=1).compress
     for batch in stream:
         slot = permuted(begin[batch["task"].to_numpy()] + batch["place"].to_numpy(), n, key)
-        yield pa.RecordBatch.from_arrays([pa.array(slot), batch["ids"], batch["parts"]], names=["slot", "ids", "parts"])
+        ids = pa.array([pack(i) for i in row_bytes(batch["ids"])], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(slot), ids, batch["parts"]], names=["slot", "ids", "parts"])
 
 
 def slotted(table: DataFrame, key: int) -> tuple[DataFrame, int]:
-    """slot, ids, parts of the written sequences, and how many there are.
+    """slot, ids (packed), parts of the written sequences, and how many there are.
 
     Sequences are counted by task; the driver holds one number a task, and nothing is shuffled.
     """
@@ -143,6 +146,7 @@ def _write(stream: Iterator[pa.RecordBatch], folder: str, per_shard: int, stride
     width = np.dtype(dtype).itemsize
     file = index = name = temporary = None
     shard, first, n = -1, 0, 0
+    unpack = zstandard.ZstdDecompressor().decompress
 
     def done() -> pa.RecordBatch:
         index.close()
@@ -163,6 +167,7 @@ def _write(stream: Iterator[pa.RecordBatch], folder: str, per_shard: int, stride
                     file = system.open_output_stream(f"{temporary}.bin")
                     index = pa.ipc.new_file(system.open_output_stream(f"{temporary}.arrow"), INDEX, options=pa.ipc.IpcWriteOptions(compression="zstd"))
                     held: list[tuple] = []
+                ids = unpack(ids)
                 file.write((len(ids) // width).to_bytes(HEADER, "little") + ids + bytes(stride * width - len(ids)))
                 held.append((slot, parts))
                 n += 1
