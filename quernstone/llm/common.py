@@ -70,6 +70,11 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> Column:
+    """The column of that name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

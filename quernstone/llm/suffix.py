@@ -21,7 +21,7 @@ around equal anchors need comparing, and most anchors are found in one document
 
 Defined cases: null text counts as empty; documents of equal doc_id do not affect each
 other; a null doc_id is larger than any other; documents shorter than the window stay
-whole; an empty table gives an empty result. Only bytes decide: where a cut falls into a
+whole; texts of any length are compared whole; an empty table gives an empty result. Only bytes decide: where a cut falls into a
 character, the text that is given back leaves the rest of that character out.
 """
 
@@ -35,8 +35,10 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StringType, StructField, StructType
 
-from quernstone.llm.common import buffers, parts_for, spans, text_or_empty, written
+from quernstone.llm.common import buffers, parts_for, quoted, spans, text_or_empty, written
 
 WINDOW, ANCHOR = 50, 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -70,12 +72,13 @@ def _unpack(body: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
-def _chunks(stream: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.RecordBatch]:
+def _chunks(stream: Iterator[pa.RecordBatch], chunk_bytes: int, names: list[str]) -> Iterator[pa.RecordBatch]:
     """Documents in scan order; each batch is cut by bytes, and its other columns ride along as an Arrow stream."""
     from pyspark import TaskContext
 
     number = TaskContext.get().partitionId() << 32
     for batch in stream:
+        batch = pa.RecordBatch.from_arrays(batch.columns, names=names)
         off, data = buffers(batch["text"])
         ids = batch["doc_id"].fill_null(NO_ID).to_numpy()
         rest = batch.drop_columns(["text"])
@@ -529,12 +532,12 @@ def remove_repeats(docs: DataFrame, with_text: bool = True, chunk_bytes: int = C
 
     Other columns of `docs` stay; any of them that has one of these names is replaced.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     made = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
-    others = [c for c in docs.columns if c not in (*made, "text", "doc_id")]
+    others = [quoted(c) for c in docs.columns if c not in (*made, "text", "doc_id")]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"), *others)
-    chunks = written(rows.mapInArrow(lambda it: _chunks(it, chunk_bytes), CHUNK_DDL), "chunks", compression="none")
+    # under names without dots, which Spark would take for fields of a column
+    plain, columns = rows.toDF(*[f"c{k}" for k in range(len(rows.columns))]), rows.columns
+    chunks = written(plain.mapInArrow(lambda it: _chunks(it, chunk_bytes, columns), CHUNK_DDL), "chunks", compression="none")
     total = chunks.agg(F.sum(F.length("lengths") / 8 * 64 + F.length("body")), F.count("*")).first()
     buckets = parts_for((total[0] or 0) * 2, BUCKET_BYTES, 4)  # about as many bytes of shared strings as of text
     parts = parts_for(buckets, TASK_BUCKETS, 4)
@@ -547,17 +550,17 @@ def remove_repeats(docs: DataFrame, with_text: bool = True, chunk_bytes: int = C
     where = F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("chunk"), F.lit(buckets))).otherwise(F.col("bucket"))
     solved = sent.repartition(parts, where).sortWithinPartitions("bucket").mapInArrow(_solved, ROUTED_DDL)
     results = chunks.join(solved.groupBy("chunk").agg(F.collect_list("body").alias("told")), "chunk", "left")
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.select("doc_id", *others).schema] + ["n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string", *["text string"] * with_text]
-    ddl = ", ".join(f"`{f.split(' ', 1)[0]}` {f.split(' ', 1)[1]}" for f in fields)
-    from pyspark.sql.types import StructType
-
-    schema = to_arrow_schema(StructType.fromDDL(ddl))
-    return results.mapInArrow(lambda it: _cleaned(it, schema, with_text), ddl)
+    names = [f.name for f in rows.schema if f.name != "text"]
+    fields = [rows.schema[n] for n in names] + StructType.fromDDL("n_bytes long, n_removed long, n_spans long, kept_sha256 string").fields + [StructField("text", StringType())] * with_text
+    schema = to_arrow_schema(StructType(fields))
+    return results.mapInArrow(lambda it: _cleaned(it, schema, with_text), StructType(fields))
 
 
 def drop_repeats(docs: DataFrame) -> DataFrame:
-    """`docs` with its columns, repeated passages gone from text, and n_chars of what is left."""
-    cleaned = remove_repeats(docs)
-    if "n_chars" in docs.columns:
-        cleaned = cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cleaned.select(*docs.columns)
+    """`docs` with repeated passages gone from text, and n_chars, where there is one, of what is left; all other columns as they are."""
+    names = docs.columns
+    inside = [c if c in ("doc_id", "text") else f"c{k}" for k, c in enumerate(names)]
+    cleaned = remove_repeats(docs.toDF(*inside))
+    if "n_chars" in names:
+        cleaned = cleaned.withColumn(inside[names.index("n_chars")], F.length("text").cast(docs.schema["n_chars"].dataType))
+    return cleaned.select(*[F.col(i).alias(c) for i, c in zip(inside, names, strict=True)])
