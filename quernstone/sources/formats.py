@@ -179,6 +179,35 @@ def extracted(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(rows, "path string, format string, pagination string, pages array<string>, status string")
 
 
+#: Statuses that mean that nothing has read a file, and units that a document can be divided into.
+STALE = ("skipped", "unsupported")
+UNITS = ("pages", "sections", "sheets", "slides")
+
+
+def unread(files: DataFrame, cache: DataFrame) -> DataFrame:
+    """files (path) without a result in `cache` (path, status): those that no loader could read count as unread, as one may by now."""
+    from pyspark.sql import functions as F
+
+    return files.join(cache.where(~F.coalesce(F.col("status"), F.lit("")).isin(*STALE)).select("path"), "path", "left_anti")
+
+
+def cacheable(results: DataFrame) -> DataFrame:
+    """The results (format, pages, status) worth keeping: an unsupported file is none, and an empty load only of a format whose pages can be pictures alone."""
+    from pyspark.sql import functions as F
+
+    status = F.coalesce(F.col("status"), F.lit(""))
+    return results.where(~status.isin(*STALE) & ~F.startswith(status, F.lit("failed")) & ((status != "empty") | (F.col("format") == "pdf")))
+
+
+def pagination_of(recorded: DataFrame) -> DataFrame:
+    """path, pagination of recorded (path, pagination, content): what was recorded, null if that is no unit; else pages for what begins like a PDF."""
+    from pyspark.sql import functions as F
+
+    mark = F.left(F.coalesce(F.col("content"), F.lit(b"").cast("binary")), F.lit(4)) == F.lit(b"%PDF").cast("binary")
+    unit = F.when(F.col("pagination").isin(*UNITS), F.col("pagination")).when(F.coalesce("pagination", F.lit("")) == "", F.when(mark, "pages"))
+    return recorded.select("path", unit.alias("pagination"))
+
+
 def needs_ocr(docs: DataFrame, least: int = 25) -> DataFrame:
     """Documents (path, format, pages, ocr_pages) that are scans not yet read: a page of under `least` characters and no OCR recorded."""
     from pyspark.sql import functions as F

@@ -176,7 +176,7 @@ def workbooks(spark: SparkSession, path: str) -> DataFrame:
 def register_rows(rows: DataFrame, header_row: int, columns: dict[str, str]) -> DataFrame:
     """Rows below a fixed header by column title; `excel_row` tells where each one stands."""
     header = rows.where(F.col("row") == header_row).select("path", "sheet", F.col("cells").alias("header"))
-    joined = rows.where(F.col("row") > header_row).join(F.broadcast(header), ["path", "sheet"])  # a row a sheet
+    joined = rows.where(F.col("row") > header_row).join(header, ["path", "sheet"])  # a row a sheet; small ones are broadcast by Spark
     picked = [F.try_element_at("cells", F.nullif(F.array_position("header", title), F.lit(0)).cast("int")).alias(name) for title, name in columns.items()]
     return joined.select(F.col("row").alias("excel_row"), *picked)
 
@@ -185,7 +185,7 @@ def projects(rows: DataFrame, header_row: int = 1) -> DataFrame:
     """Project rows of a workbook: ids without decimals, zeros and lone stops as absent, the address from four cells, the whole row kept as JSON."""
     header = rows.where(F.col("row") == header_row).select("path", "sheet", F.col("cells").alias("header"))
     cell = lambda title: F.try_element_at("cells", F.nullif(F.array_position("header", title), F.lit(0)).cast("int"))
-    joined = rows.where(F.col("row") > header_row).join(F.broadcast(header), ["path", "sheet"])
+    joined = rows.where(F.col("row") > header_row).join(header, ["path", "sheet"])
     address = F.nullif(F.concat_ws(", ", *[N.clean_text(cell(f"Site{k}")) for k in range(1, 5)]), F.lit(""))
     raw = F.to_json(F.map_from_arrays("header", F.slice(F.concat("cells", F.array_repeat(F.lit(None).cast("string"), F.size("header"))), 1, F.size("header"))))
     out = joined.select(
@@ -244,6 +244,71 @@ def document_table(pages: DataFrame, html: str = "html") -> DataFrame:
     return t.where(F.size(F.array_distinct("header")) == F.size("header")).select("page_id", "row", F.map_from_arrays("header", padded).alias("cells"), F.get(hrefs, F.lit(0)).alias("href"))
 
 
+def data_links(pages: DataFrame, html: str = "html") -> DataFrame:
+    """page_id, href, name of lists that keep addresses in attributes: anchors, and elements with data-url or data-href; each address once, as first named."""
+    tag = F.regexp_extract_all(F.col(html), F.lit(r"""(?is)<[a-z]+\b[^>]*?(?:\bhref|\bdata-(?:url|href))\s*=\s*["'][^"']+["'][^>]*>[^<]*"""), F.lit(0))
+    t = pages.select("page_id", F.posexplode(tag).alias("ord", "tag"))
+    at = lambda names: F.nullif(F.regexp_extract("tag", rf"""(?is)\b(?:{names})\s*=\s*["']([^"']+)""", 1), F.lit(""))
+    name = F.coalesce(at("data-(?:name|title)|title"), F.nullif(F.trim(F.regexp_extract("tag", r"(?s)>([^<]*)$", 1)), F.lit("")))
+    links = t.select("page_id", "ord", F.coalesce(at("data-url|data-href"), at("href")).alias("href"), name.alias("name"))
+    return links.groupBy("page_id", "href").agg(F.min_by("name", "ord").alias("name"))
+
+
+#: What stands around the fields of a project page, and how capacities are written.
+PROJECT_NEXT = r"(?:Type of application|Name of applicant|Development|The |This |View |Project stage)"
+PROJECT_BLOCK = r"(?s)Name of applicant:\s*(.{2,1400}?)\s*(?:View the developer|Project stage|Project information|$)"
+CAPACITY = r"(?i)(\d[\d,]*(?:\.\d+)?)\s*(MW|GW|MWh|GWh|kV)\b"
+
+
+def project_pages(pages: DataFrame, html: str = "html", hint: str | None = None) -> DataFrame:
+    """page_id, name, app_type, applicant, description, description_raw, capacities, stage, latest_update, developer_site of project pages; null is what a page does not show.
+
+    The applicant's name runs into the description; `hint`, a column with the name as known from
+    elsewhere, or else the page's own field tells where it ends. Without either the block is kept raw.
+    """
+    body = F.regexp_replace(F.col(html), r"(?is)<script.*?</script>|<style.*?</style>", " ")
+    text = F.trim(F.regexp_replace(F.regexp_replace(body, "<[^>]+>", " "), r"\s+", " "))
+    site = r"(?s)href=\"(https?://(?!national-infrastructure-consenting)[^\"]{6,160})\"[^>]*>\s*View the developer"
+    p = pages.select("page_id", *([F.col(hint).alias("_hint")] if hint else [F.lit(None).cast("string").alias("_hint")]), body.alias("_body"), text.alias("_t"))
+    got = lambda pattern, c="_t": F.nullif(F.trim(F.regexp_extract(c, pattern, 1)), F.lit(""))
+    field = lambda label: got(rf"{label}:\s*(.{{2,90}}?)\s*{PROJECT_NEXT}")
+    p = p.select("*", field("Type of application").alias("app_type"), field("Name of applicant").alias("applicant"), got(PROJECT_BLOCK).alias("_block"))
+    begins = lambda who: (F.trim(who) != "") & F.startswith(F.lower("_block"), F.lower(F.trim(who)))
+    known = F.when(begins(F.col("_hint")), F.trim("_hint")).when(begins(F.col("applicant")), F.trim("applicant"))
+    rest = F.btrim(F.substr(F.col("_block"), F.length(known) + 1), F.lit(" .,–—-"))
+    p = p.withColumn("description", F.nullif(rest, F.lit(""))).withColumn("description_raw", F.when(known.isNull(), F.col("_block")))
+    said = F.coalesce("description", "description_raw", F.lit(""))
+    numbers, units = (F.regexp_extract_all(said, F.lit(CAPACITY), F.lit(g)) for g in (1, 2))
+    capacities = F.array_distinct(F.zip_with(numbers, units, lambda n, u: F.concat(F.replace(n, F.lit(","), F.lit("")), F.lit(" "), F.upper(u))))
+    return p.select(
+        "page_id", got(r"^(.{2,140}?)\s*-\s*Project information").alias("name"), "app_type", "applicant", "description", "description_raw", capacities.alias("capacities"),
+        got(r"This project is at the\s+(.{3,40}?)\s+stage").alias("stage"), got(r"Latest update\s*-\s*(\d{1,2} \w+ \d{4})").alias("latest_update"), got(site, "_body").alias("developer_site"),
+    )
+
+
+def is_listing_url(url: Column) -> Column:
+    """Whether an address is one of the portals whose document lists have to be harvested."""
+    u = F.coalesce(F.lower(url), F.lit(""))
+    return F.contains(u, F.lit("/pr/s/detail/")) | F.contains(u, F.lit("/pr/s/planning-application/"))
+
+
+def listed_documents(applications: DataFrame, listings: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What to fetch (ref, url, description) and ref, status, links, skipped of applications (ref, url) on such portals.
+
+    listings: ref, documents (array<struct(url, description)>); stored: url of what is held. An
+    application without a listing needs one and is not empty.
+    """
+    a = applications.where(is_listing_url(F.col("url"))).select("ref")
+    j = a.join(listings.select("ref", "documents"), "ref", "left")
+    links = j.select("ref", F.explode("documents").alias("d")).select("ref", F.col("d.url").alias("url"), F.col("d.description").alias("description"))
+    held = stored.select(F.col("url").alias("_url")).distinct()
+    marked = links.join(held, F.col("url") == F.col("_url"), "left")
+    counts = marked.groupBy("ref").agg(F.count("*").alias("links"), F.count("_url").alias("skipped"))
+    status = F.when(F.col("documents").isNull(), "needs_listing").when(F.size("documents") == 0, "no_documents").otherwise("listed")
+    out = j.select("ref", status.alias("status")).join(counts, "ref", "left").select("ref", "status", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("skipped", F.lit(0)).alias("skipped"))
+    return marked.where("_url is null").select("ref", "url", "description"), out
+
+
 def flattened_groups(responses: DataFrame, body: str = "body") -> DataFrame:
     """id, group, document of grouped JSON; a body that is no JSON means no such case and gives a null document, an empty one gives none."""
     parsed = F.from_json(F.col(body), "struct<groups: array<struct<name: string, documents: array<struct<title: string, url: string>>>>>")

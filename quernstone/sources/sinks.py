@@ -1,10 +1,14 @@
-"""Writers: points, tables in Markdown, split text, bundles, manifests and a spool."""
+"""Writers: points, tables in Markdown, split text, bundles, manifests, workbooks and a spool."""
 
 from __future__ import annotations
 
+import itertools
+import re
+import zipfile
 from collections.abc import Iterator
+from decimal import Decimal
+from xml.sax.saxutils import escape
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -131,6 +135,85 @@ def drained(spark, path: str, schema: str, stored: DataFrame, keys: list[str]) -
     return orphans(good.dropDuplicates(keys), stored, keys)
 
 
-def report_sheets(tables: dict[str, DataFrame]) -> dict[str, pd.DataFrame]:
-    """Small result tables for a report, in memory."""
-    return {name: df.toPandas() for name, df in tables.items()}
+SHEET_ROWS = 1_048_575  # below a header, as spreadsheets have no more
+#: Parts of a workbook that are the same in every one.
+_XML = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+_MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+_OFFICE = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+_PACKAGE = "http://schemas.openxmlformats.org/package/2006"
+_ODD = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f]")
+
+
+def _letters(column: int) -> str:
+    """A, B, ... Z, AA, ... of columns from 0."""
+    out = ""
+    while column >= 0:
+        out, column = chr(65 + column % 26) + out, column // 26 - 1
+    return out
+
+
+def _cell(value, place: str) -> str:
+    if value is None:
+        return ""
+    if isinstance(value, bool):
+        return f'<c r="{place}" t="b"><v>{int(value)}</v></c>'
+    if isinstance(value, (int, float, Decimal)) and value == value and abs(value) != float("inf"):
+        return f'<c r="{place}"><v>{value}</v></c>'
+    text = _ODD.sub("", str(value))
+    if text.startswith("=HYPERLINK("):
+        return f'<c r="{place}" t="str"><f>{escape(text[1:])}</f></c>'
+    return f'<c r="{place}" t="inlineStr"><is><t xml:space="preserve">{escape(text)}</t></is></c>'
+
+
+def write_workbook(tables: dict[str, DataFrame], path: str, dictionary: dict[str, str] | None = None, sheet_rows: int = SHEET_ROWS) -> list[str]:
+    """A workbook with a sheet for each table and, with `dictionary`, one of what its columns mean; returns the sheets' names.
+
+    Rows come to the driver a partition at a time and go straight into the file, so none but the
+    sheet at hand is held. A table of more rows than a sheet takes goes on in further ones; text
+    that a spreadsheet would run is guarded, but for links made by `hyperlink`.
+    """
+    names: list[str] = []
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as book:
+
+        def sheet(name: str, header: list[str], rows: Iterator):
+            """One sheet; the first row that it has no more room for, if there is one."""
+            names.append(name)
+            with book.open(f"xl/worksheets/sheet{len(names)}.xml", "w") as out:
+                line = lambda cells, n: f"<row r=\"{n}\">{''.join(_cell(v, f'{_letters(k)}{n}') for k, v in enumerate(cells))}</row>".encode()
+                out.write(f'{_XML}<worksheet xmlns="{_MAIN}"><sheetData>'.encode() + line(header, 1))
+                left = None
+                for n, row in enumerate(rows):
+                    if n == sheet_rows:
+                        left = row
+                        break
+                    out.write(line(row, n + 2))
+                out.write(b"</sheetData></worksheet>")
+            return left
+
+        for name, df in tables.items():
+            rows = iter(_guarded_but_links(df).toLocalIterator(prefetchPartitions=True))
+            left, part = sheet(name[:31], df.columns, rows), 1
+            while left is not None:
+                part += 1
+                left = sheet(f"{name[:27]} {part}", df.columns, itertools.chain([left], rows))
+        if dictionary:
+            sheet("data dictionary", ["column", "meaning"], iter(dictionary.items()))
+        each = range(1, len(names) + 1)
+        listed = "".join(f'<sheet name="{escape(n, {chr(34): "&quot;"})}" sheetId="{k}" r:id="rId{k}"/>' for k, n in zip(each, names, strict=True))
+        book.writestr("xl/workbook.xml", f'{_XML}<workbook xmlns="{_MAIN}" xmlns:r="{_OFFICE}"><sheets>{listed}</sheets></workbook>')
+        book.writestr("xl/_rels/workbook.xml.rels", f'{_XML}<Relationships xmlns="{_PACKAGE}/relationships">' + "".join(f'<Relationship Id="rId{k}" Type="{_OFFICE}/worksheet" Target="worksheets/sheet{k}.xml"/>' for k in each) + "</Relationships>")
+        book.writestr("_rels/.rels", f'{_XML}<Relationships xmlns="{_PACKAGE}/relationships"><Relationship Id="rId1" Type="{_OFFICE}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
+        kind = "application/vnd.openxmlformats-officedocument.spreadsheetml"
+        parts = f'<Override PartName="/xl/workbook.xml" ContentType="{kind}.sheet.main+xml"/>' + "".join(f'<Override PartName="/xl/worksheets/sheet{k}.xml" ContentType="{kind}.worksheet+xml"/>' for k in each)
+        book.writestr("[Content_Types].xml", f'{_XML}<Types xmlns="{_PACKAGE}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>{parts}</Types>')
+    return names
+
+
+def _guarded_but_links(df: DataFrame) -> DataFrame:
+    text = lambda c: F.when(F.startswith(F.col(c), F.lit("=HYPERLINK(")), F.col(c)).otherwise(formula_guard(F.col(c)))
+    return df.select(*[text(c).alias(c) if t == "string" else F.col(c) for c, t in df.dtypes])
+
+
+def append_version(rows: DataFrame, path: str, at: Column | None = None) -> None:
+    """Rows as a new version of what they tell: appended with the time they are told, never written over."""
+    rows.withColumn("inserted_at", at if at is not None else F.current_timestamp()).write.mode("append").parquet(path)

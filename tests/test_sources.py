@@ -5,7 +5,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from quernstone.sources import formats, polite, readers, sinks
+from quernstone.sources import curated, formats, polite, readers, sinks
 
 
 def test_paged_json_stops_at_the_short_page(spark, tmp_path):
@@ -158,3 +158,60 @@ def test_spool(spark, tmp_path):
         crc.unlink()
     stored = spark.createDataFrame([(1,)], "id int")
     assert [(r.id, r.v) for r in sinks.drained(spark, path, "id int, v string", stored, ["id"]).collect()] == [(2, "b")]
+
+
+def test_workbook_written_and_read(spark, tmp_path):
+    rows = [(1, "a|b", 1.5, True, '=HYPERLINK("http://x","y")'), (2, "=1+1", None, False, "-x"), (3, "é <&> \x01z", 2.0, None, None)]
+    df = spark.createDataFrame(rows, "id int, t string, v double, b boolean, link string").coalesce(1)
+    path = str(tmp_path / "out.xlsx")
+    names = sinks.write_workbook({"sites": df, "empty": df.limit(0)}, path, {"id": "the number"}, sheet_rows=2)
+    assert names == ["sites", "sites 2", "empty", "data dictionary"]
+    got = {}
+    for r in readers.workbooks(spark, path).collect():
+        got.setdefault(r.sheet, []).append(r.cells)
+    assert got["sites"][0] == ["id", "t", "v", "b", "link"] and got["empty"] == [["id", "t", "v", "b", "link"]]
+    assert got["sites"][1][:3] == ["1", "a|b", "1.5"] and got["sites"][2][1] == "'=1+1"
+    assert got["sites 2"][1][:2] == ["3", "é <&> z"] and got["data dictionary"][1] == ["id", "the number"]
+    with zipfile.ZipFile(path) as z:
+        assert b"<f>HYPERLINK(" in z.read("xl/worksheets/sheet1.xml")
+    assert sinks._letters(0) == "A" and sinks._letters(25) == "Z" and sinks._letters(26) == "AA" and sinks._letters(702) == "AAA"
+
+
+def test_versions_are_appended(spark, tmp_path):
+    path = str(tmp_path / "versions")
+    for v in ("a", "b"):
+        sinks.append_version(spark.createDataFrame([(1, v)], "id int, v string"), path)
+    got = spark.read.parquet(path)
+    assert sorted(r.v for r in got.collect()) == ["a", "b"] and got.where("inserted_at is null").count() == 0
+
+
+def test_jdbc_tables(spark):
+    url, driver = "jdbc:derby:memory:store;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    df = spark.createDataFrame([(k, f"n{k}", k * 1.5) for k in range(20)], "id int, name string, v double")
+    df.coalesce(1).write.format("jdbc").option("url", url).option("driver", driver).option("dbtable", "records").mode("overwrite").save()
+    whole = curated.jdbc_table(spark, url, "records", driver)
+    assert whole.count() == 20 and whole.where("id > 15").select("name").count() == 4
+    parts = curated.jdbc_table(spark, url, "records", driver, partition=("ID", 0, 20, 4))
+    assert parts.rdd.getNumPartitions() == 4 and sorted(r[0] for r in parts.select("id").collect()) == list(range(20))
+
+
+def test_yaml_lists(spark, tmp_path):
+    pytest.importorskip("yaml")
+    (tmp_path / "claims.yaml").write_text("claims:\n- name: ' A '\n  value: 12\n  as_at: 2024-05-03\n  refs: [x, 2]\n  attrs: {k: 1}\n- name: B\nempty:\n")
+    ddl = "name string, value double, as_at string, refs array<string>, attrs map<string,string>"
+    got = curated.yaml_rows(spark, str(tmp_path / "claims.yaml"), "claims", ddl).collect()
+    assert [tuple(r) for r in got] == [(0, "A", 12.0, "2024-05-03", ["x", "2"], {"k": "1"}), (1, "B", None, None, None, None)]
+    assert curated.yaml_rows(spark, str(tmp_path / "claims.yaml"), "empty", "name string").count() == 0
+    assert curated.yaml_rows(spark, str(tmp_path / "none.yaml"), "claims", ddl).count() == 0
+
+
+def test_links_in_attributes(spark):
+    html = """<ul><li><a href='/doc/1' title="One">view</a><li><button class=x data-url="/doc/2" data-name="Two">b</button><a href="/doc/1">again</a> <a href="/doc/3"> Three </a>"""
+    got = readers.data_links(spark.createDataFrame([(1, html)], "page_id int, html string")).collect()
+    assert sorted((r.href, r.name) for r in got) == [("/doc/1", "One"), ("/doc/2", "Two"), ("/doc/3", "Three")]
+
+
+def test_project_pages_without_a_known_applicant(spark):
+    html = "<p>Name of applicant: Somebody Ltd New Nuclear Power Station of 3,260 MW and 3260MW Project information"
+    r = readers.project_pages(spark.createDataFrame([(1, html), (2, None)], "page_id int, html string")).orderBy("page_id").first()
+    assert r.description is None and r.description_raw.endswith("3260MW") and r.capacities == ["3260 MW"]
