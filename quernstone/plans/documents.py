@@ -252,12 +252,32 @@ def verify_quote(spark: SparkSession, sf: str) -> DataFrame:
     return passages.containing_documents(b, d).select(F.col("id").alias("item_id"), F.col("doc").alias("doc_id"))
 
 
-@query("txt_verify_status")
+def _norm_quote(c: str) -> str:
+    """The normal form of quotes and pages, for DuckDB."""
+    marks = "[''‘’ʼʻ\"“”„‟‚‛]"
+    c = rf"regexp_replace(regexp_replace({c}, '{marks}', '', 'g'), '[•●○◦∙·▪◆■□]', '', 'g')"
+    c = rf"regexp_replace(regexp_replace({c}, '\s*[-–—]\s*', '-', 'g'), '\s*([/&+.,:;()])\s*', '\1', 'g')"
+    return rf"regexp_replace({NORM.format(c)}, '\b([a-z]{{4,}})\s+(s)(\s|[.,;:?!)\]}}])', '\1\2\3', 'g')"
+
+
+@query(
+    "txt_verify_status",
+    rf"""
+    WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents), p AS (SELECT doc_id, i AS page, ls[i] AS line, {_norm_quote("ls[i]")} AS t FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM l)),
+    f AS (SELECT doc_id, doc_id % 4 + 1 AS page, list_filter(list_transform(regexp_split_to_array(substring(line, 3, 40), '\s*\.{{3,}}\s*|\s*…\s*'), lambda x: regexp_replace(regexp_replace(trim(x), '^[\s(\[{{"‘“]+', ''), '[\s.,;:!?)\]}}"’”]+$', '')), lambda x: x <> '') AS fs FROM p WHERE page = 2),
+    q AS (SELECT doc_id, page, list_transform(fs, lambda x: {_norm_quote("x")}) AS fs FROM f),
+    j AS (SELECT q.doc_id, q.page, q.fs, p.page AS seen, p.t, trim(p.line) = '' AS blank, len(fs) > 0 AND contains(t, fs[1]) AND (len(fs) = 1 OR contains(substring(t, strpos(t, fs[1]) + length(fs[1])), fs[2])) AS whole FROM q JOIN p USING (doc_id)),
+    r AS (SELECT *, CASE WHEN NOT whole THEN NULL WHEN seen = page THEN 0 WHEN seen = page - 1 THEN 1 WHEN seen = page + 1 THEN 2 ELSE 10 + seen END AS rank FROM j),
+    g AS (SELECT doc_id, page, any_value(fs) AS fs, min(rank) AS rank, arg_min(seen, rank) AS verified_page, bool_or(seen = page AND blank) AS empty, bool_or(seen = page) AS in_range,
+        bool_or(contains(t, fs[1])) AND (any_value(len(fs)) < 2 OR bool_or(contains(t, fs[2]))) AS everywhere FROM r GROUP BY doc_id, page)
+    SELECT doc_id AS id, page, verified_page, CASE WHEN len(fs) = 0 THEN 'fail' WHEN rank = 0 THEN 'pass' WHEN empty THEN 'page_empty' WHEN rank <= 2 THEN 'pass_adjacent' WHEN everywhere THEN 'pass_cross_page' WHEN NOT in_range THEN 'page_out_of_range' ELSE 'fail' END AS status FROM g
+    """,
+)
 def verify_status(spark: SparkSession, sf: str) -> DataFrame:
     """Quotes from every document's second line, claimed for its first, third or own page."""
     p = _docs(spark, sf).select(F.col("doc_id").alias("doc"), F.posexplode(F.split("text", "\n")).alias("n", "text")).select("doc", (F.col("n") + 1).alias("page"), "text")
     q = p.where("page = 2").select(F.col("doc").alias("id"), "doc", (F.pmod("doc", F.lit(4)) + 1).alias("page"), F.substring("text", 3, 40).alias("quote"))
-    return passages.verified_quotes(q, p).select("id", "page", "verified_page", "status")
+    return passages.verified_quotes(q, p).select("id", "page", F.col("verified_page").cast("long").alias("verified_page"), "status")
 
 
 @query("txt_delta_class", "SELECT l_orderkey, l_linenumber, CASE WHEN contains(lower(p_name || ' ' || l_quantity::BIGINT || ' kg'), (l_linenumber * 10)::VARCHAR || ' kg') THEN 'CONFIRMATION' WHEN l_returnflag = 'A' THEN 'REFINEMENT' ELSE 'NEW_DISCLOSURE' END AS category FROM lineitem JOIN part ON p_partkey = l_partkey")

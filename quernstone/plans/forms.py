@@ -95,6 +95,27 @@ def finding_key(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", shown.alias("k"))
 
 
+@query(
+    "txt_best_clause_cases",
+    """
+    SELECT p_partkey, list_extract(['Erection of a data centre of ' || p_size || ',000 sqm with substation', 'Installation of ' || p_size || ' generators and a battery compound', 'Construction of a technology park of ' || p_size || ' hectares', NULL, 'Variation of condition ' || p_size || ' of an older permission'], (p_partkey % 5)::INT + 1) AS clause FROM part WHERE p_partkey % 5 <> 3
+    """,
+)
+def best_clauses(spark: SparkSession, sf: str) -> DataFrame:
+    """Descriptions of several clauses: what is built against what is discharged, demolished or cited; two rows for each second part."""
+    k, n = F.col("p_partkey") % 5, F.col("p_size").cast("string")
+    said = (
+        F.when(k == 0, F.concat(F.lit("Discharge of condition 20 pursuant to 14/1190/OUT; Erection of a data centre of "), n, F.lit(",000 sqm with substation - amended plans received")))
+        .when(k == 1, F.concat(F.lit("Non-material amendment to the approved layout: Installation of "), n, F.lit(" generators and a battery compound")))
+        .when(k == 2, F.concat(F.lit("Demolition of the existing building on the land. Construction of a technology park of "), n, F.lit(" hectares")))
+        .when(k == 3, F.lit("too short"))
+        .otherwise(F.concat(F.lit("Variation of condition "), n, F.lit(" of an older permission")))
+    )
+    p = load(spark, sf, "part").select("p_partkey", F.explode(F.when(F.col("p_partkey") % 2 == 0, F.array(F.lit("Approval of details under condition 7 of the permission"), said)).otherwise(F.array(said))).alias("said"))
+    p = p.where((k != 4) | (F.col("said") != "Approval of details under condition 7 of the permission")).where((k != 3) | (F.col("said") == "too short"))
+    return passages.best_clause(p, "p_partkey", "said").select("p_partkey", "clause")
+
+
 _RULES = ["energy_not_power", "storage_not_generation", "thermal_not_electrical", "thermal_output_not_electrical", "headerless_table_row", "temporary_supply", "equipment_label_not_connection", "contradicted_by_own_document"]
 
 
