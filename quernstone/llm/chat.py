@@ -7,7 +7,8 @@ character, whatever number stands there already; removing one restores the text.
 
 Defined cases: a null role or text counts as empty; a null conv_id is a conversation
 of its own; rows of equal turn are ordered by role, then text, and repeated rows are
-all kept; an empty table gives an empty result; other columns are ignored. A
+all kept; an empty table gives an empty result; other columns are ignored, whatever
+their names; a text of any length stays whole, up to what an Arrow string can hold. A
 conversation beyond `part_bytes` is written as several consecutive parts, so no
 conversation has to fit into memory.
 """
@@ -26,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import buffers, text_or_empty
+from quernstone.llm.common import buffers, spans, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -62,6 +63,8 @@ class ChatTemplate:
         return re.sub(rf"([<\[])\\(\\*)({self.tails})", r"\1\2\3", text)
 
 
+#: Rows are assembled in blocks of about so many bytes, as escapes can double a text and offsets have 32 bits.
+BLOCK_BYTES = 256 << 20
 PARTS = pa.schema([("conv_id", pa.int64()), ("part", pa.int64()), ("n_turns", pa.int64()), ("formatted", pa.string()), ("loss_start", pa.list_(pa.int64())), ("loss_length", pa.list_(pa.int64()))])
 PARTS_DDL = "conv_id long, part long, n_turns long, formatted string, loss_start array<long>, loss_length array<long>"
 
@@ -108,6 +111,8 @@ def assemble(conv: pa.Array, part: np.ndarray, role: pa.Array, text: pa.Array, t
     ids = conv.fill_null(0).to_numpy()
     first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (valid[1:] != valid[:-1])))
     after = np.append(first[1:], n)
+    if ends[-1] > np.iinfo(np.int32).max:
+        raise ValueError("one turn's formatted text has more bytes than an Arrow string can have")
     offsets = np.append(starts[first, 0], ends[-1]).astype(np.int32)
 
     points = np.empty((n, 5), np.int64)  # the same layout in code points
@@ -136,6 +141,12 @@ def _format(stream: Iterator[pa.RecordBatch], template: ChatTemplate, part_bytes
         last, parts = (ids[-1],), int(number[-1]) + 1
         return assemble(conv, number, role, text, template)
 
+    def bounded(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        """In blocks of bounded bytes; a conversation across two of them has several parts."""
+        sizes = sum(pc.binary_length(table[c].combine_chunks()).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("role", "text"))
+        for a, b in spans(sizes, BLOCK_BYTES):
+            yield write(table.slice(a, b - a))
+
     for batch in stream:
         table = pa.Table.from_batches([batch])
         held = table if held is None else pa.concat_tables([held, table])
@@ -146,10 +157,10 @@ def _format(stream: Iterator[pa.RecordBatch], template: ChatTemplate, part_bytes
         if held.slice(complete).nbytes > part_bytes:
             complete = len(ids)  # a conversation of several parts
         if complete:
-            yield write(held.slice(0, complete))
+            yield from bounded(held.slice(0, complete))
             held = held.slice(complete) if complete < len(ids) else None
     if held is not None and len(held):
-        yield write(held)
+        yield from bounded(held)
 
 
 def format_conversations(conversations: DataFrame, template: ChatTemplate = ChatTemplate(), part_bytes: int = 16 << 20) -> DataFrame:

@@ -42,16 +42,24 @@ def drop(spark: SparkSession, path: str) -> None:
         _MADE.remove(path)
 
 
-def settled(df: DataFrame, name: str) -> DataFrame:
-    """`df` as a table in the shared folder, and every other table made there so far by this driver gone.
-
-    For chains of stages that each need only what the one before has written.
-    """
-    before = list(_MADE)
-    out = written(df, name)
-    for path in before:
-        drop(df.sparkSession, path)
-    return out
+class Chain:
+    """Tables of a chain of stages, each of which needs only what the one before has written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.before, self.path = spark, set(_MADE), None
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        """`df` as a table; what the stages so far have left in the shared folder goes, the table that `df` came from as well."""
+        out = written(df, name)
+        self.path = _MADE[-1]
+        for path in [p for p in _MADE if p not in self.before and p != self.path]:
+            drop(self.spark, path)
+        return out
+
+    def close(self) -> None:
+        """The last table goes, once its successor no longer reads it."""
+        if self.path:
+            drop(self.spark, self.path)
 
 
 def fresh_name(df: DataFrame, name: str) -> str:

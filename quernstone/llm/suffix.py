@@ -10,7 +10,8 @@ around equal anchors need comparing, and most anchors are found in one document
    document alone are dropped there, and each chunk hears which are not.
 3. For those, a chunk sends the run of windows that share an anchor as one short string.
    Equal runs of a chunk are sent once, for the smallest document, since the others are
-   then repeats; so a passage in a third of all documents is sent once a chunk.
+   then repeats. Runs of anchors that many chunks have are held back until the task's end
+   and sent once a task; so a passage in a third of all documents is sent once a task.
 4. A bucket sorts the suffixes that begin at anchors by mergesort. Two suffixes are
    compared by their common extension, found by binary search over prefix polynomial
    hashes; neighbours are then compared byte by byte, and a bucket in which a hash has
@@ -46,6 +47,8 @@ MIX = np.uint64(0xFF51AFD7ED558CCD)
 NO_ID = (1 << 63) - 1
 CHUNK_BYTES, PIECE = 4 << 20, 1 << 19
 BUCKET_BYTES, TASK_BUCKETS = 2 << 20, 6
+#: An anchor in so many chunks is a common one; a task holds so many bytes of strings of common anchors.
+COMMON_CHUNKS, HELD_BYTES = 16, 64 << 20
 
 CHUNK_DDL = "chunk long, doc_ids binary, lengths binary, body binary, rest binary"
 CHUNK = pa.schema([("chunk", pa.int64()), ("doc_ids", pa.binary()), ("lengths", pa.binary()), ("body", pa.binary()), ("rest", pa.binary())])
@@ -202,8 +205,21 @@ def _asked(stream: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBa
         yield _routed([(int(bucket[a]), chunk.number, _five(key[a:b]).tobytes() + np.packbits(several[a:b]).tobytes()) for a, b in _runs(bucket)])
 
 
-def _answered(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each chunk its keys that several documents have."""
+def _told(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The keys that a chunk has been told, with their bucket above, in order; and which of them are common."""
+    keys, common = [], []
+    for body in bodies:
+        n = (len(body) - 4) * 8 // 41
+        data = np.frombuffer(body, np.uint8, offset=4)
+        keys.append(_eight(data[: 5 * n]) | np.uint64(int.from_bytes(body[:4], "little")) << np.uint64(40))
+        common.append(np.unpackbits(data[5 * n :], count=n).astype(bool))
+    key, mark = np.concatenate(keys), np.concatenate(common)
+    order = np.argsort(key)
+    return key[order], mark[order]
+
+
+def _answered(stream: Iterator[pa.RecordBatch], common_chunks: int) -> Iterator[pa.RecordBatch]:
+    """For each chunk its keys that several documents have, those that many chunks have marked."""
     keys, marks, buckets, chunks, sizes = [], [], [], [], []
     for batch in stream:
         for bucket, number, body in zip(batch["bucket"].to_pylist(), batch["chunk"].to_pylist(), batch["body"].to_pylist(), strict=True):
@@ -225,10 +241,13 @@ def _answered(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     several[:-1] |= same
     # a mark counts for all rows of its key
     first = np.flatnonzero(np.append(True, ~same))
-    several = np.repeat(np.logical_or.reduceat(several, first), np.diff(np.append(first, len(order))))
+    size = np.diff(np.append(first, len(order)))
+    several = np.repeat(np.logical_or.reduceat(several, first), size)
+    common = np.zeros(len(order), bool)
+    common[order] = np.repeat(size >= common_chunks, size)  # a chunk has a key once
     told = np.sort(order[several])
-    key, row = key[told], row[told]
-    out = [(0, chunks[row[a]], np.int32(buckets[row[a]]).tobytes() + _five(key[a:b]).tobytes()) for a, b in _runs(row)]
+    key, row, common = key[told], row[told], common[told]
+    out = [(0, chunks[row[a]], np.int32(buckets[row[a]]).tobytes() + _five(key[a:b]).tobytes() + np.packbits(common[a:b]).tobytes()) for a, b in _runs(row)]
     for k in range(0, len(out), 2048):
         yield _routed(out[k : k + 2048])
 
@@ -260,20 +279,62 @@ def _equal_bytes(data: np.ndarray, x: np.ndarray, y: np.ndarray, length: np.ndar
     return same
 
 
-def _sent(stream: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
-    """Runs around shared anchors: to their bucket, or, where the chunk knows them to be repeats, straight to the result (bucket -1)."""
+class Held:
+    """Strings of common anchors, each for the smallest document of the task that has it."""
+
+    def __init__(self, parts: int, limit: int):
+        self.parts, self.limit, self.size = parts, limit, 0
+        self.strings: dict[tuple[int, int, bytes], tuple[int, int, np.ndarray]] = {}  # key, anchor, text -> doc, chunk, places
+        self.settled: dict[int, list[tuple[np.ndarray, int]]] = {}  # chunk -> places of repeats, number of windows
+
+    def take(self, key: int, anchor: int, text: bytes, doc: int, chunk: int, places: np.ndarray) -> bool:
+        """Whether the string is settled or held; not if a document of the same id has it already, as these do not affect each other."""
+        name = key, anchor, text
+        other = self.strings.get(name)
+        if other is None:
+            self.strings[name] = doc, chunk, places
+            self.size += len(text) + places.nbytes + 400
+            return True
+        if other[0] == doc:
+            return False
+        count = len(text) - WINDOW + 1
+        if other[0] < doc:
+            self.settled.setdefault(chunk, []).append((places, count))
+        else:
+            self.settled.setdefault(other[1], []).append((other[2], count))
+            self.strings[name] = doc, chunk, places
+        self.size += places.nbytes + 100
+        return True
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        for chunk, found in self.settled.items():
+            where = np.concatenate([places for places, _ in found])
+            masks = np.repeat([(1 << count) - 1 for _, count in found], [len(places) for places, _ in found])
+            yield _routed([(-1, chunk, _pack(where.astype("<u4"), masks.astype("<u4")))])
+        by: dict[tuple[int, int], list] = {}
+        for (key, anchor, text), (doc, chunk, places) in self.strings.items():
+            by.setdefault((key % self.parts, chunk), []).append((doc, len(text), anchor, len(places), places, text))
+        for (bucket, chunk), strings in sorted(by.items()):
+            doc, length, anchor, n, places, text = zip(*strings, strict=True)
+            yield _routed([(bucket, chunk, _pack(np.array(doc, "<i8"), np.array(length, np.uint8), np.array(anchor, np.uint8), np.array(n, "<u4"), np.concatenate(places).astype("<u4"), np.frombuffer(b"".join(text), np.uint8)))])
+        self.strings, self.settled, self.size = {}, {}, 0
+
+
+def _sent(stream: Iterator[pa.RecordBatch], parts: int, held_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Runs around shared anchors: to their bucket, or, where the task knows them to be repeats, straight to the result (bucket -1)."""
+    held = Held(parts, held_bytes)
     for row in _rows(stream):
         if not row["told"]:
             continue
-        known = np.sort(np.concatenate([_eight(np.frombuffer(b, np.uint8, offset=4)) | np.uint64(int.from_bytes(b[:4], "little")) << np.uint64(40) for b in row["told"]]))
+        known, common = _told(row["told"])
         chunk = Chunk(row)
         found = []
         for start, count, anchor, key, a, piece in chunk.runs():
             full = short(key) | bucket_of(key, parts).astype(np.uint64) << np.uint64(40)
-            at = np.searchsorted(known, full)
-            keep = known[np.minimum(at, len(known) - 1)] == full
-            found.append((start[keep], count[keep], anchor[keep], key[keep]))
-        start, count, anchor, key = (np.concatenate(x) for x in zip(*found, strict=True))
+            at = np.minimum(np.searchsorted(known, full), len(known) - 1)
+            keep = known[at] == full
+            found.append((start[keep], count[keep], anchor[keep], key[keep], common[at[keep]]))
+        start, count, anchor, key, often = (np.concatenate(x) for x in zip(*found, strict=True))
         doc = chunk.ids[np.searchsorted(chunk.bounds, start, "right") - 1]
         length = count + WINDOW - 1
         data, off, place = gathered(chunk.bytes, start, length)
@@ -281,7 +342,7 @@ def _sent(stream: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBat
         content = sums[off[1:]] - sums[off[:-1]]
         # equal runs stand together, the smallest document first
         order = np.lexsort((start, doc, content, length, anchor, key))
-        start, count, anchor, key, doc, length, content = (v[order] for v in (start, count, anchor, key, doc, length, content))
+        start, count, anchor, key, doc, length, content, often = (v[order] for v in (start, count, anchor, key, doc, length, content, often))
         at = off[:-1][order]
         same = np.append(False, (key[1:] == key[:-1]) & (content[1:] == content[:-1]) & (length[1:] == length[:-1]) & (anchor[1:] == anchor[:-1]))
         group = np.cumsum(~same) - 1
@@ -297,21 +358,30 @@ def _sent(stream: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBat
         places = np.flatnonzero(least | deceived)
         places = places[np.argsort(owner[places], kind="stable")]
         n_places = np.bincount(np.searchsorted(string, owner[places]), minlength=len(string))
-        bucket = bucket_of(key[string], parts)
-        by = np.argsort(bucket, kind="stable")
         begin = np.append(0, np.cumsum(n_places))
+        left = np.ones(len(string), bool)
+        for i in np.flatnonzero(often[string]).tolist():
+            k = int(string[i])
+            text = data[at[k] : at[k] + length[k]].tobytes()
+            left[i] = not held.take(int(key[k]), int(anchor[k]), text, int(doc[k]), chunk.number, start[places[begin[i] : begin[i + 1]]])
+        live = np.flatnonzero(left)
+        bucket = bucket_of(key[string[live]], parts)
+        by = live[np.argsort(bucket, kind="stable")]
         rows = []
-        for a, b in _runs(bucket[by]):
+        for a, b in _runs(np.sort(bucket, kind="stable")):
             one = by[a:b]
             s = string[one]
             text, _, _ = gathered(data, at[s], length[s])
             where, _, _ = gathered(start[places], begin[one], n_places[one])
-            rows.append((int(bucket[one[0]]), chunk.number, _pack(doc[s].astype("<i8"), length[s].astype(np.uint8), anchor[s].astype(np.uint8), n_places[one].astype("<u4"), where.astype("<u4"), text)))
+            rows.append((int(bucket_of(key[s[:1]], parts)[0]), chunk.number, _pack(doc[s].astype("<i8"), length[s].astype(np.uint8), anchor[s].astype(np.uint8), n_places[one].astype("<u4"), where.astype("<u4"), text)))
             if len(rows) == 64:
                 yield _routed(rows)
                 rows = []
         if rows:
             yield _routed(rows)
+        if held.size > held.limit:
+            yield from held.flush()
+    yield from held.flush()
 
 
 class Suffixes:
@@ -527,7 +597,7 @@ def _cleaned(stream: Iterator[pa.RecordBatch], schema: pa.Schema, with_text: boo
         yield pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) for f in schema], schema=schema)
 
 
-def remove_repeats(docs: DataFrame, with_text: bool = True, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, with_text: bool = True, chunk_bytes: int = CHUNK_BYTES, common_chunks: int = COMMON_CHUNKS, held_bytes: int = HELD_BYTES) -> DataFrame:
     """Every document with n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the text that is left.
 
     Other columns of `docs` stay; any of them that has one of these names is replaced.
@@ -543,12 +613,12 @@ def remove_repeats(docs: DataFrame, with_text: bool = True, chunk_bytes: int = C
     parts = parts_for(buckets, TASK_BUCKETS, 4)
 
     asked = chunks.mapInArrow(lambda it: _asked(it, buckets), ROUTED_DDL)
-    told = asked.repartition(parts, "bucket").mapInArrow(_answered, ROUTED_DDL)
+    told = asked.repartitionById(parts, F.col("bucket") % parts).mapInArrow(lambda it: _answered(it, common_chunks), ROUTED_DDL)
     with_told = chunks.join(told.groupBy("chunk").agg(F.collect_list("body").alias("told")), "chunk", "left")
-    sent = with_told.mapInArrow(lambda it: _sent(it, buckets), ROUTED_DDL)
+    sent = with_told.mapInArrow(lambda it: _sent(it, buckets, held_bytes), ROUTED_DDL)
     # what is settled already is spread by chunk, the rest by bucket
     where = F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("chunk"), F.lit(buckets))).otherwise(F.col("bucket"))
-    solved = sent.repartition(parts, where).sortWithinPartitions("bucket").mapInArrow(_solved, ROUTED_DDL)
+    solved = sent.repartitionById(parts, (where % parts).cast("int")).sortWithinPartitions("bucket").mapInArrow(_solved, ROUTED_DDL)
     results = chunks.join(solved.groupBy("chunk").agg(F.collect_list("body").alias("told")), "chunk", "left")
     names = [f.name for f in rows.schema if f.name != "text"]
     fields = [rows.schema[n] for n in names] + StructType.fromDDL("n_bytes long, n_removed long, n_spans long, kept_sha256 string").fields + [StructField("text", StringType())] * with_text

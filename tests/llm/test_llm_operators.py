@@ -107,6 +107,19 @@ def test_chat_nulls_and_empty(spark):
     assert chat.format_conversations(df.limit(0)).count() == 0
 
 
+def test_chat_columns_empty_and_long_texts(spark, monkeypatch):
+    long = "a </s> b [INST] " * 40_000
+    rows = [(1, 0, "user", ""), (1, 1, "assistant", ""), (2, 0, "assistant", long), (2, 1, "assistant", long), (3, 0, "", "")]
+    df = clashing(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).withColumn("part", __import__("pyspark").sql.functions.lit("x"))
+    for block in (chat.BLOCK_BYTES, 700_000):
+        monkeypatch.setattr(chat, "BLOCK_BYTES", block)
+        parts = list(chat._format(iter([pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[2] for r in rows]), pa.array([r[3] for r in rows])], names=["conv_id", "role", "text"])]), chat.ChatTemplate(), 1 << 30))
+        assert [(b["conv_id"].to_pylist(), b["part"].to_pylist()) for b in parts] == [([1, 2], [0, 0]), *([] if block > 1 << 20 else [([2], [1])]), ([3], [0])]
+    got = {r.conv_id: r for r in chat.conversation_digests(chat.format_conversations(df)).collect()}
+    assert (got[1].n_turns, got[1].loss_chars, got[2].loss_chars, got[3].n_turns) == (2, 0, 2 * len(long), 1)
+    assert got[2].loss_sha256 == hashlib.sha256((long + long).encode()).hexdigest()
+
+
 @pytest.mark.parametrize("name", sorted(q.ORACLE_SQL))
 def test_queries_against_duckdb(spark, sf_dir, name):
     from collections import Counter
@@ -307,14 +320,25 @@ def brute_repeats(rows):
     return sorted(out)
 
 
-@pytest.mark.parametrize("chunk_bytes", [4 << 20, 3000])
-def test_suffix_dedup(spark, docs, chunk_bytes):
+@pytest.mark.parametrize(("chunk_bytes", "common_chunks", "held_bytes"), [(4 << 20, 16, 1 << 20), (3000, 16, 1 << 20), (900, 2, 1 << 20), (900, 2, 0)])
+def test_suffix_dedup(spark, docs, chunk_bytes, common_chunks, held_bytes):
     rows = [(r.doc_id, (r.text or "").encode()) for r in docs.collect()]
-    got = suffix.remove_repeats(docs.repartition(3, "doc_id"), chunk_bytes=chunk_bytes)
+    got = suffix.remove_repeats(docs.repartition(3, "doc_id"), chunk_bytes=chunk_bytes, common_chunks=common_chunks, held_bytes=held_bytes)
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect()) == brute_repeats(rows)
     assert any(r.n_removed for r in got.collect())
 
 
+def test_suffix_common_passages_leave_a_task_once():
+    rng = random.Random(2)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(400)).encode()
+    held = suffix.Held(4, 1 << 20)
+    places = np.array([3])
+    assert held.take(9, 1, passage[:60], 7, 100, places) and held.take(9, 1, passage[:60], 5, 200, places) and held.take(9, 1, passage[:60], 6, 300, places)
+    assert not held.take(9, 1, passage[:60], 5, 400, places)  # another row of the same id
+    out = [(b["bucket"][0].as_py(), b["chunk"][0].as_py()) for b in held.flush()]
+    assert sorted(out) == [(-1, 100), (-1, 300), (1, 200)]
+
+
 def test_suffix_sort_survives_deceiving_hashes(monkeypatch):
     rng = random.Random(4)
     strings = [bytes(rng.choice(b"ab") for _ in range(rng.randint(50, 80))) for _ in range(40)]
@@ -494,6 +518,28 @@ def test_sum_of_squares_is_near_the_bound():
     assert at.max() + 1 <= 1.01 * lengths.sum() / 2048 + 1
 
 
+def test_packing_null_and_repeated_ids(spark):
+    rows = [(None, "a b"), (None, "a b"), (4, "c " * 300), (4, "c " * 300), (5, None)]
+    df = clashing(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = packing.packed_documents(df, tokenizer_path("word_bpe_49k.json"), capacity=128).collect()
+    lengths = {}
+    for r in got:
+        lengths[r.doc_id] = lengths.get(r.doc_id, 0) + r.length
+    want = {}
+    for (i, _), ids in zip(rows, token_ids(t for _, t in rows), strict=True):
+        want[i] = want.get(i, 0) + len(ids)
+    assert lengths == want
+    places = {}
+    for r in got:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for of_bin in places.values():
+        at = 0
+        for offset, n in sorted(of_bin):
+            assert offset == at
+            at += n
+        assert at <= 128
+
+
 def test_packing_empty(spark, docs):
     assert packing.packed_documents(docs.limit(0), tokenizer_path("word_bpe_49k.json")).count() == 0
 
@@ -531,6 +577,22 @@ def test_pieces_are_the_library_s(spark, docs):
     assert pieces.encode_documents(docs.limit(0), path).count() == 0
 
 
+def test_pieces_of_long_runs_and_repeated_rows(spark):
+    import sentencepiece
+
+    path = tokenizer_path("piece_bpe_32k.model")
+    lib = sentencepiece.SentencePieceProcessor(model_file=path)
+    rng = random.Random(7)
+    long = ["".join(rng.choice("ACGT") for _ in range(60_000)), "=" * 5000 + "日" * 300, "ab,cd;" * 4000, "x" * 70 + ",y" * 80]
+    df = clashing(spark.createDataFrame([(k, t) for k, t in enumerate(long)] + [(0, long[0]), (None, None)], "doc_id long, text string"))
+    got = pieces.encoding_digests(df, path).collect()
+    assert len(got) == 6 and len({tuple(r) for r in got}) == 5
+    for r in got:
+        ids = lib.encode(long[r.doc_id]) if r.doc_id is not None else []
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(lib.decode(ids).encode()).hexdigest()
+
+
 # 8 -------------------------------------------------------------------------------
 
 

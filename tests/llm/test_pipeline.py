@@ -36,6 +36,33 @@ def test_run(spark, sf_dir):
     assert stages == ["quality_filter", "exact_dedup", "near_dedup", "repeat_removal", "pack"]
 
 
+def test_stages_take_odd_tables(spark, sf_dir):
+    ddl = "doc_id long, text string, lang string, source string, n_chars long"
+    odd = [(None, None, None, None, None), (None, "null id", "en", "s", 7), (5, "", "en", "s", 0), (5, "twice the id", "en", "s", 12), (5, "twice the id", "en", "s", 12), (6, "word " * 50_000, "en", None, 250_000), (7, "TWICE the id", None, "s", 12)]
+    for rows in (odd, []):
+        docs = spark.createDataFrame(rows, ddl)
+        for _, stage in corpus_pipeline.STAGES[1:-1]:
+            docs = stage(spark, docs, sf_dir)
+            assert docs.schema.names == ["doc_id", "text", "lang", "source", "n_chars"]
+            docs = spark.createDataFrame(docs.collect(), ddl)
+        left = docs.collect()
+        assert len(left) == (4 if rows else 0)
+        packed = corpus_pipeline.pack(spark, docs, sf_dir).collect()
+        assert {r.doc_id for r in packed} == {r.doc_id for r in left}
+        kept = corpus_pipeline.quality_filter(spark, spark.createDataFrame(rows, ddl), sf_dir)
+        assert kept.schema.names == ["doc_id", "text", "lang", "source", "n_chars"] and kept.count() <= len(rows)
+
+
+def test_run_leaves_no_stage_behind(spark, sf_dir):
+    from quernstone.llm import common
+
+    before = set(common._MADE)
+    out = corpus_pipeline.run(spark, sf_dir)
+    left = [p for p in common._MADE if p not in before]
+    assert not any("-stage-" in p or "-chunks-" in p for p in left)
+    assert out.count() > 100
+
+
 def test_entry_registers_everything():
     import __spark_entry__ as entry
 
