@@ -1,11 +1,18 @@
-"""The corpus pipeline: raw documents to packed sequences, one operator a stage."""
+"""The corpus pipeline: raw documents to packed sequences, one operator a stage.
+
+Defined cases, for every stage: a null text counts as empty; of rows with equal texts one
+stays, of the largest doc_id, null below any; of near copies the one of the smallest, null
+after all; a document of null doc_id is a document like any other, and repeated ids are
+told apart by their place in the table; texts of any length are read whole; other columns
+stay as they are, whatever their names; an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from quernstone.llm import exact, packing, quality, simhash, suffix
-from quernstone.llm.common import written
+from quernstone.llm.common import Chain
 from quernstone.llm.tokens import tokenizer_path
 from quernstone.session import load
 
@@ -47,9 +54,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`; a stage's table goes when its successor is written."""
+    chain = Chain(spark)
     docs = load(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = written(docs, f"stage-{k}")
+            docs = chain.written(docs, f"stage-{k}")
+    chain.close()  # the pieces of the last stage are a table of their own
     return docs
