@@ -91,3 +91,23 @@ def append_unless_present(base: DataFrame, more: DataFrame, key: str) -> DataFra
     """base and those rows of `more` whose key, in upper case, base does not have."""
     known = base.select(F.upper(F.col(key)).alias("_k")).distinct()
     return base.unionByName(more.join(known, F.upper(more[key]) == F.col("_k"), "left_anti").select(*base.columns))
+
+
+def merged_claims(stored: DataFrame, produced: DataFrame, keys: list[str], refresh: str | None = None, prune: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The claims after a load, and the stored ones that are no longer produced.
+
+    A claim that is stored stays as it is, but for the column `refresh`; new ones are added; orphans
+    are only told, unless `prune`.
+    """
+    gone = orphans(stored, produced, keys)
+    policies = {c: (new_or_old if c == refresh else keep_old) for c in stored.columns if c not in keys}
+    kept = orphans(stored, gone, keys) if prune else stored
+    untouched = {c: (lambda old, new: old) for c in policies if c != refresh}
+    return upsert(kept, produced, keys, policies | untouched), gone
+
+
+def upserted_councils(stored: DataFrame, areas: DataFrame) -> DataFrame:
+    """stored (gss_code, name, notes) with areas (gss_code, name, is_planning, ...): those without a code or that do no planning are skipped, and what else is known goes into the notes as JSON."""
+    rest = [c for c in areas.columns if c not in ("gss_code", "name", "is_planning")]
+    fit = areas.where(F.col("gss_code").isNotNull() & F.coalesce(F.col("is_planning"), F.lit(False)))
+    return upsert(stored, fit.select("gss_code", "name", F.to_json(F.struct(*rest)).alias("notes")), ["gss_code"], {"name": new_or_old, "notes": new_or_old})

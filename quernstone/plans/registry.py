@@ -11,7 +11,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
 
 #: Modules that hold registered queries.
-MODULES: tuple[str, ...] = ("quernstone.plans.records", "quernstone.plans.documents", "quernstone.plans.streams", "quernstone.plans.profiles", "quernstone.plans.sites", "quernstone.plans.forms", "quernstone.plans.portals")
+MODULES: tuple[str, ...] = ("quernstone.plans.records", "quernstone.plans.documents", "quernstone.plans.streams", "quernstone.plans.profiles", "quernstone.plans.sites", "quernstone.plans.forms", "quernstone.plans.portals", "quernstone.plans.exchange")
 
 
 def query(name: str, sql: str | None = None):

@@ -238,7 +238,7 @@ def document_table(pages: DataFrame, html: str = "html") -> DataFrame:
     rows = F.regexp_extract_all(F.col(html), F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
     strip = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "(?s)<[^>]+>", " "), r"\s+", " "))
     cells = lambda c: F.transform(F.regexp_extract_all(c, F.lit(r"(?is)<t[hd]\b[^>]*>(.*?)</t[hd]>"), F.lit(1)), strip)
-    t = pages.select("page_id", rows.alias("rows")).where(F.size("rows") > 1).select("page_id", cells(F.col("rows")[0]).alias("header"), F.posexplode(F.slice("rows", 2, F.size("rows") - 1)).alias("row", "tr"))
+    t = pages.select("page_id", rows.alias("rows")).where(F.size("rows") > 1).select("page_id", cells(F.get("rows", F.lit(0))).alias("header"), F.posexplode(F.slice("rows", F.lit(2), F.greatest(F.size("rows") - 1, F.lit(0)))).alias("row", "tr"))
     hrefs = F.filter(F.regexp_extract_all("tr", F.lit(r"""(?is)<a\b[^>]*?href\s*=\s*["']([^"']+)"""), F.lit(1)), lambda h: ~F.lower(h).contains("viewer"))
     padded = F.slice(F.concat(cells(F.col("tr")), F.array_repeat(F.lit(""), F.size("header"))), 1, F.size("header"))
     return t.where(F.size(F.array_distinct("header")) == F.size("header")).select("page_id", "row", F.map_from_arrays("header", padded).alias("cells"), F.get(hrefs, F.lit(0)).alias("href"))
