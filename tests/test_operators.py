@@ -2,7 +2,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from quernstone.operators import entities, graph, linkage, merge, passages, permits, quality, versioned
+from quernstone.operators import claims, entities, graph, linkage, merge, passages, permits, quality, sites, versioned
 
 
 def rows(df):
@@ -302,3 +302,65 @@ def test_orders_place_every_row(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     plan = versioned.placed(spark.range(9), [F.col("id")])._jdf.queryExecution().toString()
     assert "Window" not in plan and "SinglePartition" not in plan
+
+
+def campus(spark, verdict="new_build"):
+    """Two campuses a kilometre apart with a bridge between them."""
+    apps = [(1, "Kent/21/001", 51.0, 0.0, "new_build", True), (2, "Kent/21/002", 51.007, 0.0, verdict, verdict != "not_dc"), (3, "Kent/21/003", 51.014, 0.0, "new_build", True), (4, "Kent/21/004", None, None, "procedural", True), (5, "Kent/21/005", 51.5, 0.5, "not_dc", False)]
+    a = spark.createDataFrame([(*r, "application" if r[2] else None, "", "d") for r in apps], "id long, ref string, lat double, lon double, verdict string, in_universe boolean, coord_source string, address string, description string")
+    p = spark.createDataFrame([(1, 900, "Campus", 51.0, 0.0, False), (2, 901, "Tender", 51.014, 0.0, True)], "id long, ptno long, title string, lat double, lon double, is_tender boolean")
+    links = spark.createDataFrame([(1, 1)], "project_id long, application_id long")
+    family = spark.createDataFrame([(4, 3, "associated_id"), (3, 77, "description")], "src long, dst long, source string")
+    return a, p, links, family
+
+
+def grouped(members):
+    out = {}
+    for r in members.collect():
+        out.setdefault(r.root, set()).add(r.node)
+    return sorted(map(sorted, out.values()))
+
+
+def test_sites_join_by_record_and_place(spark):
+    a, p, links, family = campus(spark)
+    members = sites.clusters(a, p, links, family)
+    assert grouped(members) == [["A:1", "A:2", "A:3", "A:4", "P:1"], ["P:2"]]
+    assert {r.node: r.joined_via for r in members.collect()} == {"A:1": "project_link", "P:1": "project_link", "A:2": "spatial", "A:3": "family", "A:4": "family", "P:2": "singleton"}
+    got = sites.sites(members, a, p).collect()
+    assert [(r.site_key, r.display_name, r.classification, r.coord_source) for r in got] == [("PTNO-900", "Campus", "both", "barbour")]
+
+
+def test_sites_stay_apart_across_partitions(spark):
+    a, p, links, family = campus(spark)
+    parts = spark.createDataFrame([("application", "kent/21/001", "west"), ("application", "Kent/21/004", "east")], "kind string, key string, partition string")
+    members = sites.clusters(a, p, links, family, parts)
+    # the bridge has no partition, so it joins neither; 3 inherits east from 4, the project west from 1
+    assert grouped(members) == [["A:1", "P:1"], ["A:2"], ["A:3", "A:4"], ["P:2"]]
+    with pytest.raises(ValueError, match="records there are not"):
+        sites.clusters(a, p, links, family, spark.createDataFrame([("project", "1", "x")], parts.schema))
+    with pytest.raises(ValueError, match="joins partitions"):
+        sites.clusters(a, p, links, family, spark.createDataFrame([("application", "Kent/21/003", "x"), ("application", "Kent/21/004", "y")], parts.schema))
+
+
+def test_sites_family_does_not_pass_what_is_outside(spark):
+    a, p, links, _ = campus(spark, "not_dc")
+    family = spark.createDataFrame([(2, 4, "associated_id")], "src long, dst long, source string")
+    assert grouped(sites.clusters(a, p, links, family, km=0.1)) == [["A:1", "P:1"], ["A:2"], ["A:3"], ["A:4"], ["P:2"]]
+    assert grouped(sites.clusters(a, p, links, family, km=0.1, skip_outside=False)) == [["A:1", "P:1"], ["A:2", "A:4"], ["A:3"], ["P:2"]]
+
+
+def test_claims_against_their_pages(spark):
+    pages = spark.createDataFrame([("d", 1, "Total\n input of 1,234.50   MWth; 4 x 2.5 MWth and 1 x 3")], "doc string, page int, text string")
+    rows_ = [
+        (1, "d", 1, " input of 1,234.50 MWth", 1234.5, None),
+        (2, "d", 2, "x", 1.0, None),
+        (3, "d", 1, "input of 9", 9.0, None),
+        (4, "d", 1, "input of 1,234.50", 77.0, None),
+        (5, "d", 1, "4 x 2.5 MWth and 1 x 3", 13.0, [(4, 2.5), (1, 3.0)]),
+        (6, "d", 1, "4 x 2.5 MWth and 1 x 3", 14.0, [(4, 2.5), (1, 3.0)]),
+        (7, "d", 1, "4 x 2.5 MWth and 1 x 3", 8.0, [(2, 4.125)]),
+    ]
+    df = spark.createDataFrame(rows_, "id int, doc string, page int, quote string, value double, engines array<struct<n:int,mw:double>>")
+    assert dict(rows(claims.verified_claims(df, pages))) == {1: None, 2: "no_text", 3: "quote_missing", 4: "value_missing", 5: None, 6: "sum_differs", 7: "ratings_missing"}
+    digits = spark.createDataFrame([(1, "d", 1, 1234.5), (2, "d", 1, 1235.5), (3, "e", 1, 1.0)], "id int, doc string, page int, value double")
+    assert dict(rows(claims.verified_digits(digits, pages))) == {1: None, 2: "value_missing", 3: "no_text"}
