@@ -35,12 +35,28 @@ def sessions(spark: SparkSession, sf: str) -> DataFrame:
     return contracts.sessions(load(spark, sf, "events"), "6 hours")
 
 
+def _folder(spark: SparkSession) -> str:
+    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='streams-')}/streams-{uuid.uuid4().hex}"
+
+
+@query("st_exactly_once_unit", "SELECT 'findings' AS what, count(*) AS n, count(DISTINCT user_id) AS users FROM events WHERE user_id % 3 <> 2 UNION ALL SELECT 'log', count(DISTINCT user_id), count(DISTINCT user_id) FROM events WHERE user_id % 3 <> 2")
+def units(spark: SparkSession, sf: str) -> DataFrame:
+    """Findings and the log of who was read, told together: one unit comes twice, and one breaks off before it is done."""
+    e = load(spark, sf, "events").select("event_id", "user_id")
+    told = contracts.Units(spark, _folder(spark), {"findings": "event_id long, user_id long", "log": "user_id long"})
+    for number in (0, 0, 1):
+        mine = e.where(F.col("user_id") % 3 == number)
+        told.commit(number, {"findings": mine, "log": mine.select("user_id").distinct()})
+    e.where("user_id % 3 = 2").write.parquet(f"{told.path}/u2/findings")
+    counts = [told.read(name).agg(F.lit(name).alias("what"), F.count("*").alias("n"), F.countDistinct("user_id").alias("users")) for name in ("findings", "log")]
+    return counts[0].union(counts[1])
+
+
 @query("st_idempotent_replay", "SELECT user_id, count(*) AS n FROM (SELECT DISTINCT user_id, date_trunc('hour', ts) FROM events) GROUP BY user_id")
 def replay(spark: SparkSession, sf: str) -> DataFrame:
     """One batch given three times, twice under its own number: the table has every key once."""
     e = load(spark, sf, "events").select("user_id", F.date_trunc("hour", "ts").alias("h"), F.lit("seen").alias("state"))
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="replay-")
-    table = contracts.VersionedTable(spark, f"{folder}/replay-{uuid.uuid4().hex}", "user_id long, h timestamp_ntz, state string")
+    table = contracts.BucketedTable(spark, _folder(spark), "user_id long, h timestamp_ntz, state string", ["user_id", "h"], 8)
     apply = contracts.merging(table, ["user_id", "h"], {})
     for number in (0, 0, 1):
         apply(e, number)

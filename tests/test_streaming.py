@@ -49,3 +49,33 @@ def test_pending_and_rate(spark):
     assert sorted(r.doc for r in contracts.pending(u, ledger, "doc", "m", "1").collect()) == [1, 2, 3]
     assert contracts.rate({"processedRowsPerSecond": 2.0}, 3600) == (7200.0, 0.5)
     assert merge.overwrite(1, 2) == 2
+
+
+def test_bucketed_table_writes_what_it_touches(spark, tmp_path):
+    table = contracts.BucketedTable(spark, str(tmp_path / "t"), "id long, v string, at int", ["id"], 8)
+    merge = contracts.merging(table, ["id"], {}, newest="at")
+    first = spark.range(40).selectExpr("id", "'a' AS v", "1 AS at")
+    merge(first, 0)
+    assert table.read().count() == 40 and len(table._newest()) == 8
+    again = spark.createDataFrame([(3, "b", 1), (3, "c", 2), (3, "z", 1), (99, "n", 1)], "id long, v string, at int")
+    merge(again, 1)
+    merge(again.withColumn("v", F.lit("other")), 1)  # a replay
+    got = {r.id: r.v for r in table.read().collect()}
+    assert got[3] == "c" and got[99] == "n" and len(got) == 41 and sum(v == "a" for v in got.values()) == 39
+    assert sorted(table._newest().values()).count(1) <= 2
+    for number in (2, 3, 4):
+        merge(first.withColumn("v", F.lit(str(number))), number)
+    names = sorted(p.name for p in (tmp_path / "t").iterdir() if not p.name.startswith("."))
+    assert [n for n in names if n.startswith("manifest")] == ["manifest-3.json", "manifest-4.json"] and "v2" not in names
+    assert {r.v for r in table.read().where("id = 5").collect()} == {"4"}
+
+
+def test_units_count_whole_or_not_at_all(spark, tmp_path):
+    units = contracts.Units(spark, str(tmp_path / "u"), {"a": "x long", "b": "y long"})
+    assert units.read("a").count() == 0
+    one, two = spark.range(3).toDF("x"), spark.range(2).toDF("y")
+    assert units.commit(7, {"a": one, "b": two}) and not units.commit(7, {"a": one, "b": two})
+    one.write.parquet(str(tmp_path / "u" / "u8" / "a"))  # broken off
+    assert (units.read("a").count(), units.read("b").count()) == (3, 2)
+    assert units.commit(8, {"a": one})
+    assert (units.read("a").count(), units.read("b").count()) == (6, 2)
