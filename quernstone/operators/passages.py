@@ -183,8 +183,8 @@ def best_clause(df: DataFrame, key: str, text: str) -> DataFrame:
     Clauses are scored inside their row; one of each row goes to the aggregate.
     """
     scored = F.transform(clauses(F.col(text)), lambda c, k: F.struct(F.round(clause_score(c), 6).alias("score"), (-k).alias("place"), c.alias("clause")))
-    rows = df.select(key, F.array_max(scored).alias("b")).where("b is not null")
-    return rows.groupBy(key).agg(F.max("b").alias("b")).select(key, "b.clause", "b.score")
+    best = df.select(key, F.array_max(scored).alias("b")).groupBy(key).agg(F.max("b").alias("b"))
+    return best.where("b is not null").select(key, "b.clause", "b.score")
 
 
 def verified_quotes(quotes: DataFrame, pages: DataFrame) -> DataFrame:
