@@ -62,6 +62,27 @@ def test_radius_and_nearest_match_brute_force(spark):
         assert abs(got[a[0]] - min(km(a, b) for b in pts[30:])) < 1e-9
 
 
+def test_radius_goes_round_the_globe(spark):
+    from math import asin, cos, radians, sin, sqrt
+    import random
+
+    rng = random.Random(4)
+    pts = [(k, rng.choice([rng.uniform(-1, 1), rng.uniform(71, 73), rng.uniform(88, 90), rng.uniform(-90, -89)]), rng.choice([rng.uniform(179, 180), rng.uniform(-180, -179), rng.uniform(-180, 180)])) for k in range(120)]
+    km = lambda a, b: 2 * 6371.0 * asin(min(1.0, sqrt(sin(radians(b[1] - a[1]) / 2) ** 2 + cos(radians(a[1])) * cos(radians(b[1])) * sin(radians(b[2] - a[2]) / 2) ** 2)))
+    df = spark.createDataFrame(pts, "id int, lat double, lon double")
+    for radius in (60.0, 4000.0):
+        want = sorted((a[0], b[0]) for a in pts for b in pts if km(a, b) <= radius)
+        assert sorted((r.left_id, r.right_id) for r in linkage.radius_pairs(df, df, radius).collect()) == want
+
+
+def test_first_token_of_name_then_address(spark):
+    df = spark.createDataFrame([(1, "The Acme Hall", "Zed Road"), (2, "Hall", "at ACME place"), (3, "ab", None), (4, None, None), (5, "xq", "q")], "id int, name string, address string")
+    tokens = spark.createDataFrame([("zed", 1), ("acme", 2), ("b", 3), ("Q", 4), ("xq", 5), ("", 6)], "token string, ord int")
+    got = {r.id: r.token for r in linkage.first_token(df, tokens, F.col("name"), F.col("address")).collect()}
+    assert got == {1: "acme", 2: "acme", 3: "b", 4: None, 5: "Q"}
+    assert linkage.first_token(df, tokens.limit(0), F.col("name"), F.col("address")).where("token is not null").count() == 0
+
+
 def test_nearest_has_no_greatest_distance(spark):
     left = spark.createDataFrame([(1, 51.0, 0.0), (2, -40.0, 170.0), (3, None, None)], "id int, lat double, lon double")
     right = spark.createDataFrame([(7, 51.001, 0.0, False), (8, 58.0, -4.0, True), (9, 57.0, -4.0, True)], "id int, lat double, lon double, coal boolean")
