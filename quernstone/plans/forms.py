@@ -95,6 +95,17 @@ def finding_key(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", shown.alias("k"))
 
 
+_REPLIES = ['```json\n{"findings":[{"a":1}]}\n```', "[]", '{"findings":[{"a":1},{"b":', "none", None, 'Here: {"findings": [{"x": {"y": 2}}, {"z": "}"}]} done', '[{"a":1}, 5, {"b":2}]', '{"other": [{"a": 1}]}']
+
+
+@query("txt_salvage", "SELECT p_partkey, list_extract([1, 0, NULL, NULL, NULL, 2, 3, NULL], (p_partkey % 8)::INT + 1)::BIGINT AS parsed, list_extract([1, 0, 1, 0, 0, 2, 2, 1], (p_partkey % 8)::INT + 1)::BIGINT AS salvaged FROM part")
+def salvage(spark: SparkSession, sf: str) -> DataFrame:
+    """Replies that are whole, fenced, cut short, none at all, with words around them, and of another shape."""
+    parts, (raw,) = cycled(spark, sf, _REPLIES)
+    r = passages.parsed_replies(parts.select("p_partkey", raw.alias("raw")))
+    return r.select("p_partkey", F.when(F.col("parsed").isNotNull(), F.size("parsed")).cast("long").alias("parsed"), F.size("salvaged").cast("long").alias("salvaged"))
+
+
 @query(
     "txt_best_clause_cases",
     """

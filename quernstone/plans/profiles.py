@@ -31,11 +31,11 @@ def fuels(spark: SparkSession, sf: str) -> DataFrame:
     return profiles.fuel_profile(_said(spark, sf, {"view": "red diesel", "click": "diesel or HVO", "error": "a CHP plant"}))
 
 
-@query("txt_eia_status", "SELECT user_id AS site, CASE WHEN bool_or(event_type = 'purchase') THEN 'eia_required' WHEN bool_or(event_type = 'view') THEN 'eia_not_required' WHEN bool_or(event_type = 'click') THEN 'scoping' END AS status FROM events GROUP BY user_id")
+@query("txt_eia_status", "SELECT user_id AS site, CASE WHEN bool_or(event_type = 'purchase' AND event_id % 2 = 0) THEN 'eia_required' WHEN bool_or(event_type = 'view' AND event_id % 5 = 0) THEN 'eia_not_required' WHEN bool_or(event_type = 'click' AND event_id % 7 = 0) THEN 'scoping' WHEN bool_or(event_type = 'signup') THEN 'screening_requested' END AS status FROM events GROUP BY user_id")
 def eia(spark: SparkSession, sf: str) -> DataFrame:
     e = load(spark, sf, "events")
-    k = F.col("event_type")
-    said = F.when(k == "purchase", "accompanied by an Environmental Statement").when(k == "view", "EIA not required here").when(k == "click", "a scoping report")
+    k, n = F.col("event_type"), F.col("event_id")
+    said = F.when((k == "purchase") & (n % 2 == 0), "accompanied by an Environmental Statement").when((k == "view") & (n % 5 == 0), "EIA not required here").when((k == "click") & (n % 7 == 0), "a scoping report").when(k == "signup", "a screening opinion requested")
     return profiles.eia_status(e.select(F.col("user_id").alias("site"), said.alias("text")))
 
 
@@ -106,12 +106,13 @@ def gaps(spark: SparkSession, sf: str) -> DataFrame:
     return profiles.gap_reason(found)
 
 
-@query("txt_null_sweep", "SELECT user_id AS site, 'partly' AS cohort, CASE WHEN bool_or(event_type = 'click') THEN 'flagged' WHEN bool_or(event_type = 'view') THEN 'benign' ELSE 'clean' END AS finding FROM events GROUP BY user_id")
+@query("txt_null_sweep", "SELECT user_id AS site, CASE user_id % 3 WHEN 0 THEN 'unread' WHEN 1 THEN 'partly' ELSE 'fully' END AS cohort, CASE WHEN user_id % 3 = 0 THEN 'unsweepable' WHEN bool_or(event_type = 'click' AND event_id % 9 = 0) THEN 'flagged' WHEN bool_or(event_type = 'view' AND event_id % 11 = 0) THEN 'benign' ELSE 'clean' END AS finding FROM events GROUP BY user_id")
 def null_sweep(spark: SparkSession, sf: str) -> DataFrame:
     e = load(spark, sf, "events")
-    k = F.col("event_type")
-    hits = e.where(k.isin("click", "view")).select(F.col("user_id").alias("site"), F.when(k == "click", "10 MW substation").otherwise("7 kW EV charger").alias("context"))
-    coverage = e.groupBy(F.col("user_id").alias("site")).agg(F.count("*").alias("read"), (F.count("*") + 1).alias("held"))
+    k, n, site = F.col("event_type"), F.col("event_id"), F.col("user_id")
+    said = F.when((k == "click") & (n % 9 == 0), "10 MW substation").when((k == "view") & (n % 11 == 0), "7 kW EV charger")
+    hits = e.select(site.alias("site"), said.alias("context")).where("context is not null")
+    coverage = e.groupBy(site.alias("site")).agg(F.count("*").alias("held")).withColumn("read", F.when(F.col("site") % 3 == 0, 0).when(F.col("site") % 3 == 1, F.col("held") - 1).otherwise(F.col("held")))
     return profiles.null_sweep(hits, coverage)
 
 
@@ -134,11 +135,22 @@ def claim_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return profiles.divergences(c).withColumn("ratio", F.round("ratio", 6))
 
 
-@query("txt_lineage", "SELECT s_suppkey, 'Spatial neighbour (within 1 km) of `' || n_name || '` — *' || n_name || ' place*.' AS line FROM supplier JOIN nation ON n_nationkey = s_nationkey")
+@query(
+    "txt_lineage",
+    """
+    WITH s AS (SELECT s_suppkey, s_suppkey % 6 AS k, n_name, n_nationkey FROM supplier JOIN nation ON n_nationkey = s_nationkey)
+    SELECT s_suppkey, CASE k WHEN 0 THEN 'Matched a keyword in the description.' WHEN 1 THEN 'Spatial neighbour (within 1 km) of `' || n_name || '` — *' || n_name || ' place*' || CASE WHEN n_nationkey % 2 = 0 THEN ' (at ' || n_name || ' Road)' ELSE '' END || '.'
+        WHEN 2 THEN 'Shares agent or applicant **' || n_name || '** with another application.' WHEN 3 THEN 'Parent permission of `' || n_name || '`.' WHEN 4 THEN 'Known duplicate of `' || n_name || '`.' ELSE 'Spatial neighbour (within 1 km) of `nowhere`.' END AS line FROM s
+    """,
+)
 def lineage(spark: SparkSession, sf: str) -> DataFrame:
+    """A tag of each kind, one that names a record there is not, and one that says nothing."""
     s, n = load(spark, sf, "supplier"), load(spark, sf, "nation")
-    tags = s.join(n, s.s_nationkey == n.n_nationkey).select(F.col("s_suppkey").alias("ref"), F.array(F.concat(F.lit("spatial:"), "n_name"), F.lit("zzz")).alias("tags"))
-    anchors = n.select(F.col("n_name").alias("ref"), F.concat("n_name", F.lit(" place")).alias("description"), F.lit("").alias("address"))
+    k = F.col("s_suppkey") % 6
+    named = lambda kind: F.concat(F.lit(kind), "n_name")
+    tag = F.when(k == 0, "dc_keyword").when(k == 1, named("spatial:")).when(k == 2, named("operator:")).when(k == 3, named("parent_backfill:")).when(k == 4, named("duplicate_of:")).otherwise("spatial:nowhere")
+    tags = s.join(n, s.s_nationkey == n.n_nationkey).select(F.col("s_suppkey").alias("ref"), F.array(tag, F.lit("zzz")).alias("tags"))
+    anchors = n.select(F.col("n_name").alias("ref"), F.concat("n_name", F.lit(" place")).alias("description"), F.when(F.col("n_nationkey") % 2 == 0, F.concat("n_name", F.lit(" Road"))).otherwise("").alias("address"))
     return profiles.lineage(tags, anchors).select(F.col("ref").alias("s_suppkey"), "line")
 
 
