@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quernstone.session import shared_folder
+
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the folder of spark.checkpoint.dir, which only local sessions may leave unset.
@@ -15,14 +17,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        path = spark.conf.get("spark.checkpoint.dir", None)
-        if not path:
-            if not spark.sparkContext.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-            import tempfile
-
-            path = tempfile.mkdtemp(prefix="checkpoints-")
-        spark.sparkContext.setCheckpointDir(path)
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     held = df.checkpoint()._jdf.toDF()
     return DataFrame(spark._jsparkSession.createDataFrame(held.javaRDD(), held.schema()), spark)
 

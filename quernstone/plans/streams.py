@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quernstone.plans.registry import query
-from quernstone.session import load
+from quernstone.session import load, shared_folder
 from quernstone.streaming import contracts
 
 
@@ -36,7 +35,11 @@ def sessions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _folder(spark: SparkSession) -> str:
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='streams-')}/streams-{uuid.uuid4().hex}"
+    """A new folder for a table of a query, gone when the driver ends."""
+    path = f"{shared_folder(spark)}/streams-{uuid.uuid4().hex}"
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    return path
 
 
 @query("st_exactly_once_unit", "SELECT 'findings' AS what, count(*) AS n, count(DISTINCT user_id) AS users FROM events WHERE user_id % 3 <> 2 UNION ALL SELECT 'log', count(DISTINCT user_id), count(DISTINCT user_id) FROM events WHERE user_id % 3 <> 2")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +30,17 @@ def get_session(app: str = "quernstone", cpus: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which driver and executors share; only local sessions may leave it unset."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        path = tempfile.mkdtemp(prefix="quernstone-")
+        spark.conf.set("spark.checkpoint.dir", path)
+    return path.rstrip("/")
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One table of a data directory, by whatever file system Spark can read."""
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
