@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -11,16 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; only local sessions may leave it unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        path = tempfile.mkdtemp(prefix="quernstone-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+from quernstone.session import shared_folder
 
 
 _MADE: list[str] = []
@@ -28,7 +18,7 @@ _MADE: list[str] = []
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, deleted when the driver ends, or with `drop` before."""
-    path = f"{shared_dir(spark)}/quernstone-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/quernstone-{name}-{uuid.uuid4().hex}"
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hpath)
     _MADE.append(path)

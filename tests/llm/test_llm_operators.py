@@ -15,8 +15,8 @@ from pyspark.sql import Row
 
 from quernstone.llm import chat, exact, html, packing, pieces, quality, rules, shards, simhash, suffix
 from quernstone.llm import queries as q
-from quernstone.llm.common import shared_dir
 from quernstone.llm.tokens import WordTokens, tokenizer_path
+from quernstone.session import shared_folder
 
 ODD = ["", None, " ", "a", "é\n\x00b", "ﬁ ½ ź ​", "x" * 300, "one two three four five " * 60, "日本語 テキスト", "<|endoftext|> </s>", "A  b\tc\r\n\x0b d"]
 
@@ -779,7 +779,7 @@ def test_shards_query(spark, sf_dir):
 
 
 def test_shards_empty(spark, docs):
-    folder = shared_dir(spark) + "/empty-shards"
+    folder = shared_folder(spark) + "/empty-shards"
     manifest = shards.write_shards(docs.limit(0), tokenizer_path("word_bpe_49k.json"), folder)
     assert manifest.count() == 0
     assert shards.shard_contents(manifest, folder).count() == shards.read_shards(manifest, folder).count() == 0
