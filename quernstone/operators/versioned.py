@@ -86,9 +86,13 @@ def placed(df: DataFrame, order: list[Column], name: str = "place") -> DataFrame
     return at.withColumn("_task", task).join(F.broadcast(starts), "_task").withColumn(name, place).drop("_task", "_begin", "_at")
 
 
-def first_home(df: DataFrame, item: str, home: str, order: str) -> DataFrame:
-    """Each item with the first home, by order, that lists it."""
-    return df.groupBy(item).agg(F.min_by(F.col(home), F.struct(F.col(order), F.col(home))).alias(home))
+def first_home(df: DataFrame, item: str, home: str, order: str, ties: list[str] | None = None) -> DataFrame:
+    """Each item with the first home, by order, that lists it; equals by `ties`, the least home without them.
+
+    Rows without a home or an order list nothing; an item with no others has a null home.
+    """
+    place = F.struct(F.col(order), *[F.col(c) for c in ties or [home]])
+    return df.groupBy(item).agg(F.min_by(F.col(home), F.when(F.col(home).isNotNull() & F.col(order).isNotNull(), place)).alias(home))
 
 
 def numbered_names(df: DataFrame, keys: list[str], order: list[Column], kind: str, ext: str, name: str = "file_name") -> DataFrame:

@@ -140,8 +140,10 @@ def doc_number(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("win_first_home", "SELECT l_partkey, min_by(l_suppkey, l_orderkey * 1000 + l_linenumber) AS l_suppkey FROM lineitem GROUP BY l_partkey")
 def first_home(spark: SparkSession, sf: str) -> DataFrame:
-    li = load(spark, sf, "lineitem").select("l_partkey", "l_suppkey", (F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("ord"))
-    return versioned.first_home(li, "l_partkey", "l_suppkey", "ord")
+    """Of equal lines the first in the table, which is the row that DuckDB meets first."""
+    ord = (F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("ord")
+    li = load(spark, sf, "lineitem").select("l_partkey", "l_suppkey", ord, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    return versioned.first_home(li, "l_partkey", "l_suppkey", "ord", ["file", "at"])
 
 
 @query("win_longest_first", "SELECT doc_id, row_number() OVER (ORDER BY n_chars DESC, doc_id) AS place FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) ORDER BY place LIMIT 100")

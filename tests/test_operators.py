@@ -1,8 +1,10 @@
+import duckdb
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from quernstone.operators import claims, entities, graph, linkage, merge, passages, permits, quality, sites, versioned
+from quernstone.plans import registry
 
 
 def rows(df):
@@ -19,6 +21,18 @@ def test_survivors_treat_nulls_as_equal(spark):
     assert rows(versioned.with_survivor(df, ["c"], "id").select("id", "survivor")) == [(1, 1), (2, 1), (3, 3)]
 
 
+def test_first_home_passes_over_nulls_and_takes_ties_in_table_order(spark, tmp_path):
+    lines = [(1, 10, None, 1), (1, 10, 5, 2), (2, 10, 4, 1), (None, 11, 7, 1), (3, 11, 8, 1), (4, 12, None, 1), (6, 13, 2, None), (7, 14, 9, 2), (7, 14, 3, 2), (7, 15, 3, 2), (7, 15, 9, 2), (7, 16, None, 2), (7, 16, 6, 2), (5, None, 9, 1)]
+    df = spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int")
+    df.coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    con = duckdb.connect()
+    con.sql("set threads = 1")
+    con.sql(f"create view lineitem as select * from '{tmp_path}/lineitem.parquet/*.parquet'")
+    got = rows(registry.queries()["win_first_home"](spark, str(tmp_path)))
+    assert got == sorted(con.sql(registry.oracle_sql()["win_first_home"]).fetchall(), key=str)
+    assert dict(got) == {10: 5, 11: 8, 12: None, 13: None, 14: 9, 15: 3, 16: 6, None: 9}
+
+
 def test_sample_before_filter(spark):
     df = spark.createDataFrame([(1, k) for k in range(11)], "k int, n int")
     assert [r[1] for r in rows(versioned.every_nth(df, ["k"], [F.col("n")], 5))] == [0, 10, 5]
