@@ -17,7 +17,9 @@ Candidates that share a joint key are verified bit by bit.
 
 Copies collapse first: keys are made of distinct fingerprints. Buckets are verified in
 blocks, and a batch of verified links leaves a task as a star for each of its connected
-parts, so a group of n near copies sends about n rows, not n squared.
+parts. A group of n near copies has a star in every task that holds a key of it, so up to
+88 n rows, one a key; `contracted` takes them to stars of blocks of links, of n - 1 rows
+where a block holds them all, before components spread over them round by round.
 
 Defined cases: null text counts as empty; texts without words have fingerprint zero and
 link like any other; a null doc_id is never a component's id unless it has no other;
@@ -245,6 +247,38 @@ def _links(stream: Iterator[pa.RecordBatch], allowed: int, small: int = 64) -> I
     yield from solve(key, fp)
 
 
+def _stars(stream: Iterator[pa.RecordBatch], limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The links of a task as one star for each of its connected parts."""
+    held, size = [], 0
+
+    def star(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        nodes, root = roots(*map(np.concatenate, zip(*held, strict=True)))
+        other = nodes != root
+        return nodes[other], root[other]
+
+    for batch in stream:
+        held.append((batch["a"].to_numpy(), batch["b"].to_numpy()))
+        size += len(batch)
+        if size > limit:
+            held = [star(held)]
+            size = 0
+    if held:
+        a, b = star(held)
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=EDGE)
+
+
+def contracted(edges: DataFrame, each: int = 2_000_000) -> DataFrame:
+    """Links (a, b) that connect the same nodes as `edges`, dealt evenly in blocks of `each` that leave as stars; again while they halve."""
+    edges = checkpointed(edges.distinct())
+    n = edges.count()
+    while True:
+        parts = parts_for(n, each)
+        edges = checkpointed(edges.repartition(parts).mapInArrow(_stars, EDGE_DDL))
+        before, n = n, edges.count()
+        if parts == 1 or 2 * n > before:
+            return edges
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root (the least node of its component) of the nodes that edges (a, b) have."""
     links = edges.select(F.col("a").alias("src"), F.col("b").alias("dst"))
@@ -264,10 +298,10 @@ def near_groups(docs: DataFrame, width: int = 4, allowed: int = ALLOWED, row_col
     total, n = distinct.agg(F.sum("n"), F.count("*")).first()
     keyed = distinct.select("fp").mapInArrow(_keyed, KEYED_DDL)
     edges = keyed.repartition(parts_for(n, 5_000, 12), "key").sortWithinPartitions("key").mapInArrow(lambda it: _links(it, allowed), EDGE_DDL)
-    linked = components(checkpointed(edges.distinct()))
+    linked = components(contracted(edges))
     rooted = distinct.join(linked, distinct.fp == linked.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = checkpointed(rooted)
-    keeps = rooted.groupBy("root").agg(F.min("least").alias("keep"))
+    keeps = checkpointed(rooted.groupBy("root").agg(F.min("least").alias("keep")))  # else its grouping by root would deal all rows of a heavy root to one task
     of_fp = graph.looked_up(rooted.select("fp", "root"), "root", keeps.select(F.col("root").alias("node"), F.col("keep").alias("value")), graph.heavy_keys(rooted, "root", n))
     often = distinct.where(F.col("n") > max(graph.LEAST_HEAVY, (total or 0) // graph.HEAVY)).select(F.col("fp").alias("heavy"))
     told = graph.looked_up(fps, "fp", of_fp.select(F.col("fp").alias("node"), "value"), often)

@@ -698,6 +698,22 @@ def test_components_of_a_large_star(spark):
     assert got == dict.fromkeys(range(3000), 0)
 
 
+@pytest.mark.parametrize("each", [2_000_000, 1_000])
+def test_links_of_a_large_group_contract_before_components(spark, each):
+    rng = np.random.default_rng(3)
+    near = {0, *(1 << int(x) | 1 << int(y) for x, y in rng.integers(0, 40, (2000, 2)))}
+    fps = sorted(near | {(1 << 62) + (int(k) << 45) for k in range(0, 300, 3)})
+    keyed = spark.createDataFrame([(f,) for f in fps], "fp long").mapInArrow(simhash._keyed, simhash.KEYED_DDL)
+    edges = keyed.repartition(24, "key").sortWithinPartitions("key").mapInArrow(lambda it: simhash._links(it, 4), simhash.EDGE_DDL).distinct()
+    few = simhash.contracted(edges, each)
+    nodes = edges.select("a").union(edges.select("b")).distinct().count()
+    assert edges.count() > 3 * nodes and few.count() < (nodes if each > 1_000 else edges.count())
+    got = {r.node: r.root for r in simhash.components(few).collect()}
+    want = brute_components({f: f for f in fps})
+    assert {f: got.get(f, f) for f in fps} == want
+    assert simhash.contracted(edges.limit(0)).count() == 0
+
+
 def test_components_of_long_chains(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101), (102, 101)]
     got = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
