@@ -56,6 +56,33 @@ class ByteCache(dict):
         return value
 
 
+class KeepingCache(ByteCache):
+    """A cache whose values that were used again after a generation stay in the younger one, up to `share` of it, so that common words are not moved up in each."""
+
+    def __init__(self, make: Callable, limit: int, longest: int = 64, share: float = 0.3):
+        super().__init__(make, limit, longest)
+        self.kept, self.kept_used, self.most = {}, 0, share * self.half
+
+    def __missing__(self, key: str):
+        value = self.old.pop(key, None)
+        again = value is not None
+        if not again:
+            value = self.make(key)
+            if len(key) > self.longest:
+                return value
+        size = self.ENTRY + 2 * len(key) + len(value)
+        if again and self.kept_used + size <= self.most:
+            self.kept[key] = value
+            self.kept_used += size
+        self.used += size
+        if self.used > self.half:
+            self.old, self.used = dict(self), self.kept_used
+            self.clear()
+            self.update(self.kept)
+        self[key] = value
+        return value
+
+
 class WordTokens:
     """Ids of whole texts, as the tokenizers library gives them.
 
@@ -79,7 +106,7 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.pieces = ByteCache(self._piece, cache_bytes // 8)
-        self.words = ByteCache(self._word, cache_bytes - cache_bytes // 8)
+        self.words = KeepingCache(self._word, cache_bytes - cache_bytes // 8)
         vocabulary = self.tokenizer.get_vocab_size()
         self.model = self.tokenizer.model
         self.pattern = self._pattern()

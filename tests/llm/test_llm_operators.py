@@ -811,6 +811,21 @@ def test_word_cache_is_bounded_and_forgets_nothing_in_use():
         assert len(cache) + len(cache.old) < 200 and max(map(len, [*cache, *cache.old])) <= 64
 
 
+def test_word_cache_moves_a_common_word_up_once():
+    words, missed = WordTokens(tokenizer_path("word_bpe_49k.json"), cache_bytes=60_000).words, []
+    missing = type(words).__missing__
+
+    class Counted(type(words)):
+        def __missing__(self, key):
+            missed.append(key)
+            return missing(self, key)
+
+    words.__class__ = Counted
+    for k in range(2000):
+        assert words["common"] == words.make("common") and words[f"x{k}"] == words.make(f"x{k}")
+    assert missed.count("common") == 2 and len(words) + len(words.old) < 250
+
+
 # 10 ------------------------------------------------------------------------------
 
 
